@@ -6,11 +6,12 @@ Documents with equal shingle sets are one class, whose least id stands for it. L
    counts over all documents in a table of 2^20 hashed cells (4 MB whatever the input), so common passages stay out of prefixes unless a text is little else.
 2. *Tokens.* Prefix tokens are dealt to parts as packed arrays and sorted there. A token that 2 to 8 classes hold gives their pairs, with counts. A token of more
    classes is a large one: it gives each class a candidate leader.
-3. *Groups.* Classes that link with a leader, verified on their sets, form its group: similar documents, connected through the leader.
-4. *Matrix.* Large tokens then name groups, not documents. For a class and each other group the number of its prefix tokens that the group's members hold bounds
-   the overlap with any member; where that bound, with the group's range of sizes, is below what a link takes, the group stays closed. Members of one group need no comparison.
+3. *Groups.* Classes that link with a leader, verified on their sets, form its group: similar documents, connected through the leader. The other classes of large
+   tokens form loose groups by the leader that they share most tokens with and by size.
+4. *Matrix.* Large tokens then name groups, not documents. For a class and each group the number of its prefix tokens that the group's members hold bounds the overlap
+   with any member; where that bound, with the group's range of sizes, is below what a link takes, the group stays closed. Members of a connected group need no comparison.
 5. *Opening.* Qualifying groups are cut to blocks of bounded size. A block's union of tokens bounds the query's overlap once more; only then is the
-   query compared with its members, up to the first link, as one joins the components. Queries stream past blocks, so no task holds an unbounded group.
+   query compared with its members, with one link for each of the block's known components. Queries stream past blocks, so no task holds an unbounded group.
 
 Components come from the links and the leaders' links by distributed label passing.
 
@@ -211,7 +212,7 @@ def _tokens(prefixes: DataFrame, parts: int, share: int) -> DataFrame:
             if big.any():
                 yield from rows(2, t[big].view(np.int64), k[big], n[big], n[big], np.ones(int(big.sum())))
                 lk, ln = lead_k[run_of][big], lead_n[run_of][big]
-                ok = (lk != k[big]) & _fits(n[big], ln, share)
+                ok = lk != k[big]
                 yield from counted(1, k[big][ok], lk[ok], n[big][ok], ln[ok])
             if not last:
                 keep = ~big
@@ -295,25 +296,25 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 texts = batch.column(1).take(pa.array(part)).to_pylist()
                 yield pa.RecordBatch.from_arrays([pa.array(ids[part]), pa.array([shingle_set(t).tobytes() for t in texts], pa.binary())], ["id", "tokens"])
 
-    found = docs.where("doc_id is not null").mapInArrow(scan, "id long, tokens binary")
-    # Rows that share an id: the wanted one is told by its key.
-    return found.join(wanted.select("id"), "id", "left_semi")
+    return docs.where("doc_id is not null").mapInArrow(scan, "id long, tokens binary")
 
 
-def _linked(pairs: DataFrame, members: DataFrame, sets: DataFrame, share: int) -> DataFrame:
-    """(u, v): for each pair (q, g) a link of q with a member of g, if there is one. members: g, id."""
+def _linked(docs: DataFrame, pairs: DataFrame, members: DataFrame, share: int) -> DataFrame:
+    """(u, v): links of q with members of g, for each pair (q, g), one for each component of a block that is known so far. members: g, id, loose (whether links do not connect them yet)."""
     sizes = members.groupBy("g").agg(F.count(F.lit(1)).alias("size")).withColumn("blocks", F.expr(f"cast((size + {BLOCK - 1}) div {BLOCK} as int)"))
     loads = pairs.groupBy("g").agg(F.count(F.lit(1)).alias("queries")).withColumn("chunks", F.expr(f"cast((queries + {CHUNK - 1}) div {CHUNK} as int)"))
     shape = sizes.join(loads, "g").select("g", "blocks", "chunks")
     one = members.join(shape, "g").withColumn("block", F.expr("cast(pmod(xxhash64(id), blocks) as int)")).withColumn("chunk", F.explode(F.expr("sequence(0, chunks - 1)")))
     many = pairs.join(shape, "g").withColumn("chunk", F.expr("cast(pmod(xxhash64(q), chunks) as int)")).withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
-    rows = one.select("g", "block", "chunk", F.lit(0).alias("kind"), "id").unionByName(many.select("g", "block", "chunk", F.lit(1).alias("kind"), F.col("q").alias("id")))
-    rows = rows.join(sets, "id").select("g", "block", "chunk", "kind", "id", "tokens")
+    rows = one.select("g", "block", "chunk", F.when(F.col("loose"), 1).otherwise(0).alias("kind"), "id").unionByName(many.select("g", "block", "chunk", F.lit(2).alias("kind"), F.col("q").alias("id")))
+    rows = cut(rows)
+    rows = rows.join(_sets(docs, rows.select("id").distinct()), "id").select("g", "block", "chunk", "kind", "id", "tokens")
 
     def run(batches):
         key = None
         ids: list[int] = []
         held: list[np.ndarray] = []
+        root: list[int] = []
         union = None
         u: list[int] = []
         v: list[int] = []
@@ -321,9 +322,10 @@ def _linked(pairs: DataFrame, members: DataFrame, sets: DataFrame, share: int) -
             g, block, chunk, kind, own = (batch.column(i).to_pylist() for i in range(5))
             for i in range(batch.num_rows):
                 if (g[i], block[i], chunk[i]) != key:
-                    key, ids, held, union = (g[i], block[i], chunk[i]), [], [], None
+                    key, ids, held, root, union = (g[i], block[i], chunk[i]), [], [], [], None
                 tokens = np.frombuffer(batch.column(5)[i].as_buffer(), np.uint64)
-                if kind[i] == 0:
+                if kind[i] < 2:
+                    root.append(len(ids) if kind[i] else 0)
                     ids.append(own[i])
                     held.append(tokens.copy())
                     continue
@@ -333,13 +335,18 @@ def _linked(pairs: DataFrame, members: DataFrame, sets: DataFrame, share: int) -
                     union = np.unique(np.concatenate(held))
                 if _common(tokens, union) < least_overlap(len(tokens), share):
                     continue
-                for other, x in zip(ids, held, strict=True):
-                    if other != own[i] and 100 * min(len(x), len(tokens)) >= share * max(len(x), len(tokens)):
-                        both = _common(tokens, x)
-                        if 100 * both >= share * (len(x) + len(tokens) - both):
-                            u.append(own[i])
-                            v.append(other)
-                            break
+                met: set[int] = set()
+                for k, (other, x) in enumerate(zip(ids, held, strict=True)):
+                    if root[k] in met or other == own[i] or 100 * min(len(x), len(tokens)) < share * max(len(x), len(tokens)):
+                        continue
+                    both = _common(tokens, x)
+                    if 100 * both >= share * (len(x) + len(tokens) - both):
+                        u.append(own[i])
+                        v.append(other)
+                        met.add(root[k])
+                if len(met) > 1:  # the query connects them
+                    least = min(met)
+                    root = [least if r in met else r for r in root]
             if u:
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
                 u, v = [], []
@@ -380,36 +387,39 @@ def _links(docs: DataFrame, narrow: DataFrame, counts: np.ndarray, share: int) -
         return tokens.where(F.col("kind") == k).groupBy("x", "y").agg(F.min("n").alias("n"), F.min("m").alias("m"), F.sum("c").alias("c"))
 
     # Leaders: the count is of some shared tokens only, so half of what a link takes is asked for; whatever is missed here the matrix finds.
-    led = named(named(summed(1).where(2 * F.col("c") >= _needed("n", "m", "m", share)), "x", "q"), "y", "g").where("q <> g").select("q", "g")
-    led = cut(led)
-    small = summed(0)
-    large = cut(named(tokens.where("kind = 2"), "y", "id").select(F.col("x").alias("token"), "id", "n"))
-    small = cut(named(named(small, "x", "q"), "y", "g").where("q <> g").select("q", "g", "n", "m", "c"))
-    wanted = led.select(F.explode(F.array("q", "g")).alias("id"))
-    wanted = wanted.unionByName(small.where(F.col("c") >= 1).select(F.explode(F.array("q", "g")).alias("id"))).unionByName(large.select("id")).distinct()
-    sets = cut(_sets(docs, wanted))
-    leads = cut(_linked(led, led.select("g", F.col("g").alias("id")).distinct(), sets, share))
-    group = leads.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("g"))
-    sizes = classes.where("id is not null").select("id", "n")
-    member = cut(sizes.join(wanted, "id", "left_semi").join(group, "id", "left").select("id", "n", F.coalesce("g", "id").alias("g")))
+    led = cut(named(named(summed(1), "x", "q"), "y", "o").where("q <> o").select("q", "o", "c", (2 * F.col("c") >= _needed("n", "m", "m", share)).alias("near")))
+    near = led.where("near").select("q", F.col("o").alias("g"))
+    leads = cut(_linked(docs, near, near.select("g", F.col("g").alias("id"), F.lit(False).alias("loose")).distinct(), share))
+    small = cut(named(named(summed(0), "x", "q"), "y", "o").where("q <> o").select("q", "o", "c"))
+    large = cut(named(tokens.where("kind = 2"), "y", "id").select(F.col("x").alias("token"), "id", "n").distinct())
+
+    # Groups: of a leader; loose, by favourite leader and size; a class that is in neither, alone.
+    sizes = classes.where("id is not null").groupBy("id").agg(F.max("n").alias("n"))
+    wanted = small.select(F.explode(F.array("q", "o")).alias("id")).unionByName(large.select("id")).distinct()
+    group = leads.select(F.col("u").alias("id"), F.col("v").alias("leader")).unionByName(leads.select(F.col("v").alias("id"), F.col("v").alias("leader"))).groupBy("id").agg(F.min("leader").alias("leader"))
+    favourite = led.groupBy(F.col("q").alias("id")).agg(F.max(F.struct("c", "o"))["o"].alias("favourite"))
+    member = sizes.join(wanted, "id", "left_semi").join(group, "id", "left").join(favourite, "id", "left").join(large.select("id").distinct().withColumn("in_large", F.lit(True)), "id", "left")
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.2)))
+    name = F.when(F.col("leader").isNotNull(), F.concat(F.lit("c"), "leader")).when(F.col("in_large"), F.concat(F.lit("l"), F.coalesce("favourite", "id"), F.lit("/"), band)).otherwise(F.concat(F.lit("c"), "id"))
+    member = cut(member.select("id", "n", name.alias("g"), (F.col("leader").isNull() & F.col("in_large").isNotNull()).alias("loose")))
     span = member.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("low"), F.max("n").alias("high"))
-    of = member.join(span, "g").select("id", "n", "g", "size", "low", "high")
+    of = cut(member.join(span, "g").select("id", "n", "g", "loose", "size", "low", "high"))
 
     def other(df: DataFrame, prefix: str) -> DataFrame:
         return df.select(*[F.col(c).alias(f"{prefix}_{c}") for c in df.columns])
 
-    # Of two groups the smaller one's members are the queries.
-    asks = "(q_size < o_size or q_size = o_size and q_g > o_g)"
-    pairs = small.select("q", F.col("g").alias("o"), "c").unionByName(small.select(F.col("g").alias("q"), F.col("q").alias("o"), "c"))
-    pairs = pairs.join(other(of, "q").withColumnRenamed("q_id", "q"), "q").join(other(of, "o").withColumnRenamed("o_id", "o"), "o").where(f"q_g <> o_g and {asks}")
+    # Of two groups the smaller one's members are the queries; a loose group's members also ask their own.
+    asks = f"(q_g = o_g and o_loose or q_g <> o_g and (q_size < o_size or q_size = o_size and q_g > o_g)) and 100 * o_high >= {share} * q_n and 100 * q_n >= {share} * o_low"
+    pairs = small.unionByName(small.select(F.col("o").alias("q"), F.col("q").alias("o"), "c"))
+    pairs = pairs.join(other(of, "q").withColumnRenamed("q_id", "q"), "q").join(other(of, "o").withColumnRenamed("o_id", "o"), "o").where(asks)
     columns = ["q", "q_n", "o_g", "o_low", "o_high", "c"]
-    held = large.select("token", "id").distinct().join(of, "id")
-    groups = held.groupBy("token", "g").agg(F.min("size").alias("size"), F.min("low").alias("low"), F.max("high").alias("high"))
-    several = groups.groupBy("token").agg(F.min("g").alias("first"), F.max("g").alias("last")).where("first <> last").select("token")
+    held = large.select("token", "id").join(of, "id")
+    groups = held.groupBy("token", "g").agg(F.count(F.lit(1)).alias("k"), F.first("loose").alias("loose"), F.first("size").alias("size"), F.first("low").alias("low"), F.first("high").alias("high"))
+    several = groups.groupBy("token").agg(F.min("g").alias("first"), F.max("g").alias("last"), F.max(F.col("loose") & (F.col("k") > 1)).alias("open")).where("first <> last or open").select("token")
     held, groups = held.join(several, "token", "left_semi"), groups.join(several, "token", "left_semi")
-    matrix = other(held, "q").join(other(groups, "o"), (F.col("q_token") == F.col("o_token")) & (F.col("q_g") != F.col("o_g"))).where(asks)
-    matrix = matrix.where(f"100 * o_high >= {share} * q_n and 100 * q_n >= {share} * o_low").select(F.col("q_id").alias("q"), "q_n", "o_g", "o_low", "o_high", F.lit(1).cast("long").alias("c"))
+    matrix = other(held, "q").join(other(groups, "o"), F.col("q_token") == F.col("o_token")).where(asks)
+    matrix = matrix.select(F.col("q_id").alias("q"), "q_n", "o_g", "o_low", "o_high", F.lit(1).cast("long").alias("c"))
     asked = pairs.select(*columns).unionByName(matrix.select(*columns)).groupBy("q", "o_g").agg(F.min("q_n").alias("q_n"), F.min("o_low").alias("o_low"), F.max("o_high").alias("o_high"), F.sum("c").alias("c"))
     asked = cut(asked.where(F.col("c") >= _needed("q_n", "o_low", "o_high", share)).select("q", F.col("o_g").alias("g")))
-    opened = _linked(asked, member.select("g", "id").join(asked.select("g"), "g", "left_semi"), sets, share)
+    opened = _linked(docs, asked, member.select("g", "id", "loose").join(asked.select("g").distinct(), "g", "left_semi"), share)
     return leads.unionByName(opened), classes
