@@ -1,10 +1,258 @@
-"""Named queries over the driver's tables, each with its SQL equivalent."""
+"""Named queries over the driver's tables, each with its SQL equivalent.
+
+The tables stand in for the domain's: orders are items, lineitem their activities (returnflag R: a robot's), events reviews, documents bodies, conversations threads.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from loomspan.functions import text as T
+from loomspan.operators import activity, lines, ranking
+from loomspan.period import within
+
+START, END = "1997-01-01 00:00:00", "1997-03-31 23:59:59.999999"
+TIES = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def in_period(ts: str | Column) -> Column:
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    return within(ts, F.lit(START).cast("timestamp_ntz"), F.lit(END).cast("timestamp_ntz"))
+
+
+def updated_at(ts: str, days: int) -> Column:
+    return F.col(ts) + F.expr(f"interval {days} days")
+
+
+_P = f"BETWEEN TIMESTAMP '{START}' AND TIMESTAMP '{END}'"
+_ITEMS = "o_orderkey, o_custkey, o_orderstatus, o_orderdate"
+_ACTIVE = f"EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_shipdate {_P})"
+
+
+def _orders(spark, d):
+    return table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+
+
+def _included(spark, d, negate=False):
+    active = table(spark, d, "lineitem").select("l_orderkey", "l_shipdate").where(in_period("l_shipdate"))
+    return activity.included(_orders(spark, d), active, "o_orderkey", "l_orderkey", in_period("o_orderdate"), negate)
+
+
+@query(f"SELECT {_ITEMS} FROM orders WHERE o_orderdate {_P} OR {_ACTIVE}")
+def period_include(spark, d):
+    return _included(spark, d)
+
+
+@query(f"SELECT {_ITEMS} FROM orders WHERE NOT (o_orderdate {_P} OR {_ACTIVE})")
+def period_rejects(spark, d):
+    return _included(spark, d, True)
+
+
+@query(f"""SELECT CASE WHEN o_orderstatus = 'P' THEN 'failed_child' WHEN o_orderdate + INTERVAL 60 DAY {_P} THEN 'unexplained_update' ELSE 'out_of_period' END AS reason, count(*) AS n
+FROM orders WHERE NOT (o_orderdate {_P} OR {_ACTIVE}) GROUP BY 1""")
+def reject_reasons(spark, d):
+    return activity.reasons(_included(spark, d, True), F.col("o_orderstatus") == "P", in_period(updated_at("o_orderdate", 60)))
+
+
+@query("""SELECT user_id, event_type, event_id, value, position FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS k, min(event_id) OVER (PARTITION BY user_id, event_type) AS position FROM events) WHERE k = 1""")
+def dedup_keep_last(spark, d):
+    events = table(spark, d, "events").select("user_id", "event_type", "event_id", "value")
+    return ranking.keep_last(events, ["user_id", "event_type"], "event_id")
+
+
+_COUNTS = f"""count(*) FILTER (WHERE n) AS new_count, count(*) FILTER (WHERE u AND NOT n) AS updated_count, count(*) FILTER (WHERE (n OR u) AND NOT b) AS human_count,
+count(*) FILTER (WHERE (n OR u) AND b) AS bot_count, count(*) FILTER (WHERE (n OR u) AND m AND NOT b) AS maintainer_count
+FROM (SELECT l_orderkey, l_returnflag, l_shipdate {_P} AS n, l_shipdate + INTERVAL 30 DAY {_P} AS u, l_returnflag = 'R' AS b, l_linestatus = 'F' AS m FROM lineitem)"""
+
+
+def _counts(spark, d, keys):
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus", "l_shipdate")
+    return activity.counts(rows, keys, in_period("l_shipdate"), in_period(updated_at("l_shipdate", 30)), F.col("l_returnflag") == "R", F.col("l_linestatus") == "F")
+
+
+@query(f"SELECT l_orderkey, {_COUNTS} GROUP BY l_orderkey")
+def activity_counts(spark, d):
+    return _counts(spark, d, ["l_orderkey"])
+
+
+@query(f"SELECT l_orderkey, l_returnflag, {_COUNTS} GROUP BY l_orderkey, l_returnflag")
+def activity_counts_by_kind(spark, d):
+    return _counts(spark, d, ["l_orderkey", "l_returnflag"])
+
+
+@query(f"SELECT l_returnflag, coalesce(bool_or(l_shipdate {_P}), false) AS any_active FROM lineitem GROUP BY 1")
+def activity_any(spark, d):
+    return table(spark, d, "lineitem").groupBy("l_returnflag").agg(F.coalesce(F.bool_or(in_period("l_shipdate")), F.lit(False)).alias("any_active"))
+
+
+_LAST = "SELECT l_orderkey, l_linenumber, l_shipdate, l_extendedprice FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC NULLS LAST, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS k FROM lineitem WHERE {}) WHERE k = 1"
+
+
+def _latest(spark, d, where):
+    rows = table(spark, d, "lineitem").where(where).select("l_orderkey", "l_shipdate", *TIES)
+    return ranking.latest(rows, ["l_orderkey"], "l_shipdate", TIES).select("l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice")
+
+
+@query(_LAST.format("l_returnflag <> 'R'"))
+def latest_human(spark, d):
+    return _latest(spark, d, "l_returnflag <> 'R'")
+
+
+@query(_LAST.format("l_returnflag <> 'R' AND l_linestatus = 'F'"))
+def latest_maintainer(spark, d):
+    return _latest(spark, d, "l_returnflag <> 'R' and l_linestatus = 'F'")
+
+
+@query(f"""SELECT l_orderkey, l_linenumber, l_shipdate, l_extendedprice, rank FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC NULLS LAST, l_linenumber, l_partkey, l_suppkey, l_extendedprice)::INT AS rank
+FROM lineitem WHERE l_returnflag <> 'R' AND NOT (l_shipdate {_P} OR l_shipdate + INTERVAL 30 DAY {_P})) WHERE rank <= 3""")
+def previous_top3(spark, d):
+    rows = table(spark, d, "lineitem").where((F.col("l_returnflag") != "R") & ~(in_period("l_shipdate") | in_period(updated_at("l_shipdate", 30))))
+    out = ranking.previous_context(rows.select("l_orderkey", "l_shipdate", *TIES), ["l_orderkey"], "l_shipdate", TIES)
+    return out.select("l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice", "rank")
+
+
+@query("""SELECT user_id, event_id, event_type, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY upper(event_type) IN ('PURCHASE', 'SIGNUP') DESC, ts DESC NULLS LAST, event_id) AS k FROM events) WHERE k = 1""")
+def current_review(spark, d):
+    rows = table(spark, d, "events").select("user_id", "event_id", "event_type", "ts")
+    return ranking.current_review(rows, ["user_id"], "event_type", "ts", ["event_id"], ["PURCHASE", "SIGNUP"])
+
+
+@query("SELECT doc_id, substring(text, 1, 12000) AS body, length(text) > 12000 AS truncated, length(text)::INT AS n FROM documents")
+def body_truncate(spark, d):
+    return table(spark, d, "documents").select("doc_id", T.truncated(F.col("text"), 12000).alias("body"), (F.length("text") > 12000).alias("truncated"), F.length("text").alias("n"))
+
+
+@query("SELECT doc_id, repeat('`', greatest(4, coalesce(list_max(list_transform(regexp_extract_all(text, '[aeiou]+'), lambda x: length(x))), 0) + 1)::INT) AS fence FROM documents")
+def fence_len(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.repeat(F.lit("`"), F.greatest(F.lit(4), T.longest_run(F.col("text"), "[aeiou]+") + 1)).alias("fence"))
+
+
+@query("SELECT page_id, trim(regexp_replace(lower(url), '[^a-z0-9]+', '-', 'g'), '-') AS anchor FROM pages")
+def anchor_slug(spark, d):
+    return table(spark, d, "pages").select("page_id", T.slug(F.col("url")).alias("anchor"))
+
+
+@query("SELECT page_id, CASE WHEN strpos(url, '/en/') > 0 THEN substring(url, strpos(url, '/en/') + 4) END AS suffix FROM pages")
+def url_suffix(spark, d):
+    return table(spark, d, "pages").select("page_id", T.after_first(F.col("url"), "/en/").alias("suffix"))
+
+
+@query(r"""SELECT page_id, CASE WHEN c = '' THEN 'None' ELSE c END AS cell FROM (SELECT page_id, regexp_replace(replace(replace(replace(translate(html, 'ae', '|\'), '\', '\\'), '|', '\|'), chr(10), ' '), '^\s+|\s+$', '', 'g') AS c FROM pages)""")
+def cell_escape(spark, d):
+    return table(spark, d, "pages").select("page_id", T.cell(F.translate("html", "ae", "|\\")).alias("cell"))
+
+
+@query("SELECT doc_id, bytes FROM (SELECT doc_id, sum(strlen(text)) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING)::BIGINT AS bytes FROM documents WHERE doc_id < 1000) WHERE bytes <= 20000")
+def byte_page(spark, d):
+    rows = table(spark, d, "documents").where("doc_id < 1000").select("doc_id", F.octet_length("text").cast("long").alias("size"))
+    return lines.byte_page(rows, [F.col("doc_id")], F.col("size"), 20_000).select("doc_id", "bytes")
+
+
+@query("SELECT conv_id, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS thread FROM conversations GROUP BY conv_id")
+def ordered_concat(spark, d):
+    rows = table(spark, d, "conversations").withColumn("said", F.concat("role", F.lit(": "), "text"))
+    return rows.groupBy("conv_id").agg(F.expr("listagg(said, '\n') within group (order by turn)").alias("thread"))
+
+
+_LINES = "(SELECT doc_id, unnest(range(len(string_split(text, chr(10)))))::INT AS line_no, unnest(string_split(text, chr(10))) AS line FROM documents)"
+
+
+@query(f"SELECT doc_id, line_no, line FROM {_LINES}")
+def doc_lines(spark, d):
+    return lines.doc_lines(table(spark, d, "documents"), "doc_id", "text")
+
+
+@query(f"SELECT doc_id, line_no, last_value(CASE WHEN length(line) < 40 THEN line END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no) AS section FROM {_LINES}")
+def carry_forward(spark, d):
+    rows = lines.doc_lines(table(spark, d, "documents"), "doc_id", "text")
+    return lines.carried(rows, "doc_id", F.length("line") < 40, "section").select("doc_id", "line_no", "section")
+
+
+@query(f"SELECT doc_id, line_no, last_value(CASE WHEN length(line) >= 40 THEN line_no END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM {_LINES}")
+def prev_nonblank(spark, d):
+    rows = lines.doc_lines(table(spark, d, "documents"), "doc_id", "text")
+    return lines.previous(rows, "doc_id", F.length("line") >= 40, "before").select("doc_id", "line_no", "before")
+
+
+@query(f"SELECT doc_id, count(DISTINCT island) AS paragraphs FROM (SELECT doc_id, line, sum((length(line) < 40)::INT) OVER (PARTITION BY doc_id ORDER BY line_no) AS island FROM {_LINES}) WHERE length(line) >= 40 GROUP BY doc_id")
+def paragraphs(spark, d):
+    rows = lines.doc_lines(table(spark, d, "documents"), "doc_id", "text")
+    return lines.islands(rows, "doc_id", F.length("line") < 40)
+
+
+@query("SELECT conv_id, count(*) AS turns, bool_and(turn = k - 1) AS in_sequence FROM (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations) GROUP BY conv_id")
+def sequence_check(spark, d):
+    rows = ranking.ranked(table(spark, d, "conversations").select("conv_id", "turn"), ["conv_id"], [F.asc("turn")])
+    return rows.groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns"), F.bool_and(F.col("turn") == F.col("rank") - 1).alias("in_sequence"))
+
+
+@query("SELECT doc_id, len(regexp_extract_all(translate(text, 'ae', '#7'), '#[0-9]+'))::INT AS refs FROM documents")
+def item_refs(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.regexp_count(F.translate("text", "ae", "#7"), F.lit("#[0-9]+")).alias("refs"))
+
+
+@query(f"""SELECT (SELECT count(*) FROM orders WHERE o_orderdate {_P} OR {_ACTIVE}) AS retained, (SELECT count(*) FROM orders WHERE NOT (o_orderdate {_P} OR {_ACTIVE})) AS excluded, CAST(NULL AS INT) AS rate_limit_remaining""")
+def run_summary(spark, d):
+    active = table(spark, d, "lineitem").select("l_orderkey", "l_shipdate").where(in_period("l_shipdate"))
+    keys = active.select(F.col("l_orderkey").alias("k")).distinct().withColumn("any", F.lit(True))
+    kept = in_period("o_orderdate") | F.coalesce("any", F.lit(False))
+    joined = table(spark, d, "orders").select("o_orderkey", "o_orderdate").join(keys, F.col("o_orderkey") == F.col("k"), "left")
+    return joined.agg(F.count_if(kept).alias("retained"), F.count_if(~kept).alias("excluded"), F.lit(None).cast("int").alias("rate_limit_remaining"))
+
+
+@query("SELECT c_custkey, c_name, c_mktsegment FROM customer ORDER BY lower(c_mktsegment), c_custkey LIMIT 50 OFFSET 100")
+def index_page(spark, d):
+    return table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment").orderBy(F.lower("c_mktsegment"), "c_custkey").offset(100).limit(50)
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_extendedprice, 0::INT AS source_rank FROM lineitem WHERE l_returnflag = 'A' UNION ALL SELECT l_orderkey, l_linenumber, l_extendedprice, 1::INT FROM lineitem WHERE l_returnflag = 'N'
+UNION ALL SELECT l_orderkey, l_linenumber, l_extendedprice, 2::INT FROM lineitem WHERE l_returnflag = 'R'""")
+def union_kinds(spark, d):
+    rows = table(spark, d, "lineitem")
+    parts = [rows.where(F.col("l_returnflag") == k).select("l_orderkey", "l_linenumber", "l_extendedprice", F.lit(i).alias("source_rank")) for i, k in enumerate("ANR")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("SELECT event_id, array_to_string(list_filter(['k', 'missing', 'session'], lambda x: NOT list_contains(json_keys(props), x)), ',') AS missing FROM events")
+def missing_fields(spark, d):
+    required = F.array(*map(F.lit, ("k", "missing", "session")))
+    return table(spark, d, "events").select("event_id", F.array_join(F.array_except(required, F.json_object_keys("props")), ",").alias("missing"))
+
+
+@query("SELECT CAST(timezone('Asia/Shanghai', timezone('UTC', ts)) AS DATE) AS local_date, count(*) AS n FROM events GROUP BY 1")
+def local_date_counts(spark, d):
+    local = F.convert_timezone(F.lit("UTC"), F.lit("Asia/Shanghai"), F.col("ts"))
+    return table(spark, d, "events").groupBy(F.to_date(local).alias("local_date")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query()
+def utf8_chunks(spark, d):
+    chunks = T.utf8_chunks(F.col("text"), 1000)
+    return table(spark, d, "documents").select("doc_id", F.posexplode(chunks).alias("chunk_no", "chunk"))
+
+
+@query()
+def visible_lines(spark, d):
+    text = F.replace("text", F.lit("The "), F.lit("```\n"))
+    return table(spark, d, "documents").select("doc_id", lines.visible(text).alias("visible"))
