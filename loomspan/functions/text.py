@@ -31,11 +31,20 @@ def longest_run(text: Column, pattern: str = "`+") -> Column:
     return F.coalesce(F.array_max(F.transform(F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(0)), F.length)), F.lit(0))
 
 
-def fenced(text: Column, most: int, note: str = "\n[truncated]") -> Column:
-    """Body in a fence longer than any run of backticks in it, cut to `most` code points first, item markers made harmless."""
-    body = F.replace(truncated(F.coalesce(text, F.lit("")), most), F.lit("<!-- ITEM_"), F.lit("&lt;!-- ITEM_"))
+def fenced(text: Column, most: int) -> Column:
+    """Body in a fence longer than any run of backticks in it, cut to `most` code points first, item markers made harmless; a note follows a cut body."""
+    text = F.coalesce(text, F.lit(""))
+    body = F.replace(truncated(text, most), F.lit("<!-- ITEM_"), F.lit("&lt;!-- ITEM_"))
     fence = F.repeat(F.lit("`"), F.greatest(F.lit(4), longest_run(body) + 1))
-    return F.concat(fence, F.lit("text\n"), body, F.lit("\n"), fence, F.when(F.length(text) > most, F.lit(note)).otherwise(""))
+    shown = F.when(body == "", "(empty)").otherwise(body)
+    note = F.when(F.length(text) > most, f"\n\n_[Truncated at {most:,} characters by the collector.]_").otherwise("")
+    return F.concat(fence, F.lit("markdown\n"), shown, F.lit("\n"), fence, note)
+
+
+def iso(ts: Column, missing: str = "Not provided") -> Column:
+    """ISO 8601 in UTC, microseconds only when there are any. The session's time zone must be UTC."""
+    micros = F.when(F.date_format(ts, "SSSSSS") == "000000", "").otherwise(F.date_format(ts, ".SSSSSS"))
+    return F.coalesce(F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), micros, F.lit("+00:00")), F.lit(missing))
 
 
 def slug(text: Column) -> Column:

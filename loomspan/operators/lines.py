@@ -35,11 +35,11 @@ def islands(lines: DataFrame, key: str, gap: Column) -> DataFrame:
 def visible(text: Column, tilde: bool = False) -> Column:
     """Whether each line is outside fences, as an array of booleans.
 
-    Plain dialect: a fence opens with three or more backticks at a line's start and closes with the same run alone. With tilde: up to three spaces before it, backticks or
+    Plain dialect: a fence is a line of three or more backticks, perhaps with one word behind, and closes with the same run alone. With tilde: up to three spaces before it, backticks or
     tildes, closed by a run at least as long. Fences and the lines in them are hidden.
     """
     lines = F.split(text, "\n")
-    opener = r"^ {0,3}(`{3,}|~{3,})" if tilde else r"^(`{3,})"
+    opener = r"^ {0,3}(`{3,}|~{3,})" if tilde else r"^(`{3,})[A-Za-z0-9_-]*\s*$"
     none = F.lit("")
 
     def step(state: Column, line: Column) -> Column:
