@@ -33,7 +33,12 @@ def islands(lines: DataFrame, key: str, gap: Column) -> DataFrame:
 
 
 def visible(text: Column, tilde: bool = False) -> Column:
-    """Whether each line is outside fences, as an array of booleans.
+    """Whether each line is outside fences, as an array of booleans."""
+    return F.transform(F.split(fence_scan(text, tilde)["seen"], ""), lambda c: c == "1")
+
+
+def fence_scan(text: Column, tilde: bool = False) -> Column:
+    """fence: the run that is still open at the end, or empty; seen: a digit for each line, 1 for those outside fences.
 
     Plain dialect: a fence is a line of three or more backticks, perhaps with one word behind, and closes with the same run alone. With tilde: up to three spaces before it, backticks or
     tildes, closed by a run at least as long. Fences and the lines in them are hidden.
@@ -52,8 +57,7 @@ def visible(text: Column, tilde: bool = False) -> Column:
         return F.struct(now.alias("fence"), F.concat(state["seen"], F.when(inside | (run != ""), F.lit("0")).otherwise(F.lit("1"))).alias("seen"))
 
     start = F.struct(none.alias("fence"), none.alias("seen"))
-    flags = F.aggregate(lines, start, step, lambda s: s["seen"])
-    return F.transform(F.split(flags, ""), lambda c: c == "1")
+    return F.aggregate(lines, start, step)
 
 
 def byte_page(rows: DataFrame, order: list[Column], size: Column, budget: int, header: int = 0) -> DataFrame:
