@@ -60,7 +60,15 @@ def fence_scan(text: Column, tilde: bool = False) -> Column:
     return F.aggregate(lines, start, step)
 
 
-def byte_page(rows: DataFrame, order: list[Column], size: Column, budget: int, header: int = 0) -> DataFrame:
-    """The longest run of first rows that fits a byte budget. A page is small: filter first, as its order is global."""
-    total = F.sum(size).over(W.orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
-    return rows.withColumn("bytes", total + header).where(F.col("bytes") <= budget)
+def byte_page(rows: DataFrame, order: list[Column], size: Column, budget: int, block: Column, header: int = 0) -> DataFrame:
+    """The longest run of first rows that fits a byte budget; sizes are not negative.
+
+    block puts rows into runs that follow the order. Only the totals of blocks are in one global order; rows are ordered within the blocks that the budget reaches.
+    """
+    sized = rows.withColumns({"_block": block, "_size": size})
+    earlier = F.sum("_total").over(W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1))
+    totals = sized.groupBy("_block").agg(F.sum("_size").alias("_total"))
+    reached = totals.select("_block", F.coalesce(earlier, F.lit(0)).alias("_before")).where(F.col("_before") + header <= budget)
+    within = F.sum("_size").over(W.partitionBy("_block").orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
+    out = sized.join(reached, "_block").withColumn("bytes", within + F.col("_before") + header)
+    return out.where(F.col("bytes") <= budget).drop("_block", "_size", "_before")

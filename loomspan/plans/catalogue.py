@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomspan.functions import text as T
-from loomspan.operators import activity, lines, ranking
+from loomspan.operators import activity, lines, ranking, report_rules
 from loomspan.period import within
 
 START, END = "1997-01-01 00:00:00", "1997-03-31 23:59:59.999999"
@@ -163,10 +163,10 @@ def cell_escape(spark, d):
     return table(spark, d, "pages").select("page_id", T.cell(F.translate("html", "ae", "|\\")).alias("cell"))
 
 
-@query("SELECT doc_id, bytes FROM (SELECT doc_id, sum(strlen(text)) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING)::BIGINT AS bytes FROM documents WHERE doc_id < 1000) WHERE bytes <= 20000")
+@query("SELECT doc_id, bytes FROM (SELECT doc_id, sum(strlen(text)) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING)::BIGINT AS bytes FROM documents) WHERE bytes <= 20000")
 def byte_page(spark, d):
-    rows = table(spark, d, "documents").where("doc_id < 1000").select("doc_id", F.octet_length("text").cast("long").alias("size"))
-    return lines.byte_page(rows, [F.col("doc_id")], F.col("size"), 20_000).select("doc_id", "bytes")
+    rows = table(spark, d, "documents").select("doc_id", F.octet_length("text").cast("long").alias("size"))
+    return lines.byte_page(rows, [F.col("doc_id")], F.col("size"), 20_000, F.expr("doc_id div 4096")).select("doc_id", "bytes")
 
 
 @query("SELECT conv_id, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS thread FROM conversations GROUP BY conv_id")
@@ -256,3 +256,21 @@ def utf8_chunks(spark, d):
 def visible_lines(spark, d):
     text = F.replace("text", F.lit("The "), F.lit("```\n"))
     return table(spark, d, "documents").select("doc_id", lines.visible(text).alias("visible"))
+
+
+@query("""SELECT doc_id, fence || 'markdown' || chr(10) || CASE WHEN text = '' THEN '(empty)' ELSE replace(substring(text, 1, 12000), '<!-- ITEM_', '&lt;!-- ITEM_') END || chr(10) || fence
+|| CASE WHEN length(text) > 12000 THEN chr(10) || chr(10) || '_[Truncated at 12,000 characters by the collector.]_' ELSE '' END AS body
+FROM (SELECT doc_id, text, repeat('`', greatest(4, coalesce(list_max(list_transform(regexp_extract_all(substring(text, 1, 12000), '`+'), lambda x: length(x))), 0) + 1)::INT) AS fence FROM documents)""")
+def fenced_body(spark, d):
+    return table(spark, d, "documents").select("doc_id", T.fenced(F.col("text"), 12000).alias("body"))
+
+
+@query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN microsecond(ts) % 1000000 = 0 THEN '' ELSE strftime(ts, '.%f') END || '+00:00' AS at FROM events")
+def iso_time(spark, d):
+    return table(spark, d, "events").select("event_id", T.iso(F.col("ts")).alias("at"))
+
+
+@query()
+def report_findings(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return report_rules.findings(docs, report_rules.Style("Some-Org", "# Weekly"))
