@@ -6,14 +6,15 @@ The tables stand in for the domain's: orders are items, lineitem their activitie
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomspan.functions import text as T
-from loomspan.operators import activity, lines, ranking, report_rules
-from loomspan.period import within
+from loomspan.operators import activity, ingest, lines, ranking, render, report_rules
+from loomspan.period import build_period, within
 
 START, END = "1997-01-01 00:00:00", "1997-03-31 23:59:59.999999"
 TIES = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
@@ -274,3 +275,74 @@ def iso_time(spark, d):
 def report_findings(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
     return report_rules.findings(docs, report_rules.Style("Some-Org", "# Weekly"))
+
+
+# The raw zone of an organisation whose issues are the orders and whose comments are the line items, as the service would send it.
+QUARTER = build_period(1, date(1997, 1, 1), date(1997, 3, 31))
+_Q = "BETWEEN TIMESTAMP '1996-12-31 16:00:00' AND TIMESTAMP '1997-03-31 15:59:59.999999'"
+_JUDGED = f"""WITH acts AS (SELECT l_orderkey, l_shipdate {_Q} AS n, l_shipdate + INTERVAL 30 DAY {_Q} AS u, l_returnflag = 'R' AS b, l_linestatus = 'F' AS m FROM lineitem),
+totals AS (SELECT l_orderkey, count(*) FILTER (WHERE n OR u) AS a, count(*) FILTER (WHERE (n OR u) AND NOT b) AS h, count(*) FILTER (WHERE (n OR u) AND NOT b AND m) AS m,
+count(*) FILTER (WHERE n) AS n, count(*) FILTER (WHERE u AND NOT n) AS u FROM acts GROUP BY 1),
+judged AS (SELECT o_orderkey AS number, o_orderstatus AS state, o_orderdate {_Q} AS created, o_orderdate {_Q} OR coalesce(a, 0) > 0 AS included, o_orderdate + INTERVAL 60 DAY {_Q} AS touched,
+coalesce(a, 0) AS n_active, coalesce(h, 0) AS n_human, coalesce(totals.m, 0) AS n_maintainer, coalesce(n, 0) AS n_new_comment, coalesce(u, 0) AS n_updated_comment
+FROM orders LEFT JOIN totals ON l_orderkey = o_orderkey WHERE o_orderdate + INTERVAL 60 DAY >= TIMESTAMP '1996-12-31 16:00:00')"""
+
+
+def _as_received(spark, d) -> ingest.Raw:
+    json = lambda **fields: F.to_json(F.struct(*(value.alias(name) for name, value in fields.items()))).alias("raw")
+    text = lambda value: F.concat(F.lit("item "), F.col(value).cast("string"))
+    user = lambda login: F.struct(login.alias("login"))
+    issue = json(
+        number=F.col("o_orderkey"),
+        repository_url=F.lit("https://api.host/repos/o/r"),
+        title=text("o_orderkey"),
+        html_url=text("o_orderkey"),
+        state=F.col("o_orderstatus"),
+        user=user(F.col("o_custkey").cast("string")),
+        created_at=T.iso(F.col("o_orderdate")),
+        updated_at=T.iso(updated_at("o_orderdate", 60)),
+        comments=F.lit(1),
+    )
+    said = json(
+        user=user(F.when(F.col("l_returnflag") == "R", "r[bot]").otherwise("p")),
+        author_association=F.when(F.col("l_linestatus") == "F", "MEMBER").otherwise("NONE"),
+        created_at=T.iso(F.col("l_shipdate")),
+        updated_at=T.iso(updated_at("l_shipdate", 30)),
+    )
+    candidates = table(spark, d, "orders").select(F.lit("issue").alias("kind"), F.col("o_orderkey").alias("ordinal"), issue)
+    place = [F.lit("issue").alias("item_kind"), F.lit("o/r").alias("repository"), F.col("l_orderkey").alias("number")]
+    children = table(spark, d, "lineitem").select(*place, F.lit("comment").alias("kind"), F.col("l_linenumber").cast("long").alias("ordinal"), said)
+    none = lambda schema: spark.createDataFrame([], schema)
+    return ingest.Raw(
+        candidates=candidates,
+        details=none("kind string, repository string, number long, raw string, error string, url string"),
+        children=children,
+        failures=none("item_kind string, repository string, number long, kind string, error string, url string"),
+        searches=none("kind string, total_count long, incomplete boolean, error string, partial_error string, url string"),
+        requests=none("failed boolean, remaining string"),
+    )
+
+
+@query(f"""{_JUDGED} SELECT number, included, CASE WHEN included THEN NULL WHEN touched THEN 'unexplained_update' ELSE 'out_of_period' END AS reason, n_active, n_human, n_maintainer, n_new_comment, n_updated_comment FROM judged""")
+def ingested_items(spark, d):
+    names = ["number", "included", "reason", "n_active", "n_human", "n_maintainer", "n_new_comment", "n_updated_comment"]
+    return ingest.ingest(_as_received(spark, d), QUARTER).items.select(*names)
+
+
+@query(f"""{_JUDGED} SELECT number, '| o/r#' || number || ' | o/r | ' || number || ' | item ' || number || ' | ' || state || ' | ' || CASE WHEN created THEN 'yes' ELSE 'no' END || ' | no | ' || n_human
+|| ' | NONE | None | [evidence](#issue-o-r-' || number || ') |' AS row FROM judged WHERE included""")
+def evidence_index(spark, d):
+    items = ingest.ingest(_as_received(spark, d), QUARTER).items
+    return items.where("included").select("number", render.index_row("issue").alias("row"))
+
+
+@query(f"""{_JUDGED} SELECT count(*) FILTER (WHERE included) AS issues, 0::BIGINT AS pull_requests, count(*) FILTER (WHERE NOT included AND touched) AS unexplained_updated_excluded_count,
+0::BIGINT AS activity_failure_excluded_count, 0::BIGINT AS warnings, 0::BIGINT AS failed_requests, NULL::INT AS rate_limit_remaining FROM judged""")
+def ingest_summary(spark, d):
+    return ingest.ingest(_as_received(spark, d), QUARTER).summary
+
+
+@query()
+def evidence_fragments(spark, d):
+    made = ingest.ingest(_as_received(spark, d), QUARTER)
+    return render.fragments(made, "o", QUARTER, QUARTER.utc_end)
