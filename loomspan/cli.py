@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import os
 import sys
-import tempfile
+import uuid
 from datetime import UTC, date, datetime
 from pathlib import Path
 
@@ -17,7 +17,7 @@ from loomspan.operators import reader, report_rules
 from loomspan.operators.ingest import ingest
 from loomspan.operators.render import fragments
 from loomspan.period import TIMEZONE, build_period
-from loomspan.sources.evidence import read_texts, write_document
+from loomspan.sources.evidence import read_texts, shared_folder, stored, write_document
 from loomspan.sources.rest import service_for, snapshot
 
 
@@ -92,14 +92,10 @@ def collect(args: argparse.Namespace) -> int:
             raise CommandError(f"Missing GitHub token environment variable: {config.token_env}")
         spark = session()
         service = service_for(period, args.base_url, config.org, config.token_env, rate=float(args.requests_per_second), workers=args.workers, transport=args.transport)
-        with tempfile.TemporaryDirectory() as local:
-            # A folder of this machine serves a local session only; a cluster names its shared one.
-            shared = args.snapshot or (spark.conf.get("spark.checkpoint.dir", "") and f"{spark.conf.get('spark.checkpoint.dir')}/raw-{os.getpid()}-{datetime.now(UTC):%Y%m%dT%H%M%S%f}")
-            if not shared and not spark.sparkContext.master.startswith("local"):
-                raise CommandError("on a cluster, give --snapshot a shared folder")
-            made = ingest(snapshot(spark, service, period, shared or local), period)
-            counts = made.summary.first().asDict()
-            write_document(fragments(made, config.org, period, datetime.now(UTC)), target)
+        folder = args.snapshot or shared_folder(spark)
+        made = stored(spark, ingest(snapshot(spark, service, period, folder), period), f"{folder}/typed-{uuid.uuid4().hex}")
+        counts = made.summary.first().asDict()
+        write_document(fragments(made, config.org, period, datetime.now(UTC)), target)
     rate = counts["rate_limit_remaining"]
     print(f"Organization: {config.org}\nScan start: {period.local_start.isoformat()}\nScan end: {period.local_end.isoformat()}\nTimezone: {TIMEZONE}")
     print(f"Issues: {counts['issues']}\nPull requests: {counts['pull_requests']}\nAPI request failures: {counts['failed_requests']}\nEvidence file: {target}")

@@ -3,14 +3,36 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
+from dataclasses import fields
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomspan.operators.ingest import Evidence
 from loomspan.operators.render import in_order
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below spark.checkpoint.dir; a local session without that setting takes a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="loomspan-")
+    return f"{base.rstrip('/')}/evidence-{uuid.uuid4().hex}"
+
+
+def stored(spark: SparkSession, evidence: Evidence, folder: str | None = None) -> Evidence:
+    """The typed tables written once and read again: a document has many branches over them, and each would parse the raw records anew."""
+    folder = folder or shared_folder(spark)
+    for field in fields(evidence):
+        getattr(evidence, field.name).write.parquet(f"{folder}/{field.name}")
+    return Evidence(**{field.name: spark.read.parquet(f"{folder}/{field.name}") for field in fields(evidence)})
+
+
 def write_document(rows: DataFrame, path: str | Path) -> int:
     """Stream ordered fragments to one UTF-8 file, a partition at a time, and return its bytes. The file appears whole or not at all."""
     path = Path(path)
