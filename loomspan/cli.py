@@ -17,7 +17,7 @@ from loomspan.operators import reader, report_rules
 from loomspan.operators.ingest import ingest
 from loomspan.operators.render import fragments
 from loomspan.period import TIMEZONE, build_period
-from loomspan.sources.evidence import read_texts, shared_folder, stored, write_document
+from loomspan.sources.evidence import keeper, read_texts, shared_folder, write_document
 from loomspan.sources.rest import service_for, snapshot
 
 
@@ -93,7 +93,7 @@ def collect(args: argparse.Namespace) -> int:
         spark = session()
         service = service_for(period, args.base_url, config.org, config.token_env, rate=float(args.requests_per_second), workers=args.workers, transport=args.transport)
         folder = args.snapshot or shared_folder(spark)
-        made = stored(spark, ingest(snapshot(spark, service, period, folder), period), f"{folder}/typed-{uuid.uuid4().hex}")
+        made = ingest(snapshot(spark, service, period, folder), period, keeper(spark, f"{folder}/typed-{uuid.uuid4().hex}"))
         counts = made.summary.first().asDict()
         write_document(fragments(made, config.org, period, datetime.now(UTC)), target)
     rate = counts["rate_limit_remaining"]

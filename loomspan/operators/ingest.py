@@ -14,6 +14,7 @@ Timestamps are instants; the session's time zone must be UTC. A timestamp withou
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -205,18 +206,20 @@ def judged(items: DataFrame, totals: DataFrame, failures: DataFrame) -> DataFram
     return rows.withColumn("included", included).withColumn("data_gaps", F.concat("data_gaps", late)).withColumn("_any_failed", F.size(late) > 0).drop("_failed")
 
 
-def ingest(raw: Raw, period: Period) -> Evidence:
-    rows = looked_up(typed_candidates(raw.candidates), raw.details, period)
-    items = typed_items(rows, period)
-    activities = typed_activities(raw.children, items, period)
+def ingest(raw: Raw, period: Period, keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df) -> Evidence:
+    """keep may store a step and return it as read back, so that the steps after it don't parse the raw records anew; by default all is one lazy plan."""
+    rows = keep("looked_up", looked_up(typed_candidates(raw.candidates), raw.details, period))
+    items = keep("typed_items", typed_items(rows, period))
+    activities = keep("activities", typed_activities(raw.children, items, period))
     unknown = period.contains(F.col("updated_at")) & ~F.col("included")
     reason = F.when(F.col("included"), None).when(F.col("_any_failed"), "failed_child").when(unknown, "unexplained_update").otherwise("out_of_period")
     result = judged(items, activity_totals(activities), raw.failures).withColumns({"exact_activity_unknown": unknown, "reason": reason}).drop("_any_failed")
+    result = keep("items", result)
 
     scope = F.concat("item_kind", F.lit(":"), "repository", F.lit("#"), F.col("number").cast("string")).alias("scope")
     lost = rows.where("source is null").select(scope, F.coalesce("error", F.lit("The detail record is missing.")).alias("message"), "url")
     missed = _read(raw.failures, items).select(scope, F.concat(F.lit(FAILED_CHILD), "kind", F.lit(" data: "), "error").alias("message"), "url")
-    warnings = search_warnings(raw.searches).unionByName(lost).unionByName(missed)
+    warnings = keep("warnings", search_warnings(raw.searches).unionByName(lost).unionByName(missed))
     return Evidence(result, activities, warnings, run_summary(result, warnings, raw.requests))
 
 

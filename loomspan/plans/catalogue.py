@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from loomspan.functions import text as T
 from loomspan.operators import activity, ingest, lines, ranking, render, report_rules
 from loomspan.period import build_period, within
-from loomspan.sources.evidence import stored
+from loomspan.sources.evidence import keeper
 
 START, END = "1997-01-01 00:00:00", "1997-03-31 23:59:59.999999"
 TIES = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
@@ -345,5 +345,5 @@ def ingest_summary(spark, d):
 
 @query()
 def evidence_fragments(spark, d):
-    made = stored(spark, ingest.ingest(_as_received(spark, d), QUARTER))
+    made = ingest.ingest(_as_received(spark, d), QUARTER, keeper(spark))
     return render.fragments(made, "o", QUARTER, QUARTER.utc_end)

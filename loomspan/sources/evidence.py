@@ -5,13 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from dataclasses import fields
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspan.operators.ingest import Evidence
 from loomspan.operators.render import in_order
 
 
@@ -25,12 +24,15 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/evidence-{uuid.uuid4().hex}"
 
 
-def stored(spark: SparkSession, evidence: Evidence, folder: str | None = None) -> Evidence:
-    """The typed tables written once and read again: a document has many branches over them, and each would parse the raw records anew."""
+def keeper(spark: SparkSession, folder: str | None = None) -> Callable[[str, DataFrame], DataFrame]:
+    """For ingest: each step is written once, to a new folder, and read back. A lost executor repeats tasks of one step, not of all before it."""
     folder = folder or shared_folder(spark)
-    for field in fields(evidence):
-        getattr(evidence, field.name).write.parquet(f"{folder}/{field.name}")
-    return Evidence(**{field.name: spark.read.parquet(f"{folder}/{field.name}") for field in fields(evidence)})
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
+    return keep
 
 
 def write_document(rows: DataFrame, path: str | Path) -> int:
