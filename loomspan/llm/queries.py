@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .common import shared_folder, table
 from .fingerprints import fingerprints
 from .gam import quality_scores
-from .hilbert_shards import hilbert_shards
+from .hilbert_shards import curve, hilbert_shards
 from .isolation_forest import quality_rules
 from .jaccard_join import jaccard_components
 from .line_dedup import line_dedup
@@ -95,5 +95,39 @@ r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, pos) AS n FRO
 c AS (SELECT doc_id, list_distinct(flatten(list([pos + 1, pos + 2, pos + 3]))) AS at FROM r WHERE n > 1 GROUP BY doc_id)
 SELECT l.doc_id, CASE WHEN c.at IS NULL THEN l.text ELSE coalesce(array_to_string(list_transform(list_filter(generate_series(1, len(l.x)), lambda i: NOT list_contains(c.at, i)), lambda i: l.x[i]), chr(10)), '') END AS text,
 coalesce(len(l.x), 0)::BIGINT AS n_lines, coalesce(len(c.at), 0)::BIGINT AS n_removed FROM l LEFT JOIN c USING (doc_id)
+""",
+    "op4_hilbert_shards": r"""
+-- The remainders of CRC-32 for each byte, by eight divisions by its polynomial.
+WITH RECURSIVE bit AS (SELECT i AS byte, i::BIGINT AS c, 0 AS k FROM range(256) r(i) UNION ALL SELECT byte, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bit WHERE k < 8),
+rest AS (SELECT list(c ORDER BY byte) AS t FROM bit WHERE k = 8),
+crc AS MATERIALIZED (SELECT x, xor(4294967295::BIGINT, list_reduce(list_transform(regexp_extract_all(hex(encode(x)), '..'), lambda h: ('0x' || h)::BIGINT), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT)) AS c
+FROM (SELECT text AS x FROM documents UNION SELECT source FROM documents UNION SELECT lang FROM documents) CROSS JOIN rest WHERE x IS NOT NULL),
+d AS (SELECT doc_id, coalesce(strlen(text), 0)::BIGINT + 1 AS size, coalesce(a.c, 0) AS text_crc32, (coalesce(b.c, 0) % 16)::INT AS source_level, (coalesce(l.c, 0) % 16)::INT AS lang_level
+FROM documents LEFT JOIN crc a ON a.x = text LEFT JOIN crc b ON b.x = source LEFT JOIN crc l ON l.x = lang),
+v AS (SELECT *, least(length(bin(size)) - 1, 15)::INT AS size_level FROM d),
+h AS (SELECT *, ([CURVE])[(source_level * 16 + lang_level) * 16 + size_level + 1]::INT AS curve FROM v),
+r AS (SELECT *, row_number() OVER (ORDER BY curve, text_crc32, doc_id NULLS LAST) - 1 AS k, count(*) OVER () AS total FROM h),
+s AS (SELECT *, (k * 8 // total)::INT AS shard FROM r)
+SELECT doc_id, size, text_crc32, 'rows' AS law, shard, (row_number() OVER (PARTITION BY shard ORDER BY k) - 1)::BIGINT AS slot, NULL::INT AS grown_shard, curve, source_level, lang_level, size_level FROM s
+""".replace("CURVE", curve(3, 4)),
+    "op9_jaccard_join": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS x FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(x) = 0 THEN [] WHEN len(x) < 5 THEN [array_to_string(x, ' ')] ELSE list_sort(list_distinct(list_transform(generate_series(1, len(x) - 4), lambda i: array_to_string(x[i:i + 4], ' ')))) END AS t FROM w),
+k AS (SELECT doc_id, t, len(t)::BIGINT AS n, md5(array_to_string(t, chr(10))) AS key FROM s),
+-- Equal sets are one class; links are sought between classes.
+c AS (SELECT key, any_value(t) AS t, any_value(n) AS n, min(doc_id) AS id FROM k WHERE n > 0 GROUP BY key),
+e AS (SELECT id, n, unnest(t) AS t FROM c),
+o AS (SELECT a.id AS u, b.id AS v FROM e a JOIN e b ON a.t = b.t AND a.id < b.id GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+p AS (SELECT u, v FROM o UNION ALL SELECT v, u FROM o),
+r AS (SELECT id AS u, id AS v FROM c UNION SELECT r.u, p.v FROM r JOIN p ON p.u = r.v),
+m AS (SELECT u, min(v) AS component FROM r GROUP BY u)
+SELECT k.doc_id, k.n AS n_shingles, coalesce(m.component, k.doc_id) AS component_id FROM k LEFT JOIN c USING (key) LEFT JOIN m ON m.u = c.id
+""",
+    "op10_warc": r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS x FROM pages),
+d AS (SELECT page_id, strlen(x)::BIGINT AS n, sha1(x) AS h FROM p),
+-- Five hexadecimal digits are four characters of base 32.
+b AS (SELECT page_id, n, array_to_string(list_transform(generate_series(0, 31), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(h, (i // 4) * 5 + 1, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31) + 1)::INT, 1)), '') AS digest, min(page_id) OVER (PARTITION BY h, n) AS first FROM d)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM b
 """,
 }
