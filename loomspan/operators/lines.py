@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -37,27 +40,44 @@ def visible(text: Column, tilde: bool = False) -> Column:
     return F.transform(F.split(fence_scan(text, tilde)["seen"], ""), lambda c: c == "1")
 
 
+#: What may begin or end a fence: its run and what follows on the line.
+FENCE = {False: re.compile(r"^(`{3,})(.*)$", re.M), True: re.compile(r"^ {0,3}(`{3,}|~{3,})(.*)$", re.M)}
+NAME = re.compile(r"[A-Za-z0-9_-]*\s*")
+
+
+def fences(text: str, tilde: bool = False) -> tuple[str, str]:
+    """(the run that is still open at the end, or empty; a digit for each line, 1 for those outside fences), in one pass over the lines that may be fences."""
+    fence, done, line, at = "", [], 0, 0  # done: digits of the lines before `line`, which holds place `at`
+    for m in FENCE[tilde].finditer(text):
+        run, rest = m.groups()
+        if fence:
+            ends = not rest.strip(" \t") and run[0] == fence[0] and len(run) >= len(fence) if tilde else run == fence and not rest
+        else:
+            ends = tilde or bool(NAME.fullmatch(rest))
+        if not ends:
+            continue
+        skipped = text.count("\n", at, m.start())
+        done.append(("0" if fence else "1") * skipped + "0")
+        line, at = line + skipped + 1, m.end()
+        at += at < len(text)
+        fence = "" if fence else run
+    done.append(("0" if fence else "1") * (text.count("\n") + 1 - line))
+    return fence, "".join(done)
+
+
 def fence_scan(text: Column, tilde: bool = False) -> Column:
-    """fence: the run that is still open at the end, or empty; seen: a digit for each line, 1 for those outside fences.
+    """fence: the run that is still open at the end, or empty; seen: a digit for each line, 1 for those outside fences; both null for a null text.
 
     Plain dialect: a fence is a line of three or more backticks, perhaps with one word behind, and closes with the same run alone. With tilde: up to three spaces before it, backticks or
-    tildes, closed by a run at least as long. Fences and the lines in them are hidden.
+    tildes, closed by a run at least as long. Fences and the lines in them are hidden. The state runs from line to line, which a built-in fold
+    would copy at every step; so this is Arrow-batched Python, linear in the text.
     """
-    lines = F.split(text, "\n")
-    opener = r"^ {0,3}(`{3,}|~{3,})" if tilde else r"^(`{3,})[A-Za-z0-9_-]*\s*$"
-    none = F.lit("")
-
-    def step(state: Column, line: Column) -> Column:
-        run = F.regexp_extract(line, opener, 1)
-        fence = state["fence"]
-        alone = F.regexp_extract(line, r"^ {0,3}(`{3,}|~{3,})[ \t]*$" if tilde else r"^(`{3,})$", 1)
-        longer = (F.length(alone) >= F.length(fence)) & (F.substring(alone, 1, 1) == F.substring(fence, 1, 1)) if tilde else alone == fence
-        inside = fence != ""
-        now = F.when(inside & (alone != "") & longer, none).when(inside, fence).otherwise(run)
-        return F.struct(now.alias("fence"), F.concat(state["seen"], F.when(inside | (run != ""), F.lit("0")).otherwise(F.lit("1"))).alias("seen"))
-
-    start = F.struct(none.alias("fence"), none.alias("seen"))
-    return F.aggregate(lines, start, step)
+
+    @F.pandas_udf("fence string, seen string")
+    def scan(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([(None, None) if t is None else fences(t, tilde) for t in texts], columns=["fence", "seen"])
+
+    return scan(text)
 
 
 def byte_page(rows: DataFrame, order: list[Column], size: Column, budget: int, block: Column, header: int = 0) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from loomspan import formats as K
 from loomspan.functions.text import utf8_chunks
-from loomspan.operators.lines import fence_scan, visible
+from loomspan.operators.lines import fence_scan
 
 # Bounds of the views.
 MAX_INDEX_ROWS = 50
@@ -23,13 +23,26 @@ MAX_OVERVIEW_BYTES = 20_000
 END_MARK = {"issue": "<!-- ITEM_END issue ", "pull_request": "<!-- ITEM_END pull_request "}
 
 
+#: Line ends other than carriage return and line feed.
+RARE_END = r"[\x0B\x0C\x1C-\x1E\x85\u2028\u2029]"
+
+
 def evidence_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no from 0, line, visible. An unterminated fence is an error."""
-    lines = F.split("text", "\n")
-    open_ = F.raise_error(F.lit("unterminated fence")).cast("array<boolean>")
-    checked = F.when(fence_scan(F.col("text"))["fence"] != "", open_).otherwise(visible(F.col("text")))
-    zipped = F.arrays_zip(lines.alias("line"), checked.alias("visible"))
-    return docs.select("doc_id", F.posexplode(zipped).alias("line_no", "_x")).select("doc_id", "line_no", "_x.line", "_x.visible")
+    """doc_id, line_no from 0, line, visible. An unterminated fence is an error.
+
+    Carriage returns become line feeds. The rarer Unicode line ends end a line too, but stay in it, so that views give them back and no heading or marker with one counts.
+    """
+    text = F.regexp_replace(F.regexp_replace("text", "\r\n?", "\n"), f"({RARE_END})", "$1\n")
+    docs = docs.select("doc_id", text.alias("text")).withColumn("_scan", fence_scan(F.col("text")))
+    open_ = F.raise_error(F.lit("unterminated fence")).cast("array<string>")
+    checked = F.when(F.col("_scan.fence") != "", open_).otherwise(F.split("_scan.seen", ""))
+    zipped = F.arrays_zip(F.split("text", "\n").alias("line"), checked.alias("seen"))
+    return docs.select("doc_id", F.posexplode(zipped).alias("line_no", "_x")).select("doc_id", "line_no", "_x.line", (F.col("_x.seen") == "1").alias("visible"))
+
+
+def ended(line: str = "line") -> Column:
+    """A line with its end."""
+    return F.when(F.col(line).rlike(RARE_END + r"\z"), F.col(line)).otherwise(F.concat(line, F.lit("\n")))
 
 
 def _must(value: Column, message: str) -> Column:
@@ -65,7 +78,7 @@ def with_sections(lines: DataFrame) -> DataFrame:
 
 def joined(lines: DataFrame, *keys: str) -> DataFrame:
     """The lines of each key as one text with their line ends; views are small."""
-    return lines.groupBy(*keys).agg(F.expr("listagg(line, '\n') within group (order by line_no)").alias("text"))
+    return lines.withColumn("_line", ended()).groupBy(*keys).agg(F.expr("listagg(_line) within group (order by line_no)").alias("text"))
 
 
 def overview(docs: DataFrame) -> DataFrame:
@@ -97,11 +110,11 @@ def index(docs: DataFrame, kind: str, offset: int = 0, limit: int = 50, max_byte
     rows = rows.withColumn("n", F.row_number().over(doc) - 3)
     total = F.greatest(F.lit(0), F.count(F.lit(1)).over(W.partitionBy("doc_id")) - 2)
     page = rows.withColumn("total", total).where((F.col("n") < 0) | F.col("n").between(offset, offset + limit - 1))
-    used = F.sum(F.octet_length("line") + 1).over(doc.rowsBetween(W.unboundedPreceding, 0))
+    used = F.sum(F.octet_length(ended())).over(doc.rowsBetween(W.unboundedPreceding, 0))
     page = page.withColumn("used", used).where((F.col("n") < 0) | (F.col("used") <= max_bytes))
     taken = F.count_if(F.col("n") >= 0)
-    text = F.concat(F.expr("listagg(line, '\n') within group (order by line_no)"), F.lit("\n"))
-    out = page.groupBy("doc_id").agg(text.alias("text"), taken.alias("taken"), F.max("total").alias("total"))
+    text = F.expr("listagg(_line) within group (order by line_no)")
+    out = page.withColumn("_line", ended()).groupBy("doc_id").agg(text.alias("text"), taken.alias("taken"), F.max("total").alias("total"))
     beyond = F.raise_error(F.concat(F.lit(f"offset {offset} is beyond the available rows: "), F.col("total").cast("string"))).cast("long")
     stuck = F.raise_error(F.lit("the next index row does not fit within max-bytes")).cast("long")
     last = F.when(F.col("total") < offset, beyond).when((F.col("total") > offset) & (F.col("taken") == 0), stuck).otherwise(F.col("taken") + offset)
@@ -140,7 +153,7 @@ def item(docs: DataFrame, kind: str, item_id: str, view: str = "full", chunk: in
             rows = rows.where((F.col("part") == -1) | F.col("part").isin(wanted) | F.col("closing"))
         else:
             rows = rows.where((F.col("part") == sections.index(views[view])) & ~F.col("closing"))
-    text = joined(rows, "doc_id").withColumn("text", F.concat("text", F.lit("\n"))).withColumn("pieces", utf8_chunks(F.col("text"), max_bytes))
+    text = joined(rows, "doc_id").withColumn("pieces", utf8_chunks(F.col("text"), max_bytes))
     n = F.size("pieces")
     beyond = F.raise_error(F.concat(F.lit(f"chunk {chunk} is beyond the available chunks: "), n.cast("string")))
     piece = F.when(n < chunk, beyond.cast("string")).otherwise(F.get("pieces", F.lit(chunk - 1)))

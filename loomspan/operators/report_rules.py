@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from loomspan.operators.lines import visible
 
 #: Every line end that counts, after carriage returns are gone.
-LINE_END = "[\n\x0b\x0c\x1c\x1d\x1e\x85  ]"
+LINE_END = "[\n\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 
 
 @dataclass(frozen=True)

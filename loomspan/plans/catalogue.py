@@ -248,16 +248,20 @@ def local_date_counts(spark, d):
     return table(spark, d, "events").groupBy(F.to_date(local).alias("local_date")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query("""WITH RECURSIVE c AS (SELECT doc_id, text, -1 AS chunk_no, 0::BIGINT AS begin, 0::BIGINT AS n FROM documents UNION ALL
+SELECT doc_id, text, chunk_no + 1, begin + n, (SELECT max(k) FROM range(1, 1001) r(k) WHERE strlen(substring(text, (begin + n + 1), k)) <= 1000) FROM c WHERE begin + n < length(text) OR chunk_no < 0)
+SELECT doc_id, chunk_no, substring(text, begin + 1, n) AS chunk FROM c WHERE chunk_no >= 0""")
 def utf8_chunks(spark, d):
     chunks = T.utf8_chunks(F.col("text"), 1000)
     return table(spark, d, "documents").select("doc_id", F.posexplode(chunks).alias("chunk_no", "chunk"))
 
 
-@query()
+# No document holds a backtick, so every fence is a line of its own here and they open and close in turn.
+@query("""WITH l AS (SELECT doc_id, unnest(range(len(x)))::INT AS line_no, unnest(x) = '```' AS fence FROM (SELECT doc_id, string_split(replace(text, 'The ', '```' || chr(10)), chr(10)) AS x FROM documents))
+SELECT doc_id, line_no, NOT fence AND count(*) FILTER (WHERE fence) OVER (PARTITION BY doc_id ORDER BY line_no) % 2 = 0 AS visible FROM l""")
 def visible_lines(spark, d):
     text = F.replace("text", F.lit("The "), F.lit("```\n"))
-    return table(spark, d, "documents").select("doc_id", lines.visible(text).alias("visible"))
+    return table(spark, d, "documents").select("doc_id", F.posexplode(lines.visible(text)).alias("line_no", "visible"))
 
 
 @query("""SELECT doc_id, fence || 'markdown' || chr(10) || CASE WHEN text = '' THEN '(empty)' ELSE replace(substring(text, 1, 12000), '<!-- ITEM_', '&lt;!-- ITEM_') END || chr(10) || fence
