@@ -40,6 +40,8 @@ BLOCK_CELLS = 4096
 SMALL = 8
 #: Prefix tokens that a part is sized for, members of a block, queries of a chunk.
 PART_TOKENS, BLOCK, CHUNK = 1 << 21, 256, 4096
+#: Salts of a group's key where its rows meet its shape.
+SALTS = 16
 
 
 def least_overlap(n: int, share: int) -> int:
@@ -304,8 +306,11 @@ def _linked(docs: DataFrame, pairs: DataFrame, members: DataFrame, share: int) -
     sizes = members.groupBy("g").agg(F.count(F.lit(1)).alias("size")).withColumn("blocks", F.expr(f"cast((size + {BLOCK - 1}) div {BLOCK} as int)"))
     loads = pairs.groupBy("g").agg(F.count(F.lit(1)).alias("queries")).withColumn("chunks", F.expr(f"cast((queries + {CHUNK - 1}) div {CHUNK} as int)"))
     shape = sizes.join(loads, "g").select("g", "blocks", "chunks")
-    one = members.join(shape, "g").withColumn("block", F.expr("cast(pmod(xxhash64(id), blocks) as int)")).withColumn("chunk", F.explode(F.expr("sequence(0, chunks - 1)")))
-    many = pairs.join(shape, "g").withColumn("chunk", F.expr("cast(pmod(xxhash64(q), chunks) as int)")).withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
+    # A group may hold or be asked by a third of all rows, so its key is salted.
+    salted = shape.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    shaped = lambda df, id_: df.withColumn("salt", F.expr(f"cast(pmod(xxhash64({id_}, 1), {SALTS}) as int)")).join(salted, ["g", "salt"]).drop("salt")
+    one = shaped(members, "id").withColumn("block", F.expr("cast(pmod(xxhash64(id), blocks) as int)")).withColumn("chunk", F.explode(F.expr("sequence(0, chunks - 1)")))
+    many = shaped(pairs, "q").withColumn("chunk", F.expr("cast(pmod(xxhash64(q), chunks) as int)")).withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
     rows = one.select("g", "block", "chunk", F.when(F.col("loose"), 1).otherwise(0).alias("kind"), "id").unionByName(many.select("g", "block", "chunk", F.lit(2).alias("kind"), F.col("q").alias("id")))
     rows = cut(rows)
     rows = rows.join(_sets(docs, rows.select("id").distinct()), "id").select("g", "block", "chunk", "kind", "id", "tokens")
