@@ -69,7 +69,8 @@ def rows(docs):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    for table in ("documents", "pages"):
+        con.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     rel = con.execute(ORACLE_SQL[name])
     columns = [c[0] for c in rel.description]
     got = QUERIES[name](spark, SF)
