@@ -39,9 +39,11 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix takes it: none, one or two."""
-    taken = mix(docs).where("taken > 0").groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.expr("cast(taken div size as int)")).alias("_times"))
-    joined = docs.join(taken, docs["doc_id"] == taken["_id"])
+    """Each row as many times as the mix takes it: none, one or two. Rows go by a hash of all their columns, so null and shared ids lose none; equal rows add up."""
+    columns = [x for c in docs.columns for x in (F.col(c), F.col(c).isNull())]  # the hash alone passes over nulls
+    keyed = docs.withColumn("_a", F.xxhash64(*columns)).withColumn("_b", F.xxhash64(F.lit(1), *columns))
+    taken = mix(keyed, carry=("_a", "_b")).where("taken > 0").groupBy("_a", "_b").agg(F.expr("cast(sum(taken div size) as int)").alias("_times"))
+    joined = keyed.dropDuplicates(["_a", "_b"]).join(taken, ["_a", "_b"])
     return joined.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
 
 

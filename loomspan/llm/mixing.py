@@ -109,13 +109,14 @@ def seeded(id_col: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: Fraction = Fraction(3, 2), max_repeats: int = 2, seed: int = 1, members: str | None = None, max_patterns: int = 20_000) -> DataFrame:
+def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: Fraction = Fraction(3, 2), max_repeats: int = 2, seed: int = 1, members: str | None = None, max_patterns: int = 20_000, carry: Sequence[str] = ()) -> DataFrame:
     """doc_id, size, sources (its pattern), taken of each row, and source_size and target of its first source.
 
     members names a column with an array of sources; without it each document is in its `source` alone. Sources in code-point order, null last, get the weights in turn.
+    carry names columns that are handed through; they also break ties of the order.
     """
     pattern = F.array_sort(F.array_distinct(F.transform(F.col(members), lambda x: F.coalesce(F.concat(F.lit("="), x), F.lit("~"))))) if members else F.array(F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("~")))
-    rows = docs.select("doc_id", word_count(F.col("text")).alias("size"), pattern.alias("_pattern")).withColumn("_order", seeded("doc_id", seed))
+    rows = docs.select("doc_id", word_count(F.col("text")).alias("size"), pattern.alias("_pattern"), *carry).withColumn("_order", seeded("doc_id", seed))
     rows = cut(rows)
     totals = rows.groupBy("_pattern").agg(F.sum("size").alias("n")).limit(max_patterns + 1).collect()
     if len(totals) > max_patterns:
@@ -129,10 +130,10 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: Fraction = F
     flow = route([r["n"] for r in totals], [[at[s] for s in r["_pattern"]] for r in totals], [int(t) for t in targets], max_repeats)
     plan = [(r["_pattern"], r["n"], [sum(x.values()) for x in own], sizes[at[r["_pattern"][0]]] if r["_pattern"] else 0, targets[at[r["_pattern"][0]]] if r["_pattern"] else 0.0) for r, own in zip(totals, flow, strict=True)]
     plan_df = docs.sparkSession.createDataFrame(plan or [([], 0, [0], 0, 0.0)], "_pattern array<string>, _total long, _levels array<long>, source_size long, target double")
-    return _select(rows, plan_df)
+    return _select(rows, plan_df, carry)
 
 
-def _select(rows: DataFrame, plan: DataFrame) -> DataFrame:
+def _select(rows: DataFrame, plan: DataFrame, carry: Sequence[str]) -> DataFrame:
     """Levels that pass a whole pattern repeat all its documents; the words of the last, partial level are met by documents in seeded order, and one to fill the gap."""
     planned = rows.join(F.broadcast(plan), "_pattern")  # at most max_patterns rows
     whole = F.size(F.filter("_levels", lambda n: (n >= F.col("_total")) & (n > 0)))
@@ -140,7 +141,7 @@ def _select(rows: DataFrame, plan: DataFrame) -> DataFrame:
     planned = planned.withColumn("_whole", whole).withColumn("_rest", rest).withColumn("_bucket", F.substring("_order", 1, DIGITS))
     sums = planned.groupBy("_pattern", "_bucket").agg(F.sum("size").alias("_sum"))
     before = sums.select("_pattern", "_bucket", (F.sum("_sum").over(W.partitionBy("_pattern").orderBy("_bucket")) - F.col("_sum")).alias("_before"))
-    placed = planned.withColumn("_inner", F.sum("size").over(W.partitionBy("_pattern", "_bucket").orderBy("_order", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0))).join(before, ["_pattern", "_bucket"])
+    placed = planned.withColumn("_inner", F.sum("size").over(W.partitionBy("_pattern", "_bucket").orderBy("_order", "doc_id", "size", *carry).rowsBetween(W.unboundedPreceding, 0))).join(before, ["_pattern", "_bucket"])
     placed = placed.withColumn("_sum", F.col("_before") + F.col("_inner"))
     # The gap that the seeded prefix leaves, and the largest of the other documents that fits it (ties: first in order).
     fill = placed.groupBy("_pattern").agg((F.max("_rest") - F.max(F.when(F.col("_sum") <= F.col("_rest"), F.col("_sum")).otherwise(0))).alias("_gap"))
@@ -150,4 +151,4 @@ def _select(rows: DataFrame, plan: DataFrame) -> DataFrame:
     once = (F.col("_sum") <= F.col("_rest")) | F.coalesce((F.col("size") == F.col("_best.size")) & (-F.col("_sum") == F.col("_best.at")), F.lit(False))
     taken = F.col("size") * (F.col("_whole") + F.when(once, 1).otherwise(0))
     names = F.transform("_pattern", lambda s: F.when(s != "~", F.substr(s, F.lit(2))))
-    return out.select("doc_id", "size", names.alias("sources"), "source_size", "target", taken.cast("long").alias("taken"))
+    return out.select("doc_id", "size", names.alias("sources"), "source_size", "target", taken.cast("long").alias("taken"), *carry)

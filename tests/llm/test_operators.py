@@ -310,3 +310,15 @@ def test_pipeline(spark, labels, rows):
             assert Counter(i for i, _ in new) == Counter({r.doc_id: r.taken // r["size"] for r in mixing.mix(before).collect() if r.taken})
     assert seen == [n for n, _ in corpus_pipeline.STAGES] and docs.count() >= len(old)
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_pipeline_mix_keeps_null_and_shared_ids(spark):
+    made = [(None if i % 3 == 0 else i // 4, f"{i} " + "w " * (i % 7), "en" if i % 2 else None, None if i % 2 else "en", i) for i in range(60)] + [(None, "x y", "en", "a", 3)] * 5 + [(None, None, None, None, None)]
+    docs = spark.createDataFrame(made, SCHEMA)
+    got = corpus_pipeline.mix_sources(spark, docs, SF).collect()
+    words = lambda rows: Counter((r[0], r.source, n) for r in rows if (n := len(r.text.split())))
+    want = Counter()
+    for r in mixing.mix(docs).where("taken > 0").collect():
+        want[r.doc_id, r.sources[0], r["size"]] += r.taken // r["size"]
+    assert words(got) == want and any(r.doc_id is None for r in got)
+    assert {tuple(r) for r in got} <= set(made)
