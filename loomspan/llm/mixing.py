@@ -7,7 +7,8 @@ shortest paths. The flow cuts each pattern's words, laid out in seeded order of
 
 The order is by MD5 of seed and id, so that reruns agree and any SQL engine can repeat it. Sums over buckets of the order come before sums within the bucket
 where a cut falls, so a source may hold a third of all rows. The cut falls at the document boundary nearest below, and one more document, the largest that
-still fits, fills the gap. Only totals by pattern reach the driver; patterns are sets of sources, and more than `max_patterns` of them raise an error.
+still fits, fills the gap. Where no document is in several sources, any number of sources is planned in DataFrames. Where sources overlap, totals by pattern reach
+the driver's flow; patterns are sets of sources, and more than `max_patterns` of them then raise an error.
 
 Defined results: sizes count words; a null or empty text has size 0 and is taken 0 words; a null source is a source of its own, the last; equal texts or
 equal rows are taken each by its own (rows that share an id are taken alike or, at a cut, in any order); an empty table gives an empty one; extra columns are not read.
@@ -118,36 +119,72 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: Fraction = F
     pattern = F.array_sort(F.array_distinct(F.transform(F.col(members), lambda x: F.coalesce(F.concat(F.lit("="), x), F.lit("~"))))) if members else F.array(F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("~")))
     rows = docs.select("doc_id", word_count(F.col("text")).alias("size"), pattern.alias("_pattern"), *carry).withColumn("_order", seeded("doc_id", seed))
     rows = cut(rows)
-    totals = rows.groupBy("_pattern").agg(F.sum("size").alias("n")).limit(max_patterns + 1).collect()
+    totals = rows.groupBy("_pattern").agg(F.sum("size").alias("n"))
+    if not members or totals.where(~F.size("_pattern").eqNullSafe(F.lit(1))).isEmpty():
+        return _select(rows, _plan_apart(totals, weights, share, max_repeats), carry)
+    totals = totals.limit(max_patterns + 1).collect()
     if len(totals) > max_patterns:
-        raise ValueError(f"more than {max_patterns} membership patterns")
+        raise ValueError(f"more than {max_patterns} membership patterns that overlap")
     # "=" and "~" keep code-point order and put null last.
     totals.sort(key=lambda r: r["_pattern"])
     names = sorted({s for r in totals for s in r["_pattern"]})
     at = {s: i for i, s in enumerate(names)}
-    sizes = [sum(r["n"] for r in totals if s in r["_pattern"]) for s in names] if members else [next(r["n"] for r in totals if r["_pattern"] == [s]) for s in names]
+    sizes = [sum(r["n"] for r in totals if s in r["_pattern"]) for s in names]
     targets = water_fill(sizes, [weights[i % len(weights)] for i in range(len(names))], share, max_repeats)
     flow = route([r["n"] for r in totals], [[at[s] for s in r["_pattern"]] for r in totals], [int(t) for t in targets], max_repeats)
     plan = [(r["_pattern"], r["n"], [sum(x.values()) for x in own], sizes[at[r["_pattern"][0]]] if r["_pattern"] else 0, targets[at[r["_pattern"][0]]] if r["_pattern"] else 0.0) for r, own in zip(totals, flow, strict=True)]
-    plan_df = docs.sparkSession.createDataFrame(plan or [([], 0, [0], 0, 0.0)], "_pattern array<string>, _total long, _levels array<long>, source_size long, target double")
-    return _select(rows, plan_df, carry)
+    return _select(rows, docs.sparkSession.createDataFrame(plan, "_pattern array<string>, _total long, _levels array<long>, source_size long, target double"), carry)
+
+
+def _plan_apart(totals: DataFrame, weights: Sequence[int], share: Fraction, most: int) -> DataFrame:
+    """The plan of sources that do not overlap, however many: water_fill and the flow, which then is what each source's quota takes of its words level by level.
+
+    Each round of water_fill is one pair of sums, so that the driver holds no list of sources. Places in code-point order come from counts of sorted runs.
+    """
+    parts = int(totals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = cut(totals.repartitionByRange(parts, "_pattern").withColumn("_run", F.spark_partition_id()))
+    counts = runs.groupBy("_run").agg(F.count(F.lit(1)).alias("_n"))
+    firsts = counts.select("_run", (F.sum("_n").over(W.orderBy("_run")) - F.col("_n")).alias("_first"))  # at most as many rows as parts
+    place = F.col("_first") + F.row_number().over(W.partitionBy("_run").orderBy("_pattern")) - 1
+    turn = F.element_at(F.array(*[F.lit(w).cast("long") for w in weights]), (F.pmod(place, F.lit(len(weights))) + 1).cast("int"))
+    sources = cut(runs.join(F.broadcast(firsts), "_run").select("_pattern", "n", turn.alias("w")))
+    total, weight = sources.where("n > 0").agg(F.sum("n"), F.sum("w")).first()
+    exact = lambda k: f"cast('{k}' as decimal(38,0))"
+    full_n, full_w = 0, 0
+    while True:
+        rest, open_w = share.numerator * (total or 0) - most * share.denominator * full_n, (weight or 0) - full_w
+        # The rest by weight would be more than most * n. Those that are full stay so, as what the others get only rises.
+        full = F.lit(True) if not open_w else F.expr(f"{exact(rest)} * w > {exact(most * share.denominator * open_w)} * n")
+        n, w = sources.where("n > 0 and w > 0").where(full).agg(F.sum("n"), F.sum("w")).first()
+        if (n or 0, w or 0) == (full_n, full_w):
+            break
+        full_n, full_w = n or 0, w or 0
+    by_weight = F.lit(0.0) if not open_w else F.expr(f"cast({exact(rest)} * w as double) / cast({exact(share.denominator * open_w)} as double)")
+    target = F.when((F.col("n") == 0) | (F.col("w") == 0), F.lit(0.0)).when(full, (F.col("n") * most).cast("double")).otherwise(by_weight)
+    levels = F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda i: F.least("n", F.greatest(F.floor("target").cast("long") - i * F.col("n"), F.lit(0).cast("long"))))
+    return sources.withColumn("target", target).select("_pattern", F.col("n").alias("_total"), levels.alias("_levels"), F.col("n").alias("source_size"), "target")
 
 
 def _select(rows: DataFrame, plan: DataFrame, carry: Sequence[str]) -> DataFrame:
-    """Levels that pass a whole pattern repeat all its documents; the words of the last, partial level are met by documents in seeded order, and one to fill the gap."""
-    planned = rows.join(F.broadcast(plan), "_pattern")  # at most max_patterns rows
+    """Levels that pass a whole pattern repeat all its documents; the words of the last, partial level are met by documents in seeded order, and one to fill the gap.
+
+    What holds for a pattern is joined to its buckets, and these to the rows, so that neither many patterns nor one of very many rows land in one task.
+    """
     whole = F.size(F.filter("_levels", lambda n: (n >= F.col("_total")) & (n > 0)))
     rest = F.coalesce(F.array_max(F.filter("_levels", lambda n: (n > 0) & (n < F.col("_total")))), F.lit(0))
-    planned = planned.withColumn("_whole", whole).withColumn("_rest", rest).withColumn("_bucket", F.substring("_order", 1, DIGITS))
-    sums = planned.groupBy("_pattern", "_bucket").agg(F.sum("size").alias("_sum"))
-    before = sums.select("_pattern", "_bucket", (F.sum("_sum").over(W.partitionBy("_pattern").orderBy("_bucket")) - F.col("_sum")).alias("_before"))
-    placed = planned.withColumn("_inner", F.sum("size").over(W.partitionBy("_pattern", "_bucket").orderBy("_order", "doc_id", "size", *carry).rowsBetween(W.unboundedPreceding, 0))).join(before, ["_pattern", "_bucket"])
+    plan = plan.select("_pattern", whole.alias("_whole"), rest.alias("_rest"), "source_size", "target")
+    key, pattern = ["_pattern", "_bucket"], W.partitionBy("_pattern")  # at most 16^DIGITS buckets of a pattern
+    rows = rows.withColumn("_bucket", F.substring("_order", 1, DIGITS))
+    sums = rows.groupBy(*key).agg(F.sum("size").alias("_sum"))
+    before = sums.select(*key, (F.sum("_sum").over(pattern.orderBy("_bucket")) - F.col("_sum")).alias("_before")).join(plan, "_pattern")
+    placed = rows.withColumn("_inner", F.sum("size").over(W.partitionBy(*key).orderBy("_order", "doc_id", "size", *carry).rowsBetween(W.unboundedPreceding, 0))).join(before, key)
     placed = placed.withColumn("_sum", F.col("_before") + F.col("_inner"))
     # The gap that the seeded prefix leaves, and the largest of the other documents that fits it (ties: first in order).
-    fill = placed.groupBy("_pattern").agg((F.max("_rest") - F.max(F.when(F.col("_sum") <= F.col("_rest"), F.col("_sum")).otherwise(0))).alias("_gap"))
-    key = F.struct(F.col("size"), (-F.col("_sum")).alias("at"))
-    best = placed.join(F.broadcast(fill), "_pattern").where("_sum > _rest and size > 0 and size <= _gap").groupBy("_pattern").agg(F.max(key).alias("_best"))
-    out = placed.join(F.broadcast(best), "_pattern", "left")
+    reach = placed.groupBy(*key).agg(F.max("_rest").alias("_rest"), F.max(F.when(F.col("_sum") <= F.col("_rest"), F.col("_sum")).otherwise(0)).alias("_reach"))
+    fill = reach.select(*key, (F.max("_rest").over(pattern) - F.max("_reach").over(pattern)).alias("_gap"))
+    largest = F.struct(F.col("size"), (-F.col("_sum")).alias("at"))
+    best = placed.join(fill, key).where("_sum > _rest and size > 0 and size <= _gap").groupBy("_pattern").agg(F.max(largest).alias("_best"))
+    out = placed.join(sums.select(*key).join(best, "_pattern"), key, "left")
     once = (F.col("_sum") <= F.col("_rest")) | F.coalesce((F.col("size") == F.col("_best.size")) & (-F.col("_sum") == F.col("_best.at")), F.lit(False))
     taken = F.col("size") * (F.col("_whole") + F.when(once, 1).otherwise(0))
     names = F.transform("_pattern", lambda s: F.when(s != "~", F.substr(s, F.lit(2))))

@@ -107,6 +107,23 @@ def test_mix_targets_and_overlap(spark, awkward, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_mix_of_very_many_sources(spark):
+    rnd = random.Random(7)
+    made = [(i, "w " * rnd.choice([0, 1, 2, 3, 5, 8, 40]), f"site{rnd.random()}" if i else None) for i in range(20_500)]
+    docs = spark.createDataFrame(made, "doc_id long, text string, source string")
+    order = sorted(made, key=lambda r: (r[2] is None, r[2] or ""))
+    sizes = [len(r[1]) // 2 for r in order]
+    targets = mixing.water_fill(sizes, [(5, 2, 1)[i % 3] for i in range(len(order))], Fraction(3, 2), 2)
+    want = {r[0]: (n, n, t, n * (int(t) // n) if n else 0) for r, n, t in zip(order, sizes, targets, strict=True)}  # one document a source: all of it or none
+    assert {r.doc_id: (r["size"], r.source_size, r.target, r.taken) for r in mixing.mix(docs).collect()} == want
+    # A few sources, one of each share: all full, none full, and the flow on the driver agrees once there is an overlap.
+    few = docs.where("doc_id < 40").withColumn("source", F.concat(F.lit("s"), (F.col("doc_id") % 7).cast("string")))
+    for share, most in ((Fraction(3), 2), (Fraction(1, 9), 1), (Fraction(7, 3), 3)):
+        own = few.withColumn("of", F.array("source")).unionByName(spark.createDataFrame([(99, "", ["y", "z"])], "doc_id long, text string, of array<string>"), allowMissingColumns=True)
+        read = lambda df: {r.doc_id: tuple(r) for r in df.collect() if r.doc_id != 99}
+        assert read(mixing.mix(few, share=share, max_repeats=most)) == read(mixing.mix(own, share=share, max_repeats=most, members="of"))
+
+
 def test_tokens_equal_the_library(spark, awkward, empty, rows):
     from tokenizers import Tokenizer
 
