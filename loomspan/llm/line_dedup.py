@@ -2,12 +2,13 @@
 
 Lines are hashed; each run of `width` consecutive lines of a text (split at line feeds) is a window with a 128-bit key. Of the windows with equal keys, the
 one with the smallest (doc_id, position) is the first occurrence and stays; each later one covers its lines. Covered positions are merged to intervals and
-their lines removed. Line hashes alone are shuffled, once by key (partial aggregation merges frequent windows before the shuffle), and texts once by doc_id;
+their lines removed. Line hashes alone are shuffled, once by key (partial aggregation merges frequent windows before the shuffle), and texts once by doc_id and hash;
 documents without later windows take no part in anything but the last join.
 
 Defined results: a null text stays null and has 0 lines; texts of fewer than `width` lines, and windows of blank lines alone, are left as they are; a text whose
 lines are all covered becomes empty; rows that share a doc_id count as one document's copies: windows at the same place of equal ids are one occurrence, so
-exact repeats of a row stay alike; an empty table gives an empty one; extra columns are kept.
+exact repeats of a row stay alike; where different texts share an id, each loses the lines that its own windows cover; null ids come last, in the order of their
+texts' hashes, and equal texts with null ids are copies likewise; an empty table gives an empty one; extra columns are kept.
 """
 
 from __future__ import annotations
@@ -36,23 +37,26 @@ def _windows(text: Column, width: int) -> Column:
 
 
 def repeated_spans(docs: DataFrame, width: int = 3) -> DataFrame:
-    """doc_id, spans: the merged intervals (first, last line, from 0) that later windows cover; a row for each document that has any."""
-    windows = docs.select("doc_id", F.posexplode(_windows(F.col("text"), width)).alias("pos", "key")).where("key is not null and doc_id is not null")
-    windows = cut(windows.select("doc_id", "pos", F.col("key.a").alias("a"), F.col("key.b").alias("b")))
-    firsts = windows.groupBy("a", "b").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.max(F.struct("doc_id", "pos")).alias("other")).where("first <> other")
-    later = windows.join(firsts.select("a", "b", "first"), ["a", "b"]).where(F.struct("doc_id", "pos") != F.col("first"))
-    places = later.groupBy("doc_id").agg(F.array_sort(F.collect_set("pos")).alias("at"))
+    """doc_id, h (hash of the text), spans: the merged intervals (first, last line, from 0) that later windows cover; a row for each text of a document that has any."""
+    windows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.posexplode(_windows(F.col("text"), width)).alias("pos", "key")).where("key is not null")
+    windows = cut(windows.select("doc_id", "h", "pos", F.col("key.a").alias("a"), F.col("key.b").alias("b")))
+    none = F.col("doc_id").isNull()
+    place = F.struct(none.alias("none"), F.col("doc_id"), F.when(none, F.col("h")).alias("h"), F.col("pos"))
+    firsts = windows.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("other")).where("first <> other")
+    later = windows.join(firsts.select("a", "b", "first"), ["a", "b"]).where(place != F.col("first"))
+    places = later.groupBy("doc_id", "h").agg(F.array_sort(F.collect_set("pos")).alias("at"))
     # A span begins where no covered window reaches the line before it, and ends likewise.
     begins = F.filter("at", lambda p, i: (i == 0) | (F.get("at", i - 1) + width < p))
     ends = F.filter("at", lambda p, i: (i == F.size("at") - 1) | (F.get("at", i + 1) > p + width))
     spans = F.zip_with(begins, ends, lambda b, e: F.struct(b.alias("first"), (e + (width - 1)).alias("last")))
-    return places.select("doc_id", spans.alias("spans"))
+    return places.select("doc_id", "h", spans.alias("spans"))
 
 
 def line_dedup(docs: DataFrame, width: int = 3) -> DataFrame:
     """docs with the repeated lines removed from `text`, and n_lines and n_removed (names that docs must not have; its other columns stay)."""
     spans = repeated_spans(docs.select("doc_id", "text"), width)
-    joined = docs.join(spans.select(F.col("doc_id").alias("_id"), F.col("spans").alias("_spans")), F.col("doc_id") == F.col("_id"), "left").drop("_id")
+    spans = spans.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.col("spans").alias("_spans"))
+    joined = docs.join(spans, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_h")), "left").drop("_id", "_h")
     kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.exists("_spans", lambda s: (i >= s["first"]) & (i <= s["last"])))
     removed = F.aggregate("_spans", F.lit(0), lambda n, s: n + (s["last"] - s["first"] + 1))
     columns = [c for c in docs.columns if c != "text"]
