@@ -12,9 +12,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspan.llm.common import shared_folder, table
+from loomspan.llm.common import cut, shared_folder, table, word_count
 from loomspan.llm.isolation_forest import keep_good
-from loomspan.llm.jaccard_join import jaccard_components
+from loomspan.llm.jaccard_join import labelled_rows, row_key
 from loomspan.llm.line_dedup import line_dedup
 from loomspan.llm.mixing import mix
 from loomspan.llm.packing import packed
@@ -33,9 +33,17 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of similarity 0.75 or more connect, that with the least id stays."""
-    gone = jaccard_components(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """Of documents that links of similarity 0.75 or more connect, that with the least id stays; where all ids are null, one row. Rows without words stay."""
+    rows = cut(labelled_rows(docs))
+    nameless = rows.where("component is null and root is not null")
+    other = nameless.join(nameless.groupBy("root").agg(F.min("r").alias("_least")), "root").where("r <> _least")
+    gone = rows.where("not doc_id <=> component").select("doc_id", "r").unionByName(other.select("doc_id", "r")).distinct()
+    gone = gone.select(F.col("doc_id").alias("_id"), F.col("r").alias("_gone"))
+    keyed = docs.withColumn("_r", row_key())
+    kept = keyed.join(gone, (F.col("_r") == F.col("_gone")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    copies = F.col("doc_id").isNull() & (word_count(F.col("text")) > 0)
+    one = kept.where(copies).groupBy("_r").agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
+    return kept.where(~copies).select(*docs.columns).unionByName(one)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

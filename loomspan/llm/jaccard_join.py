@@ -1,6 +1,6 @@
 """Exact self-join of documents by the Jaccard similarity of their word shingles, with a token-group matrix.
 
-Documents with equal shingle sets are one class, whose least id stands for it. Links between classes are found so that none is lost:
+Documents with equal shingle sets are one class, which the key of one of its rows (a 64-bit hash of id and text) stands for. Links between classes are found so that none is lost:
 
 1. *Order.* Any fixed order of shingles allows prefix filtering: two sets that link share one of the first n - ceil(0.75 n) + 1 of each. Rare ones come first, by
    counts over all documents in a table of 2^20 hashed cells (4 MB whatever the input), so common passages stay out of prefixes unless a text is little else.
@@ -13,11 +13,11 @@ Documents with equal shingle sets are one class, whose least id stands for it. L
 5. *Opening.* Qualifying groups are cut to blocks of bounded size. A block's union of tokens bounds the query's overlap once more; only then is the
    query compared with its members, with one link for each of the block's known components. Queries stream past blocks, so no task holds an unbounded group.
 
-Components come from the links and the leaders' links by distributed label passing.
+Components of classes come from the links and the leaders' links by distributed label passing; each is named by the least id of its rows at the end.
 
 Defined results: a null text or one without words has an empty set, 0 shingles, no link, and is its own component; repeated rows (and rows that share an id) give a
-row each; rows with null ids take part through their class but have no own id to give, so alone they have a null component; ties need no rule, as sets are
-unordered; an empty table gives an empty one; other columns are not read; texts are read whole.
+row each; rows that share an id are in the components of their own texts, as an id is no link; rows with null ids link like others but have no id to give, so a
+component of null ids alone is named null; ties need no rule, as sets are unordered; an empty table gives an empty one; other columns are not read; texts are read whole.
 """
 
 from __future__ import annotations
@@ -54,12 +54,12 @@ def _keys(tokens: np.ndarray) -> tuple[int, int]:
 
 
 def _classes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, n, a, b of each row; counts of cells)."""
+    """(doc_id, r, n, a, b of each row; counts of cells)."""
 
     def scan(batches):
         counts = np.zeros(1 << CELL_BITS, np.int64)
         seen: set[int] = set()
-        names = ["kind", "doc_id", "n", "a", "b", "data"]
+        names = ["kind", "doc_id", "r", "n", "a", "b", "data"]
         for batch in batches:
             for first, texts in slices(batch):
                 sizes, a, b, new = [], [], [], []
@@ -76,17 +76,17 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                     counts += np.bincount((np.concatenate(new) >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(counts))
                 k = len(texts)
                 ids = batch.column(0).slice(first, k).cast(pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(k, np.int32)), ids, pa.array(sizes, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(k, pa.binary())], names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(k, np.int32)), ids, batch.column(2).slice(first, k), pa.array(sizes, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(k, pa.binary())], names)
         if counts.any():
             blocks = counts.reshape(-1, BLOCK_CELLS)
             k = len(blocks)
             zero = pa.array(np.zeros(k, np.int64))
             data = pa.array([zlib.compress(x.tobytes(), 1) for x in blocks], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int32)), pa.array(np.arange(k)), zero, zero, zero, data], names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int32)), pa.array(np.arange(k)), zero, zero, zero, zero, data], names)
 
-    both = cut(docs.mapInArrow(scan, "kind int, doc_id long, n long, a long, b long, data binary"))
+    both = cut(docs.mapInArrow(scan, "kind int, doc_id long, r long, n long, a long, b long, data binary"))
     total = _summed(both.where("kind = 1").select(F.col("doc_id").cast("int").alias("block"), "data"), np.add)
-    return both.where("kind = 0").select("doc_id", "n", "a", "b"), _whole(total, 1 << CELL_BITS, BLOCK_CELLS, np.int64)
+    return both.where("kind = 0").select("doc_id", "r", "n", "a", "b"), _whole(total, 1 << CELL_BITS, BLOCK_CELLS, np.int64)
 
 
 def _summed(blocks: DataFrame, join: np.ufunc) -> DataFrame:
@@ -259,7 +259,7 @@ def _needed(n: str, low: str, high: str, share: int) -> Column:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """id, tokens of the documents whose id is wanted (and a few more). A bit table of fixed size tells the scan which, so texts aren't shuffled."""
+    """id, tokens of the rows whose key is wanted (and a few more), once a task. A bit table of fixed size tells the scan which, so texts aren't shuffled."""
     bits, words = 1 << 26, 1 << 13
     mask = np.uint64(bits - 1)
 
@@ -285,18 +285,21 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def scan(batches):
         table = shared.value
+        seen: set[int] = set()
         for batch in batches:
-            ids = np.asarray(batch.column(0).cast(pa.int64()).fill_null(0)) if batch.num_rows else np.zeros(0, np.int64)
+            ids = np.asarray(batch.column(0)) if batch.num_rows else np.zeros(0, np.int64)
             hit = np.ones(len(ids), bool)
             for p in places(ids):
                 hit &= (table[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)
             at = np.flatnonzero(hit)
+            own = ids[at].tolist()
+            at = at[[not (x in seen or seen.add(x)) for x in own]] if own else at
             for i in range(0, len(at), 200):
                 part = at[i : i + 200]
                 texts = batch.column(1).take(pa.array(part)).to_pylist()
                 yield pa.RecordBatch.from_arrays([pa.array(ids[part]), pa.array([shingle_set(t).tobytes() for t in texts], pa.binary())], ["id", "tokens"])
 
-    return docs.where("doc_id is not null").mapInArrow(scan, "id long, tokens binary")
+    return docs.select("r", "text").mapInArrow(scan, "id long, tokens binary")
 
 
 def _linked(docs: DataFrame, pairs: DataFrame, members: DataFrame, share: int) -> DataFrame:
@@ -311,7 +314,7 @@ def _linked(docs: DataFrame, pairs: DataFrame, members: DataFrame, share: int) -
     rows = rows.join(_sets(docs, rows.select("id").distinct()), "id").select("g", "block", "chunk", "kind", "id", "tokens")
 
     def run(batches):
-        key = None
+        key = last = None
         ids: list[int] = []
         held: list[np.ndarray] = []
         root: list[int] = []
@@ -323,6 +326,10 @@ def _linked(docs: DataFrame, pairs: DataFrame, members: DataFrame, share: int) -
             for i in range(batch.num_rows):
                 if (g[i], block[i], chunk[i]) != key:
                     key, ids, held, root, union = (g[i], block[i], chunk[i]), [], [], [], None
+                    last = None
+                if (kind[i], own[i]) == last:  # a copy of the row in another task
+                    continue
+                last = (kind[i], own[i])
                 tokens = np.frombuffer(batch.column(5)[i].as_buffer(), np.uint64)
                 if kind[i] < 2:
                     root.append(len(ids) if kind[i] else 0)
@@ -351,7 +358,7 @@ def _linked(docs: DataFrame, pairs: DataFrame, members: DataFrame, share: int) -
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
                 u, v = [], []
 
-    return rows.repartition("g", "block", "chunk").sortWithinPartitions("g", "block", "chunk", "kind").mapInArrow(run, "u long, v long")
+    return rows.repartition("g", "block", "chunk").sortWithinPartitions("g", "block", "chunk", "kind", "id").mapInArrow(run, "u long, v long")
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -364,23 +371,37 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
 def jaccard_components(docs: DataFrame, share: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id of each row of doc_id, text. Two documents link where 100 * common >= share * united shingles."""
     kind = docs.schema["doc_id"].dataType
-    docs = docs.select("doc_id", "text")
+    out = labelled_rows(docs, share)
+    return out.select(F.col("doc_id").cast(kind), F.col("n").alias("n_shingles"), F.col("component").cast(kind).alias("component_id"))
+
+
+def row_key() -> Column:
+    """Key of a row of doc_id, text; equal for copies."""
+    return F.xxhash64("doc_id", F.col("doc_id").isNull(), "text")
+
+
+def labelled_rows(docs: DataFrame, share: int = 75) -> DataFrame:
+    """doc_id, r (row_key), n, root (a key of the component, null for an empty set), component (its least id) of each row."""
+    docs = docs.select("doc_id", "text", row_key().alias("r"))
     narrow, counts = _classes(docs)
     links, classes = _links(docs, narrow, counts, share)
     labels = components(links)
-    labelled = classes.join(labels.withColumnRenamed("v", "id"), "id", "left").select("a", "b", F.coalesce("component", "id").alias("component"))
-    out = narrow.where("n > 0").join(labelled, ["a", "b"], "left").select("doc_id", "n", "component").unionByName(narrow.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component")))
-    return out.select(F.col("doc_id").cast(kind), F.col("n").alias("n_shingles"), F.col("component").cast(kind).alias("component_id"))
+    rooted = cut(classes.join(labels.withColumnRenamed("v", "id"), "id", "left").select("a", "b", "least", F.coalesce("component", "id").alias("root")))
+    names = cut(rooted.groupBy("root").agg(F.min("least").alias("component")))
+    labelled = rooted.join(names, "root").select("a", "b", "root", "component")
+    alone = narrow.where("n = 0").select("doc_id", "r", "n", F.lit(None).cast("long").alias("root"), F.col("doc_id").alias("component"))
+    return narrow.where("n > 0").join(labelled, ["a", "b"], "left").select("doc_id", "r", "n", "root", "component").unionByName(alone)
 
 
 def _links(docs: DataFrame, narrow: DataFrame, counts: np.ndarray, share: int) -> tuple[DataFrame, DataFrame]:
-    """((u, v) links between classes' ids that connect whatever links connect; a, b, n, id of classes)."""
+    """((u, v) links between classes that connect whatever links connect; a, b, n, id (key of one row), least (doc_id) of classes)."""
     spark = docs.sparkSession
-    classes = cut(narrow.where("n > 0").groupBy("a", "b").agg(F.min("n").alias("n"), F.min("doc_id").alias("id")))
+    key = F.coalesce(F.min(F.when(F.col("doc_id").isNotNull(), F.col("r"))), F.min("r"))  # rows with null ids may have very many copies
+    classes = cut(narrow.where("n > 0").groupBy("a", "b").agg(F.min("n").alias("n"), key.alias("id"), F.min("doc_id").alias("least")))
     total = classes.agg(F.sum(F.expr(f"n - ({share} * n + 99) div 100 + 1"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_TOKENS))
     tokens = cut(_tokens(_prefixes(docs, counts, share, parts), parts, share))
-    ids = classes.where("id is not null").select("a", "id")
+    ids = classes.select("a", "id")
     named = lambda df, column, to: df.join(ids.select(F.col("a").alias(column), F.col("id").alias(to)), column)
 
     def summed(k: int) -> DataFrame:
@@ -394,7 +415,7 @@ def _links(docs: DataFrame, narrow: DataFrame, counts: np.ndarray, share: int) -
     large = cut(named(tokens.where("kind = 2"), "y", "id").select(F.col("x").alias("token"), "id", "n").distinct())
 
     # Groups: of a leader; loose, by favourite leader and size; a class that is in neither, alone.
-    sizes = classes.where("id is not null").groupBy("id").agg(F.max("n").alias("n"))
+    sizes = classes.select("id", "n")
     wanted = small.select(F.explode(F.array("q", "o")).alias("id")).unionByName(large.select("id")).distinct()
     group = leads.select(F.col("u").alias("id"), F.col("v").alias("leader")).unionByName(leads.select(F.col("v").alias("id"), F.col("v").alias("leader"))).groupBy("id").agg(F.min("leader").alias("leader"))
     favourite = led.groupBy(F.col("q").alias("id")).agg(F.max(F.struct("c", "o"))["o"].alias("favourite"))

@@ -296,6 +296,20 @@ def test_jaccard(spark, awkward, empty, docs, rows):
     assert read(spark.createDataFrame(made, "doc_id long, text string")) == brute.jaccard_components(made)
 
 
+def test_jaccard_null_and_shared_ids(spark):
+    run = lambda name, a, b: " ".join(f"{name}{i}" for i in range(a, b))
+    # A chain through a null id, a null id beside 5, null ids alone, blank null ids, and 7 with a long and a short text of different families.
+    made = [(1, run("a", 0, 100)), (None, run("a", 10, 110)), (9, run("a", 20, 120)), (5, run("b", 0, 50)), (None, run("b", 1, 50)), (None, run("c", 0, 40)), (None, run("c", 1, 40)), (None, run("c", 1, 40)), (None, None), (None, " ")]
+    made += [(2, run("d", 0, 300)), (7, run("d", 1, 300)), (3, run("e", 0, 20)), (7, run("e", 1, 20)), (7, run("f", 0, 20)), *((20 + i, run("e", 0, 20) + f" x{i}") for i in range(12))]
+    docs = spark.createDataFrame([(i, t, "en", None, k) for k, (i, t) in enumerate(made)], SCHEMA)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(docs).collect())
+    assert got == brute.jaccard_components(made)
+    assert got[None, 96, 1] == got[9, 96, 1] == got[7, 15, 3] == got[7, 295, 2] == got[7, 16, 7] == 1
+    kept = Counter((r.doc_id, r.text) for r in corpus_pipeline.one_of_each_group(spark, docs, SF).collect())
+    alone = [x for x in kept if x[0] is None and (x[1] or "").startswith("c")]
+    assert len(alone) == 1 and kept == Counter([(1, made[0][1]), (5, made[3][1]), (None, None), (None, " "), (2, run("d", 0, 300)), (3, run("e", 0, 20)), (7, run("f", 0, 20)), *alone])
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 30)] + [(100, 200), (200, 150), (7, 7)]
     got = {r.v: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
