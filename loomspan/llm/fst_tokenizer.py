@@ -108,7 +108,7 @@ def _byte_chars() -> dict[str, int]:
 class FstTokenizer:
     """Counts and ids of a byte-level BPE vocabulary in the JSON format of the tokenizers library.
 
-    max_states bounds the compiled merger (about 0.3 kB a state); pretokens that would need more are merged one by one, with equal results.
+    max_states bounds the compiled merger (about 0.3 kB a state): beyond it all states but those that runs are in are forgotten, to be compiled anew when they are next met.
     """
 
     def __init__(self, path: str, max_states: int = 250_000):
@@ -131,14 +131,7 @@ class FstTokenizer:
         self.kinds = _classes()
         self.max_states = max_states
         self.pairs: dict[int, bool] = {}
-        self.known: dict[bytes, int] = {}
-        self.keys: list[bytes] = []
-        self.last = np.zeros(1 << 12, np.int32)
-        self.bits = 16
-        self.slots = np.full(1 << self.bits, -1, np.int64)
-        self.filled = 0
-        self.root = self._state(b"", [(0, size, 0)])
-        self.cold: dict[bytes, list[int]] = {}
+        self._forget()
 
     # The merger, compiled on demand.
 
@@ -164,15 +157,34 @@ class FstTokenizer:
             self.pairs[key] = known
         return known
 
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.keys: list[bytes] = []
+        self.last = np.zeros(1 << 12, np.int32)
+        self.bits = 16
+        self.slots = np.full(1 << self.bits, -1, np.int64)
+        self.filled = 0
+        self.root = self._state(b"", [(0, len(self.token), 0)])
+
+    def _evict(self, state: np.ndarray) -> np.ndarray:
+        """Forgets all states but the root and these, and gives their new numbers."""
+        own, back = np.unique(state, return_inverse=True)
+        keys = [self.keys[s] for s in own.tolist()]
+        self._forget()
+        return np.array([self._number(key) for key in keys], np.int64)[back]
+
     def _state(self, suffix: bytes, chain: list[tuple[int, int, int]]) -> int:
         """chain: for each place that many bytes back where a token may start, the last token there and its count against the present one."""
-        key = len(suffix).to_bytes(2, "little") + suffix + np.array(chain, np.int32).tobytes()
+        return self._number(len(suffix).to_bytes(2, "little") + suffix + np.array(chain, np.int32).tobytes())
+
+    def _number(self, key: bytes) -> int:
         if (s := self.known.get(key)) is None:
             s = self.known[key] = len(self.keys)
             self.keys.append(key)
             if s >= len(self.last):
                 self.last = np.concatenate([self.last, np.zeros_like(self.last)])
-            self.last[s] = chain[0][1]
+            first = 2 + int.from_bytes(key[:2], "little")  # the chain's first place is 0, where the last token ends
+            self.last[s] = int.from_bytes(key[first + 4 : first + 8], "little")
         return s
 
     def _compile(self, state: int, byte: int) -> int:
@@ -201,12 +213,10 @@ class FstTokenizer:
         return h
 
     def _step(self, key: int) -> int:
-        """Packed transition of key (state and byte), compiled if it is new; -1 if no more states are to be made."""
+        """Packed transition of key (state and byte), compiled if it is new."""
         h = self._slot(key)
         if self.slots[h] != -1:
             return int(self.slots[h]) & 0xFFFFFFFF
-        if len(self.keys) >= self.max_states:
-            return -1
         packed = self._compile(key >> 8, key & 255)
         self.filled += 1
         if self.filled * 2 > 1 << self.bits:
@@ -230,14 +240,13 @@ class FstTokenizer:
                 values, back = np.unique(keys[new], return_inverse=True)
                 bits = self.bits
                 packed = np.array([self._step(k) for k in values.tolist()], np.int64)
-                found[new] = np.where(packed[back] < 0, -2, keys[new] << 32 | packed[back])
+                found[new] = keys[new] << 32 | packed[back]
                 if bits != self.bits:
                     rest = bad[found[bad] >> 32 != keys[bad]]
-                    rest = rest[found[rest] != -2]
                     if len(rest):
                         found[rest] = self._steps(keys[rest])
                     return found
-            bad = bad[(found[bad] >> 32 != keys[bad]) & (found[bad] != -2)]
+            bad = bad[found[bad] >> 32 != keys[bad]]
             h[bad] = h[bad] + 1 & mask
             found[bad] = self.slots[h[bad]]
             bad = bad[found[bad] >> 32 != keys[bad]]
@@ -296,12 +305,12 @@ class FstTokenizer:
         cuts, sizes, owner = cuts[order], sizes[order], owner[order]
         live = int(np.searchsorted(-sizes, 0))
         state = np.full(live, self.root, np.int64)
-        cold = np.zeros(live, bool)
         total = np.zeros(live, np.int64)
         last = np.zeros(len(data) if with_last else 0, np.int32)
-        colds: list[np.ndarray] = []
         k0 = 0
         while live:
+            if len(self.keys) >= self.max_states:
+                state[:live] = self._evict(state[:live])
             steps = int(min(64, sizes[0] - k0))
             at = np.minimum(cuts[:live] + np.arange(k0, k0 + steps)[:, None], len(data) - 1)
             read, new = data[at], first[at]
@@ -310,12 +319,6 @@ class FstTokenizer:
                 live = int(np.searchsorted(-sizes[:live], -(k0 + k)))
                 now = np.where(new[k, :live], self.root, state[:live])
                 found = self._steps(now << 8 | read[k, :live])
-                if colds or found.min() == -2:
-                    stale = cold[:live] & ~new[k, :live] | (found == -2)
-                    cold[:live] = stale
-                    found = np.where(stale, self.root << 8 | 128, found)
-                    if stale.any():
-                        colds.append(at[k, :live][stale])
                 state[:live] = (found & 0xFFFFFFFF) >> 8
                 total[:live] += (found & 255) - 128
                 if with_last:
@@ -326,35 +329,8 @@ class FstTokenizer:
             k0 += steps
             live = int(np.searchsorted(-sizes[:live], -k0))
         counts = np.bincount(owner[: len(total)], total, len(texts)).astype(np.int64)
-        if colds:
-            touched = np.unique(np.searchsorted(places, np.concatenate(colds), side="right") - 1)
-            for a, b in zip(places[touched].tolist(), places[touched + 1].tolist(), strict=True):
-                tokens = self._cold(data[a:b].tobytes())
-                # The transducer's counts up to the place where it stopped are taken back.
-                counts[int(np.searchsorted(ends, a))] += len(tokens) - self._partial(data[a:b])
-                for t in tokens if with_last else ():
-                    a += len(self.token[t])
-                    last[a - 1] = t
         return (data, first, last, ends) if with_last else counts
 
-    def _partial(self, word: np.ndarray) -> int:
-        """What the transducer counts on a pretoken before its states run out."""
-        state, n = self.root, 0
-        for b in word.tolist():
-            packed = self._step(state << 8 | b)
-            if packed < 0:
-                break
-            state, n = packed >> 8, n + (packed & 255) - 128
-        return n
-
-    def _cold(self, word: bytes) -> list[int]:
-        if (tokens := self.cold.get(word)) is None:
-            tokens = self._merge(word)
-            if len(self.cold) > 100_000:
-                self.cold.clear()
-            self.cold[word] = tokens
-        return tokens
-
     def _pieces(self, text: str, most: int = 1 << 20) -> list[str | int]:
         """The text cut at special strings (their ids stand there) and, where it is long, before single spaces that surely start a pretoken."""
         found: list[str | int] = [text]
