@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import re
+import shutil
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: A word is a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Texts are handed to NumPy in slices of about this many characters.
-SLICE_CHARS = 1 << 20
+#: Texts are handed to NumPy in slices of about this many bytes.
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,72 +40,134 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", chars: int = SLICE_CHARS) -> Iterator[tuple[int, list[str]]]:
-    """(first row, texts) of runs of rows that hold about `chars` characters; null texts are empty."""
-    texts = batch.column(batch.schema.get_field_index(column)).to_pylist()
-    first, held, n = 0, [], 0
-    for i, text in enumerate(texts):
-        held.append(text or "")
-        n += len(held[-1])
-        if n >= chars:
-            yield first, held
-            first, held, n = i + 1, [], 0
-    if held:
-        yield first, held
+def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of runs of rows that hold about `size` bytes, one made at a time; null texts are empty."""
+    texts = batch.column(batch.schema.get_field_index(column))
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    first = 0
+    while first < len(texts):
+        before = upto[first - 1] if first else 0
+        stop = int(min(len(texts), np.searchsorted(upto, before + size) + 1))
+        yield first, [t or "" for t in texts.slice(first, stop - first).to_pylist()]
+        first = stop
 
 
-def even_splits(df: DataFrame, column: str, parts: int) -> list[int]:
-    """First values of the second and later of about `parts` runs of near equal numbers of rows of an integer column (nulls aside).
+def in_total_order(df: DataFrame, order: list[str | Column], name: str = "_rank") -> DataFrame:
+    """df with each row's place, from 0, in an order that should be total (a row number at the end makes it so).
 
-    Exact counts over cells of equal width, refined where a cell holds much: reruns agree, and the driver gets some hundred rows for each part.
+    Rows are dealt by ranges of the whole order, so no leading value, however frequent, has to stay in one task; within a range rows are numbered as they come,
+    and what goes before a range is a sum over counts of ranges, of which there are as many as shuffle partitions. df is read twice: cut it first if that is dear.
     """
-    low, high, n = df.agg(F.min(column), F.max(column), F.count(column)).first()
-    if not n or low == high:
-        return []
-    most, width = max(1, n // (4 * parts)), max(1, -(-(high - low + 1) // (8 * max(parts, 128))))
-    offset = F.col(column).cast("decimal(20,0)") - F.lit(low)
-    cells: dict[int, int] = {}
-    kept = df.where(F.col(column).isNotNull())
-    while True:
-        found = kept.groupBy(F.expr(f"cast(floor((cast({column} as decimal(20,0)) - {low}) / {width}) as bigint)").alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect()
-        heavy = [r["cell"] for r in found if r["n"] > most and width > 1]
-        cells |= {low + r["cell"] * width: r["n"] for r in found if not (r["n"] > most and width > 1)}
-        if not heavy:
-            break
-        kept = kept.where(F.floor(offset / F.lit(width)).cast("long").isin(heavy))
-        width = max(1, width // 64)
-        # Cells of the next width start at multiples of it, so a cell may begin before the heavy one that it lies in.
-    splits, held = [], 0
-    for start, count in sorted(cells.items()):
-        if held >= n / parts:
-            splits.append(start)
-            held = 0
-        held += count
-    return splits
-
-
-def run_of(column: Column, splits: list[int]) -> Column:
-    """Number of the run of even_splits that a value is in; nulls are in the last."""
-    edges = list(splits)
-
-    @F.pandas_udf("int")
-    def place(values: pd.Series) -> pd.Series:
-        known = values.notna().to_numpy()
-        out = np.full(len(values), len(edges), np.int32)
-        out[known] = np.searchsorted(np.array(edges, np.int64), values[known].astype("int64").to_numpy(), side="right")
-        return pd.Series(out)
-
-    return place(column)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = cut(df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())).withColumn("_range", F.expr("shiftright(_at, 33)"))
+    counts = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    firsts = counts.select("_range", (F.sum("_n").over(W.orderBy("_range")) - F.col("_n")).alias("_first"))
+    return placed.join(F.broadcast(firsts), "_range").withColumn(name, F.col("_first") + F.expr("_at & 8589934591")).drop("_range", "_at", "_first")
+
+
+#: Bytes that a run of ids is to hold at most.
+RUN_BYTES = 64 << 20
+
+
+class Runs:
+    """Runs of rows in the order of an integer id (nulls last), then of a hash h: at least as many as shuffle partitions, of about equal and bounded weight.
+
+    sizes has id, h and n (a row's weight) and is read a few times. Exact sums over cells of equal width give the cuts, refined where a cell holds much, and over ranges of h where a
+    single id (or null) does; so reruns agree, and the driver gets some rows for each run.
+    """
+
+    def __init__(self, sizes: DataFrame, most: int = RUN_BYTES):
+        parts = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        low, high, total, none = sizes.agg(F.min("id"), F.max("id"), F.sum("n"), F.sum(F.when(F.col("id").isNull(), F.col("n")))).first()
+        low, high, total, none = low or 0, high or 0, total or 0, none or 0
+        self.null_id = high + 1 if high < (1 << 63) - 1 else high
+        most = max(1, min(most, -(-total // parts)))
+        fine, width = max(1, most // 4), max(1, -(-(high - low + 1) // (8 * max(parts, -(-total // most), 128))))
+        cells: dict[tuple[int, int], int] = {}
+        hot: list[int] = []
+        known = sizes.where("id is not null")
+        while True:
+            cell = F.expr(f"cast(floor((cast(id as decimal(20,0)) - {low}) / {width}) as bigint)").alias("cell")
+            found = known.groupBy(cell).agg(F.sum("n").alias("n")).collect()
+            heavy = [r["cell"] for r in found if r["n"] > fine and width > 1]
+            hot += [low + r["cell"] for r in found if r["n"] > most and width == 1]
+            cells |= {(low + r["cell"] * width, -1 << 63): r["n"] for r in found if not (r["n"] > fine and width > 1)}
+            if not heavy:
+                break
+            known = known.where(F.expr(f"cast(floor((cast(id as decimal(20,0)) - {low}) / {width}) as bigint)").isin(heavy))
+            width = max(1, width // 64)
+            # Cells of the next width start at multiples of it, so a cell may begin before the heavy one that it lies in.
+        if none:
+            cells[self.null_id, -1 << 63] = none
+        if hot or none > most:
+            bits = min(40, (4 * max([none, *(cells[i, -1 << 63] for i in hot)]) // most).bit_length())
+            same = sizes.where(F.col("id").isin(hot) | (F.col("id").isNull() if none > most else F.lit(False)))
+            for i in [*hot, *([self.null_id] if none > most else [])]:
+                del cells[i, -1 << 63]
+            for r in same.groupBy("id", F.expr(f"shiftright(h, {64 - bits})").alias("range")).agg(F.sum("n").alias("n")).collect():
+                cells[self.null_id if r["id"] is None else r["id"], r["range"] << (64 - bits)] = r["n"]
+        self.starts, held = [], 0
+        for start, n in sorted(cells.items()):
+            if held and held + n / 2 > most:
+                self.starts.append(start)
+                held = 0
+            held += n
+        self.count = len(self.starts) + 1
+
+    def of(self, id_: Column, h: Column) -> Column:
+        """Number of the run that a row is in."""
+        ids, hashes = (np.array([s[k] for s in self.starts], np.int64) for k in (0, 1))
+
+        @F.pandas_udf("int")
+        def place(i: pd.Series, h: pd.Series) -> pd.Series:
+            i, h = i.to_numpy(np.int64), h.to_numpy(np.int64)
+            first, last = np.searchsorted(ids, i, side="left"), np.searchsorted(ids, i, side="right")
+            out = first.copy()
+            for k in np.unique(first[last > first]).tolist():  # ids at which runs begin
+                own = (first == k) & (last > first)
+                out[own] = k + np.searchsorted(hashes[k : last[own][0]], h[own], side="right")
+            return pd.Series(out.astype(np.int32))
+
+        return place(F.coalesce(id_.cast("long"), F.lit(self.null_id).cast("long")), h)
+
+
+def columns_but(df: DataFrame, *names: str) -> list[Column]:
+    """df's columns other than these, whatever their names."""
+    return [df[f"`{c}`"] for c in df.columns if c not in names]
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that executors and the driver share, from spark.checkpoint.dir; one of our own only where that is unset, as in tests."""
+    """The folder that executors and the driver share, from spark.checkpoint.dir; one of our own only where that is unset and all run in one process, as in tests."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="loomspan-ckpt-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if folder is None:
+            if not re.fullmatch(r"local(\[.*\])?", sc.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+            folder = tempfile.mkdtemp(prefix="loomspan-ckpt-")
+            atexit.register(shutil.rmtree, folder, True)
+        sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
+def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
+    return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else os.path.abspath(uri))
+
+
+def discard(folder: str) -> None:
+    """Removes a folder of ours, if it is there."""
+    fs, root = file_system(folder)
+    if fs.get_file_info(root).type != pafs.FileType.NotFound:
+        fs.delete_dir(root)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one; it goes when the driver's process ends."""
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    atexit.register(discard, folder)
+    return folder
+
+
 def label_sample(labels: DataFrame, sample: int) -> DataFrame:
     """doc_id, quality of at most `sample` labelled documents, those with the least hash of the id."""
     known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))

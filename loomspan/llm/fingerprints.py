@@ -4,10 +4,10 @@ Each shingle is hashed once; the top bits choose its bin, and a bin keeps its le
 leads to (the first that is not empty), so that equal sets give equal bins. The low-order bits of the bins are packed to the fingerprint; as unequal bins
 agree on b bits by chance once in 2^b, the likeness of two fingerprints is (agreement - 2^-b) / (1 - 2^-b), at least 0.
 
-Texts are dealt once, in runs of ascending ids, so that each meets the next one; a run's last text meets a copy of the next run's first.
+Texts are dealt once, in runs of ascending ids and of bounded size in bytes, so that each meets the next one; a run's last text meets a copy of the next run's first, and the last run's that of the first.
 
-Defined results: a null text is empty; an empty text has an empty fingerprint, with likeness 1 to its equal and 0 to others; ties in the id go by text, null ids
-come last; a single document is its own next; repeated rows give a row each; an empty table gives an empty one; other columns are not read.
+Defined results: ids are integers; a null text is empty; an empty text has an empty fingerprint, with likeness 1 to its equal and 0 to others; ties in the id go by a hash of
+the text, null ids come last; a single document is its own next; repeated rows give a row each; an empty table gives an empty one; other columns are not read.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import even_splits, run_of
+from .common import Runs, cut
 from .shingles import mixed, shingle_hashes
 
 BINS, BITS = 512, 4
@@ -87,32 +87,32 @@ def edited(text: str, following: str) -> str:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_chars, edited_sha256, fingerprint, edited_fingerprint (hex), near_edited, near_next."""
-    spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    splits = even_splits(docs.select("id"), "id", parts)
-    runs = docs.withColumn("run", run_of(F.col("id"), splits)).withColumn("guest", F.lit(0))
-    if splits:
-        # Each run's first id, as a guest of the run before; the first of all is a guest of the last.
-        firsts = {r["run"]: r["id"] for r in docs.select("id").withColumn("run", run_of(F.col("id"), splits)).groupBy("run").agg(F.min("id").alias("id")).collect()}
-        order = sorted(firsts)
-        host = {firsts[k]: order[i - 1] for i, k in enumerate(order) if firsts[k] is not None}
-        guests = docs.where(F.col("id").isin(list(host)))
-        to = F.create_map(*[F.lit(x) for pair in host.items() for x in pair])
-        runs = runs.unionByName(guests.select("id", "text", to[F.col("id")].alias("run"), F.lit(1).alias("guest")))
-    placed = runs.repartition(max(1, len(splits) + 1), "run").sortWithinPartitions("run", "guest", F.col("id").asc_nulls_last(), "text")
+    docs = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    sizes = cut(docs.select("id", "h", (F.octet_length("text") + 64).cast("long").alias("n")))
+    runs = Runs(sizes)
+    run = runs.of(F.col("id"), F.col("h"))
+    none = F.col("id").isNull()
+    # A row for each run: its first text, which is a guest of the run before.
+    firsts = sizes.select("id", "h", run.alias("run")).groupBy("run").agg(F.min(F.struct(none.alias("none"), "id", "h")).alias("first"))
+    firsts = firsts.select(F.col("run").alias("of"), F.col("first.id").alias("first_id"), F.col("first.h").alias("first_h"))
+    first = (F.col("run") == F.col("of")) & F.col("id").eqNullSafe(F.col("first_id")) & (F.col("h") == F.col("first_h"))
+    rows = docs.withColumn("run", run).join(F.broadcast(firsts), first, "left")
+    place = lambda r, guest: F.struct(r.cast("int").alias("run"), F.lit(guest).alias("guest"))
+    host = F.pmod(F.col("run") - 1, F.lit(runs.count))
+    places = F.when(F.col("of").isNull(), F.array(place(F.col("run"), 0))).otherwise(F.array(place(F.col("run"), 0), place(host, 1)))
+    rows = rows.select("id", "text", "h", F.explode(places).alias("place")).select("id", "text", "h", "place.*")
+    placed = rows.repartitionById(runs.count, F.col("run")).sortWithinPartitions("run", "guest", F.col("id").asc_nulls_last(), "h", "text")
     names = [id_col, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
     def compute(batches):
-        state: dict = {"run": None, "open": None, "first": None}
+        last: tuple | None = None  # the text that waits for its next one
         rows: list[tuple] = []
 
         def close(following: str, print_: bytes) -> None:
-            i, text, own = state["open"]
+            i, text, own = last
             new = edited(text, following)
             other = own if new == text else fingerprint(new)
             rows.append((i, len(text), hashlib.sha256(new.encode()).hexdigest(), own.hex(), other.hex(), likeness(own, other), likeness(own, print_)))
-            state["open"] = None
 
         def take():
             columns = list(zip(*rows, strict=True))
@@ -123,28 +123,18 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         id_type = None
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for i, text, run, guest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if run != state["run"]:
-                    if state["open"]:  # without a guest the run holds all documents: the first follows the last
-                        close(*state["first"])
-                    state |= {"run": run, "first": None}
-                if guest:
-                    if state["open"]:
-                        close(text, fingerprint(text))
+            for i, text, guest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if guest and last is None:  # equal rows are guests together
                     continue
                 own = fingerprint(text)
-                if state["open"]:
+                if last is not None:
                     close(text, own)
-                state["open"] = (i, text, own)
-                if state["first"] is None:
-                    state["first"] = (text, own)
+                last = None if guest else (i, text, own)
                 if len(rows) >= 2000:
                     yield take()
-        if state["open"]:
-            close(*state["first"])
         if rows:
             yield take()
 
     fields = [T.StructField(id_col, docs.schema["id"].dataType), T.StructField("n_chars", T.LongType())]
     fields += [T.StructField(n, T.StringType()) for n in names[2:5]] + [T.StructField(n, T.DoubleType()) for n in names[5:]]
-    return placed.select("id", "text", "run", "guest").mapInArrow(compute, T.StructType(fields))
+    return placed.select("id", "text", "guest").mapInArrow(compute, T.StructType(fields))

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_folder, table
+from .common import scratch, table
 from .fingerprints import fingerprints
 from .gam import quality_scores
 from .hilbert_shards import curve, hilbert_shards
@@ -62,7 +61,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    out = scratch(spark, "warc")
     write_warc(table(spark, sf_dir, "pages"), out)
     return read_warc(spark, out).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 

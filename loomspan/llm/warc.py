@@ -1,14 +1,14 @@
 """Deterministic sharded WARC writer and its reader.
 
-Records are range-sorted by id: exact counts give the ranges, each task writes its range in order and rolls to a new file once the compressed size passes a
-limit. Each record is a gzip member of its own with a fixed time stamp; record ids, lengths and digests are made anew from the payload, so that the same
+Records are range-sorted by id (equal ids by digest): exact sums of sizes give ranges of bounded bytes, each task writes its range in order and rolls to a new file once the compressed
+size passes a limit. Each record is a gzip member of its own with a fixed time stamp; record ids, lengths and digests are made anew from the payload, so that the same
 rows give the same bytes. Files are written under temporary names. The tasks return manifest rows; the driver renames the files that they list and last puts
 the manifest in place, by a rename too. Files of lost or repeated tasks are listed nowhere, and readers go by the manifest.
 
 Of records with equal payloads (by SHA-1 and length) that with the smallest id is the response and the others revisit it. Those duplicates are found on
 digests alone; they travel to the writer in the same shuffle as the pages, each just before its page.
 
-Defined results: a null payload is empty and a payload like others; rows that share the smallest id of a payload are all responses; a null id is written
+Defined results: ids are integers; a null payload is empty and a payload like others; rows that share the smallest id of a payload are all responses; a null id is written
 without one and takes part in no order; null addresses are left out, line ends and blanks in addresses are percent-encoded; an empty table gives an empty manifest and
 no rows; other columns are not read.
 """
@@ -18,25 +18,20 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
-import os
 import uuid
 import zlib
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import even_splits, run_of
+from .common import Runs, cut, file_system as _at
 
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def _at(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else os.path.abspath(uri))
-
-
 def _member(data: bytes) -> bytes:
     """One gzip member without name or time."""
     z = zlib.compressobj(6, zlib.DEFLATED, 31)
@@ -79,16 +74,19 @@ def write_warc(pages: DataFrame, out: str, roll_bytes: int = 64 << 20, date: str
     spark = pages.sparkSession
     fs, root = _at(out)
     fs.create_dir(f"{root}/tmp", recursive=True)
-    rows = pages.select("page_id", "url", F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"))
-    narrow = rows.select("page_id", F.sha1("payload").alias("digest"), F.octet_length("payload").alias("n")).where(F.col("page_id").isNotNull() & (F.col("n") >= least))
-    firsts = narrow.groupBy("digest", "n").agg(F.min("page_id").alias("first"), F.max("page_id").alias("last")).where("first <> last")
-    repeats = narrow.join(firsts.drop("last"), ["digest", "n"]).where("page_id <> first").select("page_id", "digest", "first").distinct()
-    splits = even_splits(pages.select("page_id"), "page_id", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = pages.select("page_id", "url", F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload")).withColumn("digest", F.sha1("payload"))
+    narrow = cut(rows.select("page_id", "digest", F.octet_length("payload").alias("n")))
+    h = (F.conv(F.substring("digest", 1, 15), 16, 10).cast("long") - (1 << 59)) * 16  # in the order of digests; equal digests stay together, others spread evenly
+    runs = Runs(narrow.select(F.col("page_id").alias("id"), h.alias("h"), (F.col("n") + 512).cast("long").alias("n")))
+    known = narrow.where(F.col("page_id").isNotNull() & (F.col("n") >= least))
+    # The minima are written first: a skewed partition of a join of plain tables gets split, so a payload may be a third of all.
+    firsts = cut(known.groupBy("digest", "n").agg(F.min("page_id").alias("first"), F.max("page_id").alias("last")).where("first <> last").drop("last"))
+    repeats = known.join(firsts, ["digest", "n"]).where("page_id <> first").select("page_id", "digest", "first").distinct()
     none = F.lit(None)
-    both = rows.select("page_id", "url", "payload", none.cast("string").alias("digest"), none.cast(pages.schema["page_id"].dataType).alias("first"), F.lit(1).alias("kind"))
+    both = rows.select("page_id", "url", "payload", "digest", none.cast(pages.schema["page_id"].dataType).alias("first"), F.lit(1).alias("kind"))
     both = both.unionByName(repeats.select("page_id", none.cast("string").alias("url"), none.cast("binary").alias("payload"), "digest", "first", F.lit(0).alias("kind")))
-    both = both.withColumn("run", run_of(F.col("page_id"), splits)).repartition(len(splits) + 1, "run")
-    both = both.sortWithinPartitions("run", F.col("page_id").asc_nulls_last(), "kind", "digest", "payload", "url").select("run", "page_id", "url", "payload", "digest", "first", "kind")
+    both = both.withColumn("run", runs.of(F.col("page_id"), h)).repartitionById(runs.count, F.col("run"))
+    both = both.sortWithinPartitions("run", F.col("page_id").asc_nulls_last(), "digest", "kind", "url").select("run", "page_id", "url", "payload", "digest", "first", "kind")
 
     def write(batches):
         fs, root = _at(out)
@@ -106,15 +104,14 @@ def write_warc(pages: DataFrame, out: str, roll_bytes: int = 64 << 20, date: str
             now["sum"].update(data)
             now["bytes"] += len(data)
 
-        known: tuple = (None, {})
+        known: tuple = (None, None, None)
         for batch in batches:
-            for i in range(batch.num_rows):
-                run, page_id, url, payload, digest, first, kind = (c[i].as_py() for c in batch.columns)
+            for run, page_id, url, payload, digest, first, kind in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if run != now["run"]:
                     shut()
                     now |= {"run": run, "roll": 0}
                 if kind == 0:
-                    known = (page_id, (known[1] if known[0] == page_id else {}) | {digest: first})
+                    known = (page_id, digest, first)
                     continue
                 if now["file"] is None:
                     name = f"{prefix}-{run:05d}-{now['roll']:05d}.warc.gz"
@@ -123,7 +120,7 @@ def write_warc(pages: DataFrame, out: str, roll_bytes: int = 64 << 20, date: str
                     now["file"] = fs.open_output_stream(f"{root}/{temp}", compression=None)
                     info = [("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, name)}>"), ("WARC-Date", date), ("WARC-Filename", name)]
                     put(_member(_record([*info, ("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n")))
-                refers = known[1].get(hashlib.sha1(payload).hexdigest()) if known[0] == page_id and page_id is not None else None
+                refers = known[2] if known[:2] == (page_id, digest) else None
                 put(_member(page_record(page_id, url, payload, refers, date)[1]))
                 now["records"] += 1
                 if now["bytes"] >= roll_bytes:
@@ -133,8 +130,8 @@ def write_warc(pages: DataFrame, out: str, roll_bytes: int = 64 << 20, date: str
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done, strict=True)], ["name", "temp", "records", "bytes", "sha1"])
 
     found = both.mapInArrow(write, "name string, temp string, records long, bytes long, sha1 string").collect()  # a row for each file
-    for r in found:
-        fs.move(f"{root}/{r['temp']}", f"{root}/{r['name']}")
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(lambda r: fs.move(f"{root}/{r['temp']}", f"{root}/{r['name']}"), found))
     manifest = {"files": sorted(({k: r[k] for k in ("name", "records", "bytes", "sha1")} for r in found), key=lambda x: x["name"])}
     with fs.open_output_stream(f"{root}/tmp/manifest.json") as f:
         f.write(json.dumps(manifest, indent=1).encode())
@@ -145,11 +142,11 @@ def write_warc(pages: DataFrame, out: str, roll_bytes: int = 64 << 20, date: str
 
 def records(data) -> tuple[dict[str, str], bytes]:
     """(headers, block) of each record of a stream of gzip members."""
-    z, text = zlib.decompressobj(31), b""
+    z, parts = zlib.decompressobj(31), []
     while True:
         chunk = z.unused_data or data.read(1 << 16)
         if z.eof:
-            head, _, rest = text.partition(b"\r\n\r\n")
+            head, _, rest = b"".join(parts).partition(b"\r\n\r\n")
             headers = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
             n = int(headers["Content-Length"])
             if not head.startswith(b"WARC/1.") or rest[n:] != b"\r\n\r\n":
@@ -157,12 +154,12 @@ def records(data) -> tuple[dict[str, str], bytes]:
             yield headers, rest[:n]
             if not chunk:
                 return
-            z, text = zlib.decompressobj(31), b""
+            z, parts = zlib.decompressobj(31), []
         elif not chunk:
-            if text:
+            if any(parts):
                 raise ValueError("a record breaks off")
             return
-        text += z.decompress(chunk)
+        parts.append(z.decompress(chunk))
 
 
 def read_warc(spark: SparkSession, out: str) -> DataFrame:
@@ -181,7 +178,7 @@ def read_warc(spark: SparkSession, out: str) -> DataFrame:
         rows: list[tuple] = []
         held = 0
         for batch in batches:
-            for name in batch.column(0).to_pylist():
+            for name in batch.column(1).to_pylist():
                 with fs.open_input_stream(f"{root}/{name}", compression=None) as f:
                     for h, block in records(f):
                         if h["WARC-Type"] == "warcinfo":
@@ -199,5 +196,5 @@ def read_warc(spark: SparkSession, out: str) -> DataFrame:
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], columns)
 
-    files = spark.createDataFrame([(n,) for n in names], "name string").repartition(len(names), "name")
+    files = spark.createDataFrame(list(enumerate(names)), "file int, name string").repartitionById(len(names), F.col("file"))
     return files.mapInArrow(read, schema)
