@@ -4,8 +4,8 @@ Several metadata dimensions are quantised to 2^bits levels each: a size by its l
 cells near, so runs of it hold narrow ranges of every dimension, and a reader can skip shards by the ranges that `manifest` states. Documents are ordered by
 curve index, CRC of the text and id, and the order is cut into runs.
 
-The law is `rows`: shard = floor(rank * shards / rows), so counts are at most one apart whatever the sizes. The global rank needs no single task: counts of
-cells (a fixed number) go before counts of salted buckets in a cell, and these before ranks within a bucket, so a cell may hold a third of all rows.
+The law is `rows`: shard = floor(rank * shards / rows), so counts are at most one apart whatever the sizes. The global rank needs no single task: rows without their texts are
+dealt by ranges of the whole order, down to a row number, so a cell, and a group of equal texts, may hold a third of all rows.
 
 Defined results: a null text has size 1 and CRC 0; null names are a level of their own; ties go by id, then null ids last, and equal rows are put side by
 side in any order; an empty table gives an empty one; fewer rows than shards leave shards empty; other columns are not read.
@@ -16,11 +16,9 @@ from __future__ import annotations
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Buckets of a cell, by the text's CRC; a multiple of nothing in the data.
-SALTS = 1024
+from .common import cut, in_total_order
 
 
 def hilbert_index(point: tuple[int, ...], bits: int) -> int:
@@ -75,17 +73,12 @@ def hilbert_shards(docs: DataFrame, shards: int = 8, bits: int = 4) -> DataFrame
     rows = rows.withColumn("size_level", log_level(F.col("size"), bits))
     cell = (F.col("source_level") * (1 << bits) + F.col("lang_level")) * (1 << bits) + F.col("size_level")
     table = F.split(F.lit(curve(3, bits)), ",").cast("array<int>")
-    rows = rows.withColumn("curve", F.get(table, cell)).withColumn("_salt", F.floor(F.col("text_crc32") / F.lit((1 << 32) // SALTS)).cast("int"))
-    buckets = rows.groupBy("curve", "_salt").agg(F.count(F.lit(1)).alias("_n"))
-    # At most 2^(3 * bits) rows, whatever the input's size.
-    cells = buckets.groupBy("curve").agg(F.sum("_n").alias("_cell")).select("curve", (F.sum("_cell").over(W.orderBy("curve")) - F.col("_cell")).alias("_first"), F.sum("_cell").over(W.partitionBy()).alias("_total"))
-    before = buckets.select("curve", "_salt", (F.sum("_n").over(W.partitionBy("curve").orderBy("_salt")) - F.col("_n")).alias("_before"))
-    inner = F.row_number().over(W.partitionBy("curve", "_salt").orderBy("text_crc32", F.col("doc_id").asc_nulls_last())) - 1
-    rank = F.col("_first") + F.col("_before") + F.col("_inner")
-    out = rows.withColumn("_inner", inner).join(before, ["curve", "_salt"]).join(cells, "curve").withColumn("_rank", rank)
-    shard = F.expr(f"cast(_rank * {shards} div _total as int)")
+    rows = cut(rows.withColumn("curve", F.get(table, cell)).withColumn("_row", F.monotonically_increasing_id()))
+    total = max(1, rows.count())
+    out = in_total_order(rows, ["curve", "text_crc32", F.col("doc_id").asc_nulls_last(), "_row"])
+    shard = F.expr(f"cast(_rank * {shards} div {total} as int)")
     # A shard's first rank is the least r with floor(r * shards / total) = shard.
-    first = F.expr(f"(cast(shard as bigint) * _total + {shards - 1}) div {shards}")
+    first = F.expr(f"(cast(shard as bigint) * {total} + {shards - 1}) div {shards}")
     return out.withColumn("shard", shard).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", (F.col("_rank") - first).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "curve", "source_level", "lang_level", "size_level"
     )
