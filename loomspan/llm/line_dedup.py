@@ -8,7 +8,7 @@ documents without later windows take no part in anything but the last join.
 Defined results: a null text stays null and has 0 lines; texts of fewer than `width` lines, and windows of blank lines alone, are left as they are; a text whose
 lines are all covered becomes empty; rows that share a doc_id count as one document's copies: windows at the same place of equal ids are one occurrence, so
 exact repeats of a row stay alike; where different texts share an id, each loses the lines that its own windows cover; null ids come last, in the order of their
-texts' hashes, and equal texts with null ids are copies likewise; an empty table gives an empty one; extra columns are kept.
+texts' hashes, and equal texts with null ids are copies likewise; an empty table gives an empty one; extra columns are kept, but for those named n_lines and n_removed.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import columns_but, cut
 
 
 def _windows(text: Column, width: int) -> Column:
@@ -43,7 +43,8 @@ def repeated_spans(docs: DataFrame, width: int = 3) -> DataFrame:
     none = F.col("doc_id").isNull()
     place = F.struct(none.alias("none"), F.col("doc_id"), F.when(none, F.col("h")).alias("h"), F.col("pos"))
     firsts = windows.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("other")).where("first <> other")
-    later = windows.join(firsts.select("a", "b", "first"), ["a", "b"]).where(place != F.col("first"))
+    # Both sides of the join are plain tables, so that a passage on very many documents is a skewed partition that gets split; beside an aggregate it would not be.
+    later = windows.join(cut(firsts.select("a", "b", "first")), ["a", "b"]).where(place != F.col("first"))
     places = later.groupBy("doc_id", "h").agg(F.array_sort(F.collect_set("pos")).alias("at"))
     # A span begins where no covered window reaches the line before it, and ends likewise.
     begins = F.filter("at", lambda p, i: (i == 0) | (F.get("at", i - 1) + width < p))
@@ -53,16 +54,22 @@ def repeated_spans(docs: DataFrame, width: int = 3) -> DataFrame:
 
 
 def line_dedup(docs: DataFrame, width: int = 3) -> DataFrame:
-    """docs with the repeated lines removed from `text`, and n_lines and n_removed (names that docs must not have; its other columns stay)."""
-    spans = repeated_spans(docs.select("doc_id", "text"), width)
-    spans = spans.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.col("spans").alias("_spans"))
-    joined = docs.join(spans, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_h")), "left").drop("_id", "_h")
-    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.exists("_spans", lambda s: (i >= s["first"]) & (i <= s["last"])))
-    removed = F.aggregate("_spans", F.lit(0), lambda n, s: n + (s["last"] - s["first"] + 1))
-    columns = [c for c in docs.columns if c != "text"]
+    """docs with the repeated lines removed from `text`, then n_lines and n_removed (which take the place of columns of docs of these names)."""
+    names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    out = deduped(docs, width)
+    return out.select(*[F.col("text") if c == "text" else F.col("own")[c].alias(c) for c in names], "n_lines", "n_removed")
+
+
+def deduped(docs: DataFrame, width: int = 3) -> DataFrame:
+    """own (a struct of docs' columns but text), text without the repeated lines, n_lines, n_removed."""
+    spans = repeated_spans(docs.select("doc_id", "text"), width).withColumnRenamed("doc_id", "i")
+    rows = docs.select(F.struct(*columns_but(docs, "text")).alias("own"), "text")
+    joined = rows.join(spans, F.col("own.doc_id").eqNullSafe(F.col("i")) & (F.xxhash64("text") == F.col("h")), "left")
+    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.exists("spans", lambda s: (i >= s["first"]) & (i <= s["last"])))
+    removed = F.aggregate("spans", F.lit(0), lambda n, s: n + (s["last"] - s["first"] + 1))
     return joined.select(
-        *columns,
-        F.when(F.col("_spans").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
+        "own",
+        F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
         F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(removed, F.lit(0)).cast("long").alias("n_removed"),
     )
