@@ -1,7 +1,8 @@
 """Connected components of an edge table by alternating large and small stars (Kiveris et al. 2014).
 
-Every round is a grouped minimum and a join on the same key, both of which Spark splits where a vertex has very many edges; no vertex, edge or component
-list reaches the driver, only two sums that tell whether a round changed anything.
+Every round is a grouped minimum, combined before the shuffle, and a join of two plain tables on the same key, whose skewed partitions adaptive execution splits where a vertex
+has very many edges (beside an aggregate on the key it would not, so the minima are written first); no vertex, edge or component list reaches the driver,
+only two sums that tell whether a round changed anything. Edges with a null end are no edges; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ def _star(edges: DataFrame, both_ways: bool) -> DataFrame:
         near = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         near = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = near.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
+    least = cut(near.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u")))
     joined = near.join(least, "u")
     if both_ways:
         out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -1,6 +1,7 @@
 """Exact self-join of documents by the Jaccard similarity of their word shingles, with a token-group matrix.
 
-Documents with equal shingle sets are one class, which the key of one of its rows (a 64-bit hash of id and text) stands for. Links between classes are found so that none is lost:
+Documents with equal shingle sets (by a 128-bit hash) are one class. A class is named by the first 64 bits of its hash; the few classes that share these go by the others, and all names are
+checked to be distinct. Links between classes are found so that none is lost:
 
 1. *Order.* Any fixed order of shingles allows prefix filtering: two sets that link share one of the first n - ceil(0.75 n) + 1 of each. Rare ones come first, by
    counts over all documents in a table of 2^20 hashed cells (4 MB whatever the input), so common passages stay out of prefixes unless a text is little else.
@@ -23,6 +24,7 @@ component of null ids alone is named null; ties need no rule, as sets are unorde
 from __future__ import annotations
 
 import zlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +41,7 @@ BLOCK_CELLS = 4096
 #: A token of more classes than this names groups instead of pairs.
 SMALL = 8
 #: Prefix tokens that a part is sized for, members of a block, queries of a chunk.
-PART_TOKENS, BLOCK, CHUNK = 1 << 21, 256, 4096
+PART_TOKENS, BLOCK, CHUNK = 1 << 21, 256, 512
 
 
 def least_overlap(n: int, share: int) -> int:
@@ -47,13 +49,41 @@ def least_overlap(n: int, share: int) -> int:
     return -(-share * n // 100)
 
 
-def _keys(tokens: np.ndarray) -> tuple[int, int]:
+def _keys(tokens: np.ndarray, key_bits: int) -> tuple[int, int]:
     h = xxhash.xxh3_128_digest(tokens.tobytes())
     a, b = np.frombuffer(h, np.int64).tolist()
-    return a, b
+    return a >> (64 - key_bits), b
 
 
-def _classes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
+@dataclass(frozen=True)
+class Names:
+    """How a class is named: by a, unless several classes have it."""
+
+    key_bits: int
+    twins: frozenset[int]
+    seed: int
+
+    def of(self, tokens: np.ndarray) -> int:
+        a, b = _keys(tokens, self.key_bits)
+        return b ^ self.seed if a in self.twins else a
+
+
+def _named(classes: DataFrame, key_bits: int) -> tuple[DataFrame, Names]:
+    """classes with id, and the rule behind it.
+
+    Of N classes N^2 / 2^65 pairs share 64 bits: two among 10^10, so the twins that reach the driver are a handful.
+    """
+    twins = frozenset(r["a"] for r in classes.groupBy("a").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("a").collect())
+    if not twins:
+        return classes.withColumn("id", F.col("a")), Names(key_bits, twins, 0)
+    for seed in range(1, 100):
+        named = classes.withColumn("id", F.when(F.col("a").isin(list(twins)), F.col("b").bitwiseXOR(F.lit(seed).cast("long"))).otherwise(F.col("a")))
+        if named.groupBy("id").agg(F.count(F.lit(1)).alias("k")).where("k > 1").isEmpty():
+            return cut(named), Names(key_bits, twins, seed)
+    raise ValueError("no seed tells all classes apart")
+
+
+def _classes(docs: DataFrame, key_bits: int) -> tuple[DataFrame, np.ndarray]:
     """(doc_id, r, n, a, b of each row; counts of cells)."""
 
     def scan(batches):
@@ -65,7 +95,7 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 sizes, a, b, new = [], [], [], []
                 for text in texts:
                     tokens = shingle_set(text)
-                    x, y = _keys(tokens)
+                    x, y = _keys(tokens, key_bits)
                     sizes.append(len(tokens))
                     a.append(x)
                     b.append(y)
@@ -122,12 +152,12 @@ def _in_order(tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return tokens[np.lexsort((tokens, counts[(tokens >> np.uint64(64 - CELL_BITS)).astype(np.int64)]))]
 
 
-def _prefixes(docs: DataFrame, counts: np.ndarray, share: int, parts: int) -> DataFrame:
-    """part, data: packed (token, class key, set size) of prefix tokens, each class once a task."""
-    shared = docs.sparkSession.sparkContext.broadcast(counts.astype(np.int32) if counts.max(initial=0) < 1 << 31 else counts)
+def _prefixes(docs: DataFrame, counts: np.ndarray, names: Names, share: int, parts: int) -> DataFrame:
+    """part, data: packed (token, class, set size) of prefix tokens, each class once a task."""
+    shared = docs.sparkSession.sparkContext.broadcast((counts.astype(np.int32) if counts.max(initial=0) < 1 << 31 else counts, names))
 
     def scan(batches):
-        counts = shared.value
+        counts, names = shared.value
         seen: set[int] = set()
         tokens: list[np.ndarray] = []
         keys: list[int] = []
@@ -150,7 +180,7 @@ def _prefixes(docs: DataFrame, counts: np.ndarray, share: int, parts: int) -> Da
                     own = shingle_set(text)
                     if not len(own):
                         continue
-                    key = _keys(own)[0]
+                    key = names.of(own)
                     if key in seen:
                         continue
                     seen.add(key)
@@ -258,8 +288,8 @@ def _needed(n: str, low: str, high: str, share: int) -> Column:
     return F.expr(f"case when {lo} > {hi} then 9223372036854775807 else least({at(lo)}, {at(hi)}) - if({lo} < {hi}, 1, 0) end")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """id, tokens of the rows whose key is wanted (and a few more), once a task. A bit table of fixed size tells the scan which, so texts aren't shuffled."""
+def _sets(docs: DataFrame, wanted: DataFrame, names: Names) -> DataFrame:
+    """id, tokens of the classes of rows whose r is wanted (and a few more), once a task. A bit table of fixed size tells the scan which, so texts aren't shuffled."""
     bits, words = 1 << 26, 1 << 13
     mask = np.uint64(bits - 1)
 
@@ -280,11 +310,11 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             full = np.flatnonzero(blocks.any(axis=1))
             yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([zlib.compress(blocks[i].tobytes(), 1) for i in full], pa.binary())], ["block", "data"])
 
-    marked = _summed(wanted.select("id").mapInArrow(mark, "block int, data binary"), np.bitwise_or)
-    shared = docs.sparkSession.sparkContext.broadcast(_whole(marked, bits // 64, words, np.int64).view(np.uint64))
+    marked = _summed(wanted.select("r").mapInArrow(mark, "block int, data binary"), np.bitwise_or)
+    shared = docs.sparkSession.sparkContext.broadcast((_whole(marked, bits // 64, words, np.int64).view(np.uint64), names))
 
     def scan(batches):
-        table = shared.value
+        table, names = shared.value
         seen: set[int] = set()
         for batch in batches:
             ids = np.asarray(batch.column(0)) if batch.num_rows else np.zeros(0, np.int64)
@@ -296,22 +326,24 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             at = at[[not (x in seen or seen.add(x)) for x in own]] if own else at
             for i in range(0, len(at), 200):
                 part = at[i : i + 200]
-                texts = batch.column(1).take(pa.array(part)).to_pylist()
-                yield pa.RecordBatch.from_arrays([pa.array(ids[part]), pa.array([shingle_set(t).tobytes() for t in texts], pa.binary())], ["id", "tokens"])
+                sets = [shingle_set(t) for t in batch.column(1).take(pa.array(part)).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array([names.of(t) for t in sets], pa.int64()), pa.array([t.tobytes() for t in sets], pa.binary())], ["id", "tokens"])
 
     return docs.select("r", "text").mapInArrow(scan, "id long, tokens binary")
 
 
-def _linked(docs: DataFrame, pairs: DataFrame, members: DataFrame, share: int) -> DataFrame:
+def _linked(docs: DataFrame, classes: DataFrame, names: Names, pairs: DataFrame, members: DataFrame, share: int) -> DataFrame:
     """(u, v): links of q with members of g, for each pair (q, g), one for each component of a block that is known so far. members: g, id, loose (whether links do not connect them yet)."""
     sizes = members.groupBy("g").agg(F.count(F.lit(1)).alias("size")).withColumn("blocks", F.expr(f"cast((size + {BLOCK - 1}) div {BLOCK} as int)"))
     loads = pairs.groupBy("g").agg(F.count(F.lit(1)).alias("queries")).withColumn("chunks", F.expr(f"cast((queries + {CHUNK - 1}) div {CHUNK} as int)"))
-    shape = sizes.join(loads, "g").select("g", "blocks", "chunks")
+    # Written first, as all aggregates here that are joined on their key: a skewed partition of a join of plain tables gets split, so a group may hold, or be asked by, very many.
+    shape = cut(sizes.join(loads, "g").select("g", "blocks", "chunks"))
     one = members.join(shape, "g").withColumn("block", F.expr("cast(pmod(xxhash64(id), blocks) as int)")).withColumn("chunk", F.explode(F.expr("sequence(0, chunks - 1)")))
     many = pairs.join(shape, "g").withColumn("chunk", F.expr("cast(pmod(xxhash64(q), chunks) as int)")).withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
     rows = one.select("g", "block", "chunk", F.when(F.col("loose"), 1).otherwise(0).alias("kind"), "id").unionByName(many.select("g", "block", "chunk", F.lit(2).alias("kind"), F.col("q").alias("id")))
     rows = cut(rows)
-    rows = rows.join(_sets(docs, rows.select("id").distinct()), "id").select("g", "block", "chunk", "kind", "id", "tokens")
+    wanted = classes.join(rows.select("id").distinct(), "id", "left_semi").select("r")
+    rows = rows.join(_sets(docs, wanted, names), "id").select("g", "block", "chunk", "kind", "id", "tokens")
 
     def run(batches):
         key = last = None
@@ -368,10 +400,10 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(b[at] == a)) if len(b) else 0
 
 
-def jaccard_components(docs: DataFrame, share: int = 75) -> DataFrame:
+def jaccard_components(docs: DataFrame, share: int = 75, key_bits: int = 64) -> DataFrame:
     """doc_id, n_shingles, component_id of each row of doc_id, text. Two documents link where 100 * common >= share * united shingles."""
     kind = docs.schema["doc_id"].dataType
-    out = labelled_rows(docs, share)
+    out = labelled_rows(docs, share, key_bits)
     return out.select(F.col("doc_id").cast(kind), F.col("n").alias("n_shingles"), F.col("component").cast(kind).alias("component_id"))
 
 
@@ -380,11 +412,11 @@ def row_key() -> Column:
     return F.xxhash64("doc_id", F.col("doc_id").isNull(), "text")
 
 
-def labelled_rows(docs: DataFrame, share: int = 75) -> DataFrame:
-    """doc_id, r (row_key), n, root (a key of the component, null for an empty set), component (its least id) of each row."""
+def labelled_rows(docs: DataFrame, share: int = 75, key_bits: int = 64) -> DataFrame:
+    """doc_id, r (row_key), n, root (a key of the component, null for an empty set), component (its least id) of each row. key_bits: of a hash's first half (for tests)."""
     docs = docs.select("doc_id", "text", row_key().alias("r"))
-    narrow, counts = _classes(docs)
-    links, classes = _links(docs, narrow, counts, share)
+    narrow, counts = _classes(docs, key_bits)
+    links, classes = _links(docs, narrow, counts, share, key_bits)
     labels = components(links)
     rooted = cut(classes.join(labels.withColumnRenamed("v", "id"), "id", "left").select("a", "b", "least", F.coalesce("component", "id").alias("root")))
     names = cut(rooted.groupBy("root").agg(F.min("least").alias("component")))
@@ -393,26 +425,24 @@ def labelled_rows(docs: DataFrame, share: int = 75) -> DataFrame:
     return narrow.where("n > 0").join(labelled, ["a", "b"], "left").select("doc_id", "r", "n", "root", "component").unionByName(alone)
 
 
-def _links(docs: DataFrame, narrow: DataFrame, counts: np.ndarray, share: int) -> tuple[DataFrame, DataFrame]:
-    """((u, v) links between classes that connect whatever links connect; a, b, n, id (key of one row), least (doc_id) of classes)."""
+def _links(docs: DataFrame, narrow: DataFrame, counts: np.ndarray, share: int, key_bits: int) -> tuple[DataFrame, DataFrame]:
+    """((u, v) links between classes that connect whatever links connect; a, b, n, id, r (key of one row), least (doc_id) of classes)."""
     spark = docs.sparkSession
     key = F.coalesce(F.min(F.when(F.col("doc_id").isNotNull(), F.col("r"))), F.min("r"))  # rows with null ids may have very many copies
-    classes = cut(narrow.where("n > 0").groupBy("a", "b").agg(F.min("n").alias("n"), key.alias("id"), F.min("doc_id").alias("least")))
+    classes, names = _named(cut(narrow.where("n > 0").groupBy("a", "b").agg(F.min("n").alias("n"), key.alias("r"), F.min("doc_id").alias("least"))), key_bits)
     total = classes.agg(F.sum(F.expr(f"n - ({share} * n + 99) div 100 + 1"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_TOKENS))
-    tokens = cut(_tokens(_prefixes(docs, counts, share, parts), parts, share))
-    ids = classes.select("a", "id")
-    named = lambda df, column, to: df.join(ids.select(F.col("a").alias(column), F.col("id").alias(to)), column)
+    tokens = cut(_tokens(_prefixes(docs, counts, names, share, parts), parts, share))
 
     def summed(k: int) -> DataFrame:
         return tokens.where(F.col("kind") == k).groupBy("x", "y").agg(F.min("n").alias("n"), F.min("m").alias("m"), F.sum("c").alias("c"))
 
     # Leaders: the count is of some shared tokens only, so half of what a link takes is asked for; whatever is missed here the matrix finds.
-    led = cut(named(named(summed(1), "x", "q"), "y", "o").where("q <> o").select("q", "o", "c", (2 * F.col("c") >= _needed("n", "m", "m", share)).alias("near")))
+    led = cut(summed(1).where("x <> y").select(F.col("x").alias("q"), F.col("y").alias("o"), "c", (2 * F.col("c") >= _needed("n", "m", "m", share)).alias("near")))
     near = led.where("near").select("q", F.col("o").alias("g"))
-    leads = cut(_linked(docs, near, near.select("g", F.col("g").alias("id"), F.lit(False).alias("loose")).distinct(), share))
-    small = cut(named(named(summed(0), "x", "q"), "y", "o").where("q <> o").select("q", "o", "c"))
-    large = cut(named(tokens.where("kind = 2"), "y", "id").select(F.col("x").alias("token"), "id", "n").distinct())
+    leads = cut(_linked(docs, classes, names, near, near.select("g", F.col("g").alias("id"), F.lit(False).alias("loose")).distinct(), share))
+    small = cut(summed(0).where("x <> y").select(F.col("x").alias("q"), F.col("y").alias("o"), "c"))
+    large = cut(tokens.where("kind = 2").select(F.col("x").alias("token"), F.col("y").alias("id"), "n").distinct())
 
     # Groups: of a leader; loose, by favourite leader and size; a class that is in neither, alone.
     sizes = classes.select("id", "n")
@@ -423,7 +453,7 @@ def _links(docs: DataFrame, narrow: DataFrame, counts: np.ndarray, share: int) -
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.2)))
     name = F.when(F.col("leader").isNotNull(), F.concat(F.lit("c"), "leader")).when(F.col("in_large"), F.concat(F.lit("l"), F.coalesce("favourite", "id"), F.lit("/"), band)).otherwise(F.concat(F.lit("c"), "id"))
     member = cut(member.select("id", "n", name.alias("g"), (F.col("leader").isNull() & F.col("in_large").isNotNull()).alias("loose")))
-    span = member.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("low"), F.max("n").alias("high"))
+    span = cut(member.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("low"), F.max("n").alias("high")))
     of = cut(member.join(span, "g").select("id", "n", "g", "loose", "size", "low", "high"))
 
     def other(df: DataFrame, prefix: str) -> DataFrame:
@@ -437,10 +467,13 @@ def _links(docs: DataFrame, narrow: DataFrame, counts: np.ndarray, share: int) -
     held = large.select("token", "id").join(of, "id")
     groups = held.groupBy("token", "g").agg(F.count(F.lit(1)).alias("k"), F.first("loose").alias("loose"), F.first("size").alias("size"), F.first("low").alias("low"), F.first("high").alias("high"))
     several = groups.groupBy("token").agg(F.min("g").alias("first"), F.max("g").alias("last"), F.max(F.col("loose") & (F.col("k") > 1)).alias("open")).where("first <> last or open").select("token")
-    held, groups = held.join(several, "token", "left_semi"), groups.join(several, "token", "left_semi")
-    matrix = other(held, "q").join(other(groups, "o"), F.col("q_token") == F.col("o_token")).where(asks)
+    # A holder meets a group in the octave of its own size alone, if any of the group's sizes can link with it.
+    octave = lambda n: F.floor(F.log2(n.cast("double"))).cast("int")
+    reach = F.sequence(octave(F.expr(f"greatest(1, low * {share} div 100)")), octave(F.expr(f"high * 100 div {share} + 1")))
+    groups = cut(groups.join(several, "token", "left_semi").withColumn("octave", F.explode(reach)))
+    matrix = other(held.withColumn("octave", octave(F.col("n"))), "q").join(other(groups, "o"), (F.col("q_token") == F.col("o_token")) & (F.col("q_octave") == F.col("o_octave"))).where(asks)
     matrix = matrix.select(F.col("q_id").alias("q"), "q_n", "o_g", "o_low", "o_high", F.lit(1).cast("long").alias("c"))
     asked = pairs.select(*columns).unionByName(matrix.select(*columns)).groupBy("q", "o_g").agg(F.min("q_n").alias("q_n"), F.min("o_low").alias("o_low"), F.max("o_high").alias("o_high"), F.sum("c").alias("c"))
     asked = cut(asked.where(F.col("c") >= _needed("q_n", "o_low", "o_high", share)).select("q", F.col("o_g").alias("g")))
-    opened = _linked(docs, asked, member.select("g", "id", "loose").join(asked.select("g").distinct(), "g", "left_semi"), share)
+    opened = _linked(docs, classes, names, asked, member.select("g", "id", "loose").join(asked.select("g").distinct(), "g", "left_semi"), share)
     return leads.unionByName(opened), classes
