@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from array import array
 
 import numpy as np
 
@@ -31,6 +32,9 @@ FRESH, IN_L, IN_N, IN_O, SPACE_1, SPACE_N, WHITE_1, WHITE_N, Q, Q_R, Q_V, Q_L =
 #: What a transition settles: a start at the character just read, a start at the one before.
 HERE, BEFORE = 1, 2
 
+#: Rank of pairs that no merge joins.
+NEVER = 1 << 60
+
 CHUNK = 64
 RUN = 160
 
@@ -108,10 +112,10 @@ def _byte_chars() -> dict[str, int]:
 class FstTokenizer:
     """Counts and ids of a byte-level BPE vocabulary in the JSON format of the tokenizers library.
 
-    max_states bounds the compiled merger (about 0.3 kB a state): beyond it all states but those that runs are in are forgotten, to be compiled anew when they are next met.
+    max_states bounds the compiled merger (about 0.3 kB a state): beyond it those that texts meet least are forgotten, to be compiled anew when they are next met.
     """
 
-    def __init__(self, path: str, max_states: int = 250_000):
+    def __init__(self, path: str, max_states: int = 200_000):
         with open(path, encoding="utf-8") as f:
             data = json.load(f)
         chars = _byte_chars()
@@ -130,59 +134,121 @@ class FstTokenizer:
         self.go, self.out = _splitter()
         self.kinds = _classes()
         self.max_states = max_states
+        made = {a + b: i for (a, b), i in self.ranks.items()}  # the last merge that makes a token
+        self.ascending = all(made.get(x, -1) < i for pair, i in self.ranks.items() for x in pair)
+        self.sides: dict[int, tuple[list, list] | None] = {}
         self.pairs: dict[int, bool] = {}
-        self._forget()
+        self.known: dict[bytes, int] = {}
+        self.keys: list[bytes] = []
+        self.last, self.met = np.zeros(1 << 12, np.int32), np.zeros(1 << 12, np.int32)
+        self._table(np.zeros(0, np.int64), 16)
+        self.root = self._state(b"", [(0, size, 0)])
 
     # The merger, compiled on demand.
 
     def _merge(self, word: bytes) -> list[int]:
         parts = [word[i : i + 1] for i in range(len(word))]
-        ranks, none = self.ranks, 1 << 60
         while len(parts) > 1:
-            rank, i = min((ranks.get(p, none), i) for i, p in enumerate(zip(parts, parts[1:], strict=False)))
-            if rank == none:
+            rank, i = min((self.ranks.get(p, NEVER), i) for i, p in enumerate(zip(parts, parts[1:], strict=False)))
+            if rank == NEVER:
                 break
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         return [self.ids[p] for p in parts]
 
+    def _sides(self, token: int) -> tuple[list, list] | None:
+        """How a token's last and first parts grow as it is merged: (part, rank of the merge that ends it), the whole token last; None for a token that its own bytes don't give."""
+        if (known := self.sides.get(token, False)) is not False:
+            return known
+        parts = [self.token[token][i : i + 1] for i in range(len(self.token[token]))]
+        ends, begins = [], []
+        while len(parts) > 1:
+            rank, i = min((self.ranks.get(p, NEVER), i) for i, p in enumerate(zip(parts, parts[1:], strict=False)))
+            if rank == NEVER:
+                break
+            if i == len(parts) - 2:
+                ends.append((parts[-1], rank))
+            if i == 0:
+                begins.append((parts[0], rank))
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        out = ([*ends, (parts[0], NEVER)], [*begins, (parts[0], NEVER)]) if len(parts) == 1 and parts[0] in self.ids else None
+        self.sides[token] = out
+        return out
+
     def _fits(self, before: int, token: int) -> bool:
+        """Whether token, after the start or after another token, is what merging gives.
+
+        Merges go by rank, and where each merge's parts have lesser ranks, in ascending ranks. So two tokens stay apart unless parts of theirs that meet at the boundary
+        have a merge that comes before those that end these parts; of equal ranks the left one comes first.
+        """
+        own = self._sides(token)
+        if before == len(self.token) or own is None:
+            return own is not None
         key = before << 20 | token
         if (known := self.pairs.get(key)) is None:
-            if before == len(self.token):
-                known = self._merge(self.token[token]) == [token]
+            if len(self.pairs) > 300_000:
+                self.pairs.clear()
+            if self.ascending:
+                known, i, j = True, 0, 0
+                left, right = self._sides(before)[0], own[1]
+                while True:
+                    (a, t), (b, u) = left[i], right[j]
+                    rank = self.ranks.get((a, b), NEVER)
+                    if rank < t and rank <= u and rank != NEVER:
+                        known = False
+                        break
+                    if t == u == NEVER:
+                        break
+                    i, j = (i + 1, j) if t <= u else (i, j + 1)
             else:
                 known = self._merge(self.token[before] + self.token[token]) == [before, token]
-            if len(self.pairs) > 1_000_000:
-                self.pairs.clear()
             self.pairs[key] = known
         return known
 
-    def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.keys: list[bytes] = []
-        self.last = np.zeros(1 << 12, np.int32)
-        self.bits = 16
-        self.slots = np.full(1 << self.bits, -1, np.int64)
-        self.filled = 0
-        self.root = self._state(b"", [(0, len(self.token), 0)])
-
     def _evict(self, state: np.ndarray) -> np.ndarray:
-        """Forgets all states but the root and these, and gives their new numbers."""
-        own, back = np.unique(state, return_inverse=True)
-        keys = [self.keys[s] for s in own.tolist()]
-        self._forget()
-        return np.array([self._number(key) for key in keys], np.int64)[back]
+        """Forgets the states that were met least, with at most half of max_states left, but neither the root nor these, whose new numbers it gives."""
+        n = len(self.keys)
+        kept = np.zeros(n, bool)
+        kept[np.argsort(-self.met[:n], kind="stable")[: self.max_states // 2]] = True
+        kept &= self.met[:n] > 0
+        kept[state] = kept[self.root] = True
+        number = np.cumsum(kept) - 1
+        old = self.slots[self.slots != -1]
+        old = old[kept[old >> 40] & kept[(old & 0xFFFFFFFF) >> 8]]
+        steps = (number[old >> 40] << 8 | old >> 32 & 255) << 32 | number[(old & 0xFFFFFFFF) >> 8] << 8 | old & 255
+        self.keys = [key for key, own in zip(self.keys, kept.tolist(), strict=True) if own]
+        self.known = {key: i for i, key in enumerate(self.keys)}
+        last, met = self.last[:n][kept], self.met[:n][kept] // 2
+        self.last, self.met = np.zeros_like(self.last), np.zeros_like(self.met)
+        self.last[: len(last)], self.met[: len(met)] = last, met
+        self.root = int(number[self.root])
+        self._table(steps, 16)
+        return number[state]
+
+    def _table(self, steps: np.ndarray, bits: int) -> None:
+        """Puts transitions into a new table, at most half of it full."""
+        while len(steps) * 2 > 1 << bits:
+            bits += 1
+        self.bits, self.filled = bits, len(steps)
+        self.slots = np.full(1 << bits, -1, np.int64)
+        at = ((steps >> 32).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
+        left = np.arange(len(steps))
+        while len(left):
+            free = left[self.slots[at[left]] == -1]
+            place, first = np.unique(at[free], return_index=True)
+            self.slots[place] = steps[free[first]]
+            left = left[self.slots[at[left]] != steps[left]]
+            at[left] = at[left] + 1 & (1 << bits) - 1
 
     def _state(self, suffix: bytes, chain: list[tuple[int, int, int]]) -> int:
         """chain: for each place that many bytes back where a token may start, the last token there and its count against the present one."""
-        return self._number(len(suffix).to_bytes(2, "little") + suffix + np.array(chain, np.int32).tobytes())
+        return self._number(len(suffix).to_bytes(2, "little") + suffix + array("i", [x for place in chain for x in place]).tobytes())
 
     def _number(self, key: bytes) -> int:
         if (s := self.known.get(key)) is None:
             s = self.known[key] = len(self.keys)
             self.keys.append(key)
             if s >= len(self.last):
-                self.last = np.concatenate([self.last, np.zeros_like(self.last)])
+                self.last, self.met = (np.concatenate([x, np.zeros_like(x)]) for x in (self.last, self.met))
             first = 2 + int.from_bytes(key[:2], "little")  # the chain's first place is 0, where the last token ends
             self.last[s] = int.from_bytes(key[first + 4 : first + 8], "little")
         return s
@@ -191,16 +257,16 @@ class FstTokenizer:
         """Packed transition: next state, change of count plus 128."""
         key = self.keys[state]
         n = int.from_bytes(key[:2], "little")
-        suffix, chain = key[2 : 2 + n], np.frombuffer(key[2 + n :], np.int32).reshape(-1, 3).tolist()
-        at = {back: (token, count) for back, token, count in chain}
+        suffix, flat = key[2 : 2 + n], array("i", key[2 + n :])
+        chain = list(zip(flat[::3], flat[1::3], flat[2::3], strict=True))  # places in ascending distance
         read = suffix + bytes([byte])
-        for size in range(len(read), 0, -1):
-            token = self.ids.get(read[-size:])
-            if token is not None and size - 1 in at and self._fits(at[size - 1][0], token):
+        for back, before, count in reversed(chain):
+            token = self.ids.get(read[len(read) - back - 1 :])
+            if token is not None and self._fits(before, token):
                 break
         else:
             raise ValueError("the vocabulary lacks single bytes")
-        change = at[size - 1][1] + 1
+        change = count + 1
         rest = next(read[i:] for i in range(len(read) + 1) if read[i:] in self.starts)
         new = [(0, token, 0)]
         new += [(b + 1, t, c - change) for b, t, c in chain if b + 1 <= len(rest) and rest[len(rest) - b - 1 :] in self.starts]
@@ -220,11 +286,8 @@ class FstTokenizer:
         packed = self._compile(key >> 8, key & 255)
         self.filled += 1
         if self.filled * 2 > 1 << self.bits:
-            old = self.slots[self.slots != -1]
-            self.bits += 1
-            self.slots = np.full(1 << self.bits, -1, np.int64)
-            for v in old.tolist():
-                self.slots[self._slot(v >> 32)] = v
+            self._table(self.slots[self.slots != -1], self.bits + 1)
+            self.filled += 1
             h = self._slot(key)
         self.slots[h] = key << 32 | packed
         return packed
@@ -309,23 +372,25 @@ class FstTokenizer:
         last = np.zeros(len(data) if with_last else 0, np.int32)
         k0 = 0
         while live:
-            if len(self.keys) >= self.max_states:
-                state[:live] = self._evict(state[:live])
             steps = int(min(64, sizes[0] - k0))
             at = np.minimum(cuts[:live] + np.arange(k0, k0 + steps)[:, None], len(data) - 1)
             read, new = data[at], first[at]
             after = np.zeros(at.shape, np.int32) if with_last else None
             for k in range(steps):
                 live = int(np.searchsorted(-sizes[:live], -(k0 + k)))
+                if len(self.keys) >= self.max_states:
+                    state[:live] = self._evict(state[:live])
                 now = np.where(new[k, :live], self.root, state[:live])
                 found = self._steps(now << 8 | read[k, :live])
                 state[:live] = (found & 0xFFFFFFFF) >> 8
                 total[:live] += (found & 255) - 128
+                if not k % 8:  # a sample of places tells well enough which states are common
+                    self.met[state[:live]] += 1
                 if with_last:
-                    after[k, :live] = state[:live]
+                    after[k, :live] = self.last[state[:live]]
             if with_last:
                 done = np.arange(k0, k0 + steps)[:, None] < sizes[: at.shape[1]]
-                last[at[done]] = self.last[after[done]]
+                last[at[done]] = after[done]
             k0 += steps
             live = int(np.searchsorted(-sizes[:live], -k0))
         counts = np.bincount(owner[: len(total)], total, len(texts)).astype(np.int64)

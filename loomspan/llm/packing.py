@@ -8,9 +8,9 @@ that histogram:
 3. Whole multiples of each configuration become sequences; actual lengths, longest first, take the places of the rounded ones.
 4. The large pieces left over by rounding down the solution, then the small ones, go longest first into the fullest sequence that still holds them.
 
-Equal lengths are interchangeable, so every step moves runs of equal sequences, and the plan has a few thousand rows. Pieces get their rank among those of
-their length by counts over salted buckets, and a rank's place is found in the plan, whose size depends on the capacity alone. So a length shared by a third
-of all rows meets in no task.
+Equal lengths are interchangeable, so every step moves runs of equal sequences, and the plan has a few thousand rows. Pieces get their rank among those of their
+length by counts over buckets, of which a length has as many as its count in the histogram asks for, and a rank's place is found in the plan, whose size depends on the
+capacity alone. So a length shared by a third of all rows meets in no task.
 
 Defined results: a null text is empty and gives one piece that holds the end id alone; only documents longer than the capacity are cut, from the end, so the
 first piece may be shorter; repeated rows are packed each; an empty table gives an empty one; other columns are not read.
@@ -31,8 +31,8 @@ from pyspark.sql import types as T
 from . import fst_tokenizer
 from .common import cut, slices
 
-#: Buckets among which the ranks of one length are counted.
-SALTS = 256
+#: Buckets of a length at least, and pieces that one is to hold beyond that.
+BUCKETS, BUCKET_ROWS = 64, 100_000
 
 
 def pieces(docs: DataFrame, path: str, end_id: int = 2, capacity: int = 1024, with_ids: bool = False) -> DataFrame:
@@ -202,13 +202,14 @@ def places(plan: list[tuple[tuple[int, ...], int]]) -> dict[int, np.ndarray]:
     return {s: np.array(x, np.int64) for s, x in out.items()}
 
 
-def ranked(df: DataFrame, key: str, order: list[str], salts: int = SALTS) -> DataFrame:
-    """Adds rank: the number, from 0, of each row among those of its key. Counts over salted buckets go before ranks within a bucket."""
-    df = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
-    sizes = df.groupBy(key, "_salt").agg(F.count(F.lit(1)).alias("_n"))
-    before = sizes.select(key, "_salt", (F.sum("_n").over(W.partitionBy(key).orderBy("_salt")) - F.col("_n")).alias("_before"))
-    inner = F.row_number().over(W.partitionBy(key, "_salt").orderBy(*order)) - 1
-    return df.withColumn("_inner", inner).join(before, [key, "_salt"]).withColumn("rank", F.col("_before") + F.col("_inner")).drop("_salt", "_inner", "_before")
+def ranked(pieces: DataFrame, histogram: dict[int, int], order: list[str]) -> DataFrame:
+    """Adds rank: the number, from 0, of each piece among those of its length. Counts over buckets go before ranks within a bucket; a length has as many buckets as its count asks for."""
+    salts = F.array(*[F.lit(BUCKETS + histogram.get(s, 0) // BUCKET_ROWS) for s in range(max(histogram, default=0) + 1)])
+    pieces = pieces.withColumn("_salt", F.pmod(F.xxhash64(*order), F.get(salts, F.col("length").cast("int"))))
+    sizes = pieces.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("length", "_salt", (F.sum("_n").over(W.partitionBy("length").orderBy("_salt")) - F.col("_n")).alias("_before"))
+    inner = F.row_number().over(W.partitionBy("length", "_salt").orderBy(*order)) - 1
+    return pieces.withColumn("_inner", inner).join(before, ["length", "_salt"]).withColumn("rank", F.col("_before") + F.col("_inner")).drop("_salt", "_inner", "_before")
 
 
 def pack(cut_pieces: DataFrame, capacity: int = 1024) -> DataFrame:
@@ -216,7 +217,8 @@ def pack(cut_pieces: DataFrame, capacity: int = 1024) -> DataFrame:
     spark = cut_pieces.sparkSession
     histogram = {r["length"]: r["n"] for r in cut_pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most capacity rows
     plan = spark.sparkContext.broadcast(places(pack_histogram(histogram, capacity)))
-    keyed = ranked(cut_pieces, "length", ["doc_id", "piece", *(c for c in ("ids_crc32",) if c in cut_pieces.columns)])
+    ties = [c for c in ("ids_crc32",) if c in cut_pieces.columns]
+    keyed = ranked(cut_pieces.withColumn("_row", F.monotonically_increasing_id()), histogram, ["doc_id", "piece", *ties, "_row"]).drop("_row")
     i, j = keyed.columns.index("length"), keyed.columns.index("rank")
 
     def assign(batches):
