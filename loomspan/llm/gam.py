@@ -136,7 +136,7 @@ def held_out(id_col: str = "doc_id"):
 def quality_scores(docs: DataFrame, labels: DataFrame, sample: int = 20_000, threshold: float = 0.3) -> DataFrame:
     """doc_id, held_out, score, predicted of each row. labels: doc_id, quality."""
     chosen = label_sample(labels.where(~held_out()), sample)  # bounded, so it may be broadcast
-    found = docs.join(F.broadcast(chosen), "doc_id").select(F.struct("doc_id", "quality").alias("doc_id"), "text")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.struct("doc_id", "quality").alias("doc_id"), "text")
     rows = text_stats(found).select("doc_id.*", *STATS).orderBy("doc_id", *STATS).limit(2 * sample).toPandas()  # repeated ids may give an id more rows
     model = docs.sparkSession.sparkContext.broadcast(PairwiseGam().fit(ratios(rows[STATS].to_numpy()), rows["quality"].to_numpy()))
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import operator
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -21,7 +19,7 @@ _DIGITS = b"0123456789"
 _MARKS = b"!?.,;:-_=~^/\\\"'()[]{}@+`"
 
 #: Columns of `stats_of`, all counts.
-STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_lower", "n_digits", "n_marks", "n_distinct", "n_stutter", "n_bang", "n_bars", "longest"]
+STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_lower", "n_digits", "n_marks", "n_distinct", "longest"]
 
 
 def repeat_words(words: list[bytes]) -> int:
@@ -55,7 +53,7 @@ def stats_of(text: str | None) -> tuple[int, ...]:
     lines = [x for x in data.split(b"\n") if x.strip()]
     return (
         len(words), len(text) - without(_SPACE), without(_SYMBOLS), len(lines) - len(set(lines)), repeat_words(words), len(lines), without(_UPPER), without(_LOWER), without(_DIGITS), without(_MARKS),
-        len(set(words)), sum(map(operator.eq, words, words[1:])), data.count(b"!"), data.count(b"|"), max(map(len, words), default=0),
+        len(set(words)), max(map(len, words), default=0),
     )
 
 
@@ -78,8 +76,8 @@ def ratios(stats: np.ndarray) -> np.ndarray:
     words, chars, lines = np.maximum(s["n_words"], 1), np.maximum(s["word_chars"], 1), np.maximum(s["n_lines"], 1)
     return np.column_stack([
         np.log1p(s["n_words"]), s["word_chars"] / words, s["n_symbols"] / chars, s["n_dup_lines"] / lines, s["n_repeat_words"] / words, np.log1p(words / lines), s["n_upper"] / chars,
-        s["n_lower"] / chars, s["n_digits"] / chars, s["n_marks"] / words, np.log1p(s["n_distinct"]) / np.log1p(words), s["n_stutter"] / words, s["n_bang"] / words, s["n_bars"] / words, np.log1p(s["longest"]),
+        s["n_lower"] / chars, s["n_digits"] / chars, s["n_marks"] / words, np.log1p(s["n_distinct"]) / np.log1p(words), np.log1p(s["longest"]),
     ])
 
 
-FEATURES = ["log_words", "word_length", "symbols", "dup_lines", "repeats", "line_length", "upper", "lower", "digits", "marks", "distinct", "stutter", "bangs", "bars", "longest"]
+FEATURES = ["log_words", "word_length", "symbols", "dup_lines", "repeats", "line_length", "upper", "lower", "digits", "marks", "distinct", "longest"]
