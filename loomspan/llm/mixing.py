@@ -3,7 +3,8 @@
 Documents belong to one or more sources. They are aggregated by membership pattern; a pattern's words may pass into the mix once at no cost and again, up to
 `max_repeats` times, at a rising cost (convex in the number of repeats). The flow routes the patterns' words to the sources' quotas at the least cost. As
 only the arcs into patterns cost anything, each level of repetition is filled to its maximum flow before the next one is opened: that is successive
-shortest paths. The flow cuts each pattern's words, laid out in seeded order of documents, into ranges, which say what documents pass for which source.
+shortest paths. The flow says how many of a pattern's words pass at each level; laid out in seeded order of documents, they are cut there. A document of several
+sources passes for its pattern; which of them its words count for is the flow's matter alone.
 
 The order is by MD5 of seed and id, so that reruns agree and any SQL engine can repeat it. Sums over buckets of the order come before sums within the bucket
 where a cut falls, so a source may hold a third of all rows. The cut falls at the document boundary nearest below, and one more document, the largest that
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 
 from .common import cut, word_count
 
-#: Hex digits of the order by which its buckets are told apart.
-DIGITS = 3
+#: Rows that a bucket of the order is to hold at most.
+BUCKET_ROWS = 100_000
 
 
 def water_fill(sizes: Sequence[int], weights: Sequence[int], share: Fraction, most: int) -> list[float]:
@@ -170,11 +171,14 @@ def _select(rows: DataFrame, plan: DataFrame, carry: Sequence[str]) -> DataFrame
 
     What holds for a pattern is joined to its buckets, and these to the rows, so that neither many patterns nor one of very many rows land in one task.
     """
+    digits, n = 3, rows.count()
+    while n > BUCKET_ROWS * 16**digits:
+        digits += 1
     whole = F.size(F.filter("_levels", lambda n: (n >= F.col("_total")) & (n > 0)))
     rest = F.coalesce(F.array_max(F.filter("_levels", lambda n: (n > 0) & (n < F.col("_total")))), F.lit(0))
     plan = plan.select("_pattern", whole.alias("_whole"), rest.alias("_rest"), "source_size", "target")
-    key, pattern = ["_pattern", "_bucket"], W.partitionBy("_pattern")  # at most 16^DIGITS buckets of a pattern
-    rows = rows.withColumn("_bucket", F.substring("_order", 1, DIGITS))
+    key, pattern = ["_pattern", "_bucket"], W.partitionBy("_pattern")  # at most 16^digits buckets of a pattern
+    rows = rows.withColumn("_bucket", F.substring("_order", 1, digits))
     sums = rows.groupBy(*key).agg(F.sum("size").alias("_sum"))
     before = sums.select(*key, (F.sum("_sum").over(pattern.orderBy("_bucket")) - F.col("_sum")).alias("_before")).join(plan, "_pattern")
     placed = rows.withColumn("_inner", F.sum("size").over(W.partitionBy(*key).orderBy("_order", "doc_id", "size", *carry).rowsBetween(W.unboundedPreceding, 0))).join(before, key)
