@@ -20,12 +20,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import brute
 
 import corpus_pipeline
-from loomspan.llm import fst_tokenizer, mixing, packing, warc
+from loomspan.llm import fst_tokenizer, mixing, packing, text_stats, warc
+from loomspan.llm.common import Runs, in_total_order
 from loomspan.llm.components import components
 from loomspan.llm.fingerprints import fingerprints, likeness
-from loomspan.llm.gam import quality_scores
+from loomspan.llm.gam import PairwiseGam, quality_scores
 from loomspan.llm.hilbert_shards import curve, hilbert_index, hilbert_shards, manifest, write_shards
-from loomspan.llm.isolation_forest import quality_rules
+from loomspan.llm.isolation_forest import IsolationForest, calibrate, quality_rules
 from loomspan.llm.jaccard_join import jaccard_components
 from loomspan.llm.line_dedup import line_dedup
 from loomspan.llm.queries import ORACLE_SQL, QUERIES
@@ -41,9 +42,19 @@ AWKWARD = [
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
+CLASHES = ["size", "rank", "n", "g", "run", "row", "own", "spans", "r", "a", "b", "h", "i", "key", "quality", "n_lines", "n_removed", "_id", "_spans", "_times", "_row", "_rank", "_at", "place", "taken", "a.b"]
+
+
+def clashing(df):
+    """df with columns whose names operators might use themselves."""
+    for k, name in enumerate(CLASHES):
+        df = df.withColumn(name, F.lit(f"clash{k}") if k % 2 else F.lit(k))
+    return df
+
+
 @pytest.fixture(scope="module")
 def awkward(spark):
-    return spark.createDataFrame(AWKWARD, SCHEMA).withColumn("size", F.lit("clash")).withColumn("rank", F.lit(1)).withColumn("n", F.lit(2)).withColumn("g", F.lit(3)).withColumn("run", F.lit(4))
+    return clashing(spark.createDataFrame(AWKWARD, SCHEMA))
 
 
 @pytest.fixture(scope="module")
@@ -203,7 +214,36 @@ def test_quality_model(spark, awkward, empty, labels):
     assert {r.score for r in quality_scores(awkward, labels.limit(0)).collect()} == {0.5}
 
 
+def test_quality_model_equals_a_plain_one(docs, labels):
+    known = docs.select("doc_id", "text").join(labels.where("quality is not null"), "doc_id").orderBy("doc_id").limit(90).collect()
+    x = text_stats.ratios(np.array([text_stats.stats_of(r.text) for r in known], np.int64))[:, [0, 1, 3, 9]]
+    y = np.array([r.quality for r in known])
+    y[::7] = 1 - y[::7]  # labels that no table fits, so that trees and pairs have work to do
+    for options in (dict(bins=12, rounds=12, rate=0.15, pairs=3, coarse=4, ridge=2.0), dict(bins=200, rounds=6, rate=0.3, pairs=6, coarse=3, ridge=0.5)):
+        model = PairwiseGam(**options).fit(x[:70], y[:70])
+        assert model.pairs and any(g.any() for g in model.grids)
+        assert np.allclose(model.score(x), brute.gam_scores(x.tolist(), x[:70].tolist(), y[:70].tolist(), **options), atol=1e-9)
+
+
+def test_forest_equals_a_plain_one(docs):
+    x = text_stats.ratios(np.array([text_stats.stats_of(r.text) for r in docs.orderBy("doc_id").limit(120).collect()], np.int64))
+    for rows, trees, sample, widen in ((x[:100], 8, 64, 1.0), (x[:100], 5, 256, 0.3), (x[:1], 2, 256, 1.0), (np.repeat(x[:2], 20, axis=0), 4, 16, 0.0)):
+        forest = IsolationForest(trees, sample, seed=5).fit(rows, widen)
+        if len(rows) > 1:
+            assert np.allclose(forest.score(x), brute.isolation_scores(x.tolist(), rows.tolist(), 5, trees, sample, widen), atol=1e-12)
+    # The threshold: of all cuts, the greatest recall of bad ones less caution times the loss of good ones.
+    rnd = random.Random(2)
+    for _ in range(50):
+        scores, good = np.array([rnd.randint(0, 6) / 6 for _ in range(12)]), np.array([rnd.random() < 0.6 for _ in range(12)])
+        worth = lambda at: np.mean(scores[~good] >= at) - 2 * np.mean(scores[good] >= at) if good.any() and not good.all() else 0
+        if good.any() and not good.all():
+            assert abs(max(0, *(worth(s) for s in scores)) - worth(calibrate(scores, good, 2.0))) < 1e-12
+
+
 def test_packing(spark, awkward, empty, docs):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(BPE)
     for df in (awkward, docs, empty):
         out = packing.packed(df, BPE, with_ids=True).collect()
         by, by_doc = defaultdict(list), defaultdict(list)
@@ -220,7 +260,7 @@ def test_packing(spark, awkward, empty, docs):
         texts = {r.doc_id: r.text or "" for r in df.collect()}
         assert set(by_doc) == set(texts)
         for i, own in by_doc.items():
-            ids = [*fst_tokenizer.load(BPE).encode([texts[i]])[0].tolist(), 2]
+            ids = [*library.encode(texts[i], add_special_tokens=False).ids, 2]
             assert all(ids[r.start : r.start + r.length] == r.ids and (r.piece == 0 or r.length == 1024) for r in own)
         if df is docs:
             assert len(by) <= 1.02 * -(-sum(r.length for r in out) // 1024) + 1
@@ -252,11 +292,13 @@ def test_rules(awkward, empty, labels, docs, rows):
 
 
 def test_rules_follow_labels(spark):
+    """On labels that neither grew the forest nor set its threshold."""
     sf = "/root/testdata/sf0.01"
     known = spark.read.parquet(f"{sf}/labels.parquet")
-    out = quality_rules(spark.read.parquet(f"{sf}/documents.parquet"), known).join(known, "doc_id").where("not base_failed").collect()
+    other = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 0
+    out = quality_rules(spark.read.parquet(f"{sf}/documents.parquet"), known.where(~other)).join(known.where(other), "doc_id").where("not base_failed").collect()
     bad, good = [r.kept for r in out if r.quality == 0], [r.kept for r in out if r.quality == 1]
-    assert np.mean(bad) < 0.1 and np.mean(good) > 0.98
+    assert len(bad) and np.mean(bad) <= 0.2 and np.mean(good) > 0.97
 
 
 def test_fingerprints(spark, awkward, empty, docs):
@@ -272,6 +314,8 @@ def test_fingerprints(spark, awkward, empty, docs):
             new = text[: len(text) - n] + following[:n]
             assert (r.doc_id, r.n_chars, r.edited_sha256) == (i, len(text), hashlib.sha256(new.encode()).hexdigest())
             prints[text].add(r.fingerprint)
+            own, other, after = brute.fingerprint(text), brute.fingerprint(new), brute.fingerprint(following)
+            assert (r.fingerprint, r.edited_fingerprint) == (own, other) and abs(r.near_edited - brute.likeness(own, other)) + abs(r.near_next - brute.likeness(own, after)) < 1e-9
             a, b = brute.shingles(text), brute.shingles(new)
             errors.append(abs(r.near_edited - (len(a & b) / len(a | b) if a | b else 1)))
         assert all(len(x) == 1 for x in prints.values()) and np.mean(errors) < 0.05
@@ -279,8 +323,45 @@ def test_fingerprints(spark, awkward, empty, docs):
     assert fingerprints(docs.limit(1)).first().near_next == 1.0
 
 
+def test_runs_split_hot_ids(spark):
+    rnd = random.Random(4)
+    made = [(rnd.choice([None, 5, 5, rnd.randint(-100, 100), 1 << 60]), rnd.getrandbits(64) - (1 << 63), rnd.randint(1, 9)) for _ in range(5000)]
+    df = spark.createDataFrame(made, "id long, h long, n long")
+    for most in (200, 2000, 1 << 40):
+        runs = Runs(df, most)
+        got = df.select("id", "h", "n", runs.of(F.col("id"), F.col("h")).alias("run")).collect()
+        order = [r.run for r in sorted(got, key=lambda r: (r.id is None, r.id or 0, r.h))]
+        weight = Counter()
+        for r in got:
+            weight[r.run] += r.n
+        total, bound = sum(r[2] for r in made), min(most, -(-sum(r[2] for r in made) // 8))
+        assert order == sorted(order) and set(weight) == set(range(runs.count)) and runs.count >= total / bound / 1.3
+        assert max(weight.values()) <= 1.6 * bound + 9
+    for df in (spark.createDataFrame([], "id long, h long, n long"), spark.createDataFrame([(None, 3, 1)], "id long, h long, n long")):
+        assert [r.run for r in df.select(Runs(df).of(F.col("id"), F.col("h")).alias("run")).collect()] == [0] * df.count()
+
+
+def test_fingerprints_of_null_and_shared_ids(spark):
+    rnd = random.Random(6)
+    made = [(rnd.choice([None, 7, k]), f"{k} " + " ".join(rnd.choice("abcd") for _ in range(rnd.randint(0, 30)))) for k in range(300)] + [(None, "same text")] * 40 + [(None, None)] * 3
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    order = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).orderBy(F.asc_nulls_last("doc_id"), F.xxhash64("text"), "text").collect()
+    want = Counter()
+    for k, r in enumerate(order):
+        n, following = len(r.text) // 4, order[(k + 1) % len(order)].text
+        new = r.text[: len(r.text) - n] + following[:n]
+        want[r.doc_id, len(r.text), hashlib.sha256(new.encode()).hexdigest(), brute.fingerprint(r.text)] += 1
+    assert Counter((r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint) for r in fingerprints(df).collect()) == want
+
+
+def test_total_order_splits_equal_rows(spark):
+    df = spark.range(4000).select(F.lit(1).alias("k"), (F.col("id") % 3).alias("v")).withColumn("row", F.monotonically_increasing_id())
+    got = in_total_order(df, ["k", "v", "row"]).orderBy("_rank").collect()
+    assert [r._rank for r in got] == list(range(4000)) and [(r.v, r.row) for r in got] == sorted((r.v, r.row) for r in got)
+
+
 def test_jaccard(spark, awkward, empty, docs, rows):
-    read = lambda df: Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(df).collect())
+    read = lambda df, **k: Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(df, **k).collect())
     assert read(docs) == brute.jaccard_components(rows)
     assert read(awkward) == brute.jaccard_components([r[:2] for r in AWKWARD])
     assert jaccard_components(empty).count() == 0
@@ -294,7 +375,8 @@ def test_jaccard(spark, awkward, empty, docs, rows):
         for _ in range(rnd.randint(0, 3)):
             own[rnd.randrange(len(own))] = word()
         made.append((i, " ".join(own)))
-    assert read(spark.createDataFrame(made, "doc_id long, text string")) == brute.jaccard_components(made)
+    both = spark.createDataFrame(made, "doc_id long, text string")
+    assert read(both) == read(both, key_bits=6) == brute.jaccard_components(made)  # six bits: nearly all classes share theirs
 
 
 def test_jaccard_null_and_shared_ids(spark):
@@ -315,6 +397,10 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 30)] + [(100, 200), (200, 150), (7, 7)]
     got = {r.v: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {i: 0 for i in range(31)} | {100: 100, 200: 100, 150: 100}
+    star = [(5000, i) for i in range(3000)] + [(None, 1), (2, None), (None, None)]
+    got = components(spark.createDataFrame(star, "u long, v long")).collect()
+    assert len(got) == 3001 and {r.component for r in got} == {0}
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
 def test_warc(spark, tmp_path):
@@ -325,6 +411,16 @@ def test_warc(spark, tmp_path):
     got = warc.read_warc(spark, f"{tmp_path}/0").collect()
     assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == brute.warc([(i, h) for i, _, h in pages])
     assert all(r.payload is None or len(r.payload) == r.payload_bytes for r in got)
+    least = {len(h or "") for _, _, h in pages if len(h or "") < 12}
+    warc.write_warc(df, f"{tmp_path}/least", least=12)
+    kinds = defaultdict(set)
+    for r in warc.read_warc(spark, f"{tmp_path}/least").collect():
+        kinds[r.payload_bytes].add(r.record_type)
+    assert all(kinds[n] == {"response"} for n in least) and "revisit" in {k for x in kinds.values() for k in x}
+    shared = df.select(F.when(F.col("page_id") > 5, F.col("page_id")).alias("page_id"), "url", "html").unionByName(df.limit(20).select(F.lit(3).cast("long").alias("page_id"), "url", "html"))
+    warc.write_warc(shared, f"{tmp_path}/shared")
+    want = brute.warc([(r.page_id, r.html) for r in shared.collect()])
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.read_warc(spark, f"{tmp_path}/shared").collect()) == want
     warc.write_warc(df.limit(0), f"{tmp_path}/none")
     assert warc.read_warc(spark, f"{tmp_path}/none").count() == 0
 
@@ -349,6 +445,45 @@ def test_pipeline(spark, labels, rows):
         elif name == "mixing":
             assert Counter(i for i, _ in new) == Counter({r.doc_id: r.taken // r["size"] for r in mixing.mix(before).collect() if r.taken})
     assert seen == [n for n, _ in corpus_pipeline.STAGES] and docs.count() >= len(old)
+
+
+def test_pipeline_on_awkward_rows(spark, awkward, empty):
+    more = [(None, "p q r s t u v w x y z", "en", "a", 21), (None, "p q r s t u v w x y z", "en", "a", 21), (None, LONG + "\nnull id", None, None, None), (None, None, None, None, None)]
+    extra = clashing(spark.createDataFrame(more, SCHEMA))
+    docs = spark.createDataFrame(awkward.unionByName(extra).collect(), awkward.schema)
+    rows = lambda df: Counter((r.doc_id, r.text, r.n_chars, r["size"], r["n_lines"], r["a.b"]) for r in df.collect())
+    texts = {}
+    for name, stage in corpus_pipeline.STAGES:
+        none = stage(spark, empty, SF)
+        assert none.count() == 0
+        out = stage(spark, docs, SF)
+        if name == "packing":
+            assert {r.doc_id for r in out.collect()} == {r.doc_id for r in docs.collect()}
+            continue
+        assert none.columns == empty.columns and out.schema.names == docs.schema.names and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
+        before, after = rows(docs), rows(out)
+        texts[name] = [x[:2] for x in after.elements()]
+        if name == "quality_rules":
+            kept = Counter((r.doc_id, r.n_words) for r in quality_rules(docs, spark.read.parquet(f"{SF}/labels.parquet")).where("kept").collect())
+            assert Counter((i, len(brute.words(t))) for i, t in texts[name]) == kept and after <= before
+            after = before  # the other stages see all awkward rows
+        elif name == "line_dedup":
+            known = [x[:2] for x in before if x[0] is not None]
+            want = {i: t for i, (t, n, gone) in brute.line_dedup(known).items() if not gone or gone < n}
+            assert {i: t for i, t in texts[name] if i is not None} == want
+            assert Counter(t for i, t in texts[name] if i is None) == Counter({"p q r s t u v w x y z": 2, "null id": 1, None: 1})
+            assert all(x[2] == len(x[1]) for x in after if x[0] == 6) and after[3, "One two", 7, 0, CLASHES.index("n_lines"), "clash25"] == 0
+        elif name == "jaccard_join":
+            least = Counter(i for i, _, c in brute.jaccard_components([x[:2] for x in before.elements()]).elements() if i is not None and i == c)
+            assert Counter(i for i, _ in texts[name] if i is not None) == least and after <= before
+            assert Counter(t for i, t in texts[name] if i is None)["p q r s t u v w x y z"] == 1
+        else:
+            want = Counter()
+            for r in mixing.mix(docs).where("taken > 0").collect():
+                want[r.doc_id, r["size"]] += r.taken // r["size"]
+            assert Counter((i, len(brute.words(t))) for i, t in texts[name]) == want and set(after) <= set(before)
+        if name != "quality_rules":
+            docs = spark.createDataFrame(out.collect(), out.schema)
     assert corpus_pipeline.run(spark, SF).count() > 0
 
 
