@@ -53,6 +53,11 @@ def field(v: Column, path: str, kind: str = "string") -> Column:
     return F.try_variant_get(v, f"$.{path}", kind)
 
 
+def parsed(rows: DataFrame, text: str) -> DataFrame:
+    """rows with the JSON text as _v. A generated column, as filters on its fields would else be pushed below with a copy of the parser each."""
+    return rows.select("*", F.explode(F.array(F.try_parse_json(text))).alias("_v"))
+
+
 def key_names(raw: Column) -> Column:
     return F.coalesce(F.json_object_keys(raw), F.array().cast("array<string>"))
 
@@ -85,7 +90,7 @@ def typed_candidates(raw: DataFrame) -> DataFrame:
     """One row for each (kind, repository, number): the last copy that arrived, at the first one's position. Candidates without a repository or an integer number go."""
     v = F.col("_v")
     number = F.when(F.schema_of_variant(field(v, "number", "variant")) == "BIGINT", field(v, "number", "bigint"))
-    rows = raw.withColumn("_v", F.try_parse_json("raw")).select(
+    rows = parsed(raw, "raw").select(
         F.col("kind").alias("item_kind"),
         "ordinal",
         "raw",
@@ -111,7 +116,7 @@ def typed_items(rows: DataFrame, period: Period) -> DataFrame:
     at = lambda path: instant(field(v, path)).alias(path)
     truth = lambda path: F.coalesce(field(v, path, "boolean"), F.lit(False))
     gaps = F.transform(absent(F.col("source"), DETAIL_FIELDS), lambda name: F.concat(F.lit("GitHub API response omitted field: "), name))
-    out = rows.where("source is not null").withColumn("_v", F.try_parse_json("source")).select(
+    out = parsed(rows.where("source is not null"), "source").select(
         *KEYS,
         F.concat_ws("#", "repository", F.col("number").cast("string")).alias("item_id"),
         text("title", "(missing title)").alias("title"),
@@ -160,7 +165,7 @@ def source_rank(kind: Column) -> Column:
 def typed_activities(children: DataFrame, items: DataFrame, period: Period) -> DataFrame:
     """Elements that aren't JSON objects go. A review happens when it is submitted, a comment when it is created."""
     v = F.col("_v")
-    rows = _read(children, items).withColumn("_v", F.try_parse_json("raw")).where(F.schema_of_variant("_v").startswith("OBJECT"))
+    rows = parsed(_read(children, items).where(F.col("raw").rlike(r"^\s*\{")), "raw").where("_v is not null")
     occurred = F.when(F.col("kind") == "review", field(v, "submitted_at")).otherwise(field(v, "created_at"))
     out = rows.select(
         *KEYS,

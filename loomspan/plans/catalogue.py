@@ -5,39 +5,21 @@ The tables stand in for the domain's: orders are items, lineitem their activitie
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomspan.functions import text as T
-from loomspan.operators import activity, ingest, lines, ranking, render, report_rules
+from loomspan.operators import activity, ingest, lines, ranking, render
 from loomspan.period import build_period, within
+from loomspan.plans.registry import query, table
 from loomspan.sources.evidence import keeper
 
 START, END = "1997-01-01 00:00:00", "1997-03-31 23:59:59.999999"
 TIES = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def in_period(ts: str | Column) -> Column:
     ts = F.col(ts) if isinstance(ts, str) else ts
     return within(ts, F.lit(START).cast("timestamp_ntz"), F.lit(END).cast("timestamp_ntz"))
@@ -231,9 +213,8 @@ def index_page(spark, d):
 @query("""SELECT l_orderkey, l_linenumber, l_extendedprice, 0::INT AS source_rank FROM lineitem WHERE l_returnflag = 'A' UNION ALL SELECT l_orderkey, l_linenumber, l_extendedprice, 1::INT FROM lineitem WHERE l_returnflag = 'N'
 UNION ALL SELECT l_orderkey, l_linenumber, l_extendedprice, 2::INT FROM lineitem WHERE l_returnflag = 'R'""")
 def union_kinds(spark, d):
-    rows = table(spark, d, "lineitem")
-    parts = [rows.where(F.col("l_returnflag") == k).select("l_orderkey", "l_linenumber", "l_extendedprice", F.lit(i).alias("source_rank")) for i, k in enumerate("ANR")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    rank = F.expr("case l_returnflag when 'A' then 0 when 'N' then 1 when 'R' then 2 end")  # one scan instead of one for each kind
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", rank.alias("source_rank")).where("source_rank is not null")
 
 
 @query("SELECT event_id, array_to_string(list_filter(['k', 'missing', 'session'], lambda x: NOT list_contains(json_keys(props), x)), ',') AS missing FROM events")
@@ -276,12 +257,6 @@ def iso_time(spark, d):
     return table(spark, d, "events").select("event_id", T.iso(F.col("ts")).alias("at"))
 
 
-@query()
-def report_findings(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text")
-    return report_rules.findings(docs, report_rules.Style("Some-Org", "# Weekly"))
-
-
 # The raw zone of an organisation whose issues are the orders and whose comments are the line items, as the service would send it.
 QUARTER = build_period(1, date(1997, 1, 1), date(1997, 3, 31))
 _Q = "BETWEEN TIMESTAMP '1996-12-31 16:00:00' AND TIMESTAMP '1997-03-31 15:59:59.999999'"
