@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from loomspan import formats as K
 from loomspan.functions import text as T
 from loomspan.operators import activity, ingest, lines, ranking, render
 from loomspan.period import build_period, within
@@ -257,6 +258,9 @@ def iso_time(spark, d):
     return table(spark, d, "events").select("event_id", T.iso(F.col("ts")).alias("at"))
 
 
+#: A place of arrival that no two line items of an order share.
+ORDINAL = "l_partkey * 100000 + l_suppkey * 10 + l_linenumber"
+
 # The raw zone of an organisation whose issues are the orders and whose comments are the line items, as the service would send it.
 QUARTER = build_period(1, date(1997, 1, 1), date(1997, 3, 31))
 _Q = "BETWEEN TIMESTAMP '1996-12-31 16:00:00' AND TIMESTAMP '1997-03-31 15:59:59.999999'"
@@ -291,7 +295,7 @@ def _as_received(spark, d) -> ingest.Raw:
     )
     candidates = table(spark, d, "orders").select(F.lit("issue").alias("kind"), F.col("o_orderkey").alias("ordinal"), issue)
     place = [F.lit("issue").alias("item_kind"), F.lit("o/r").alias("repository"), F.col("l_orderkey").alias("number")]
-    children = table(spark, d, "lineitem").select(*place, F.lit("comment").alias("kind"), F.col("l_linenumber").cast("long").alias("ordinal"), said)
+    children = table(spark, d, "lineitem").select(*place, F.lit("comment").alias("kind"), F.expr(ORDINAL).cast("long").alias("ordinal"), said)
     none = lambda schema: spark.createDataFrame([], schema)
     return ingest.Raw(
         candidates=candidates,
@@ -309,8 +313,11 @@ def ingested_items(spark, d):
     return ingest.ingest(_as_received(spark, d), QUARTER).items.select(*names)
 
 
-@query(f"""{_JUDGED} SELECT number, '| o/r#' || number || ' | o/r | ' || number || ' | item ' || number || ' | ' || state || ' | ' || CASE WHEN created THEN 'yes' ELSE 'no' END || ' | no | ' || n_human
-|| ' | NONE | None | [evidence](#issue-o-r-' || number || ') |' AS row FROM judged WHERE included""")
+_INDEX = """SELECT number, '| o/r#' || number || ' | o/r | ' || number || ' | item ' || number || ' | ' || state || ' | ' || CASE WHEN created THEN 'yes' ELSE 'no' END || ' | no | ' || n_human
+|| ' | NONE | None | [evidence](#issue-o-r-' || number || ') |' AS row FROM judged WHERE included"""
+
+
+@query(f"{_JUDGED} {_INDEX}")
 def evidence_index(spark, d):
     items = ingest.ingest(_as_received(spark, d), QUARTER).items
     return items.where("included").select("number", render.index_row("issue").alias("row"))
@@ -322,7 +329,69 @@ def ingest_summary(spark, d):
     return ingest.ingest(_as_received(spark, d), QUARTER).summary
 
 
-@query()
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _fragments_sql() -> str:
+    """The rows of the document of the issues: fixed texts, index rows, paragraphs of each item, and activities at the places of their groups."""
+    iso = lambda ts: f"strftime({ts}, '%Y-%m-%dT%H:%M:%S+00:00')"
+    yes = lambda flag: f"CASE WHEN {flag} THEN 'yes' ELSE 'no' END"
+    code = lambda label, value: f"'- {label}: `' || {value} || '`'"
+    lines = lambda *x: " || chr(10) || ".join(x)
+    none = lambda count: f"CASE WHEN {count} = 0 THEN 'None.' END"
+    S = K.ISSUE_SECTIONS
+    body = "'````markdown' || chr(10) || '(empty)' || chr(10) || '````'"
+    metadata = lines(
+        "'- Title: item ' || number", "'- URL: item ' || number", code("State", "state"), code("State reason", "'Not provided'"), code("Author", "author"), code("Author association", "'NONE'"),
+        code("Created at", iso("created_at")), code("Updated at", iso("created_at + INTERVAL 60 DAY")), code("Closed at", "'Not provided'"),
+    )
+    activity = lines(
+        code("Created in period", yes("created")), code("Closed in period", "'no'"), code("New comments", "n_new_comment"), code("Updated existing comments", "n_updated_comment"), code("Human comment activity", "n_human"),
+        code("Bot comment activity", "n_bot"), code("Maintainer/member/collaborator comment activity", "n_maintainer"),
+    )
+    paragraphs = [
+        "'<!-- ITEM_START issue o/r#' || number || ' -->'", "'<a id=\"issue-o-r-' || number || '\"></a>'", "'### Issue: o/r#' || number", _literal(S[0]), metadata, _literal(S[1]), activity, _literal(S[2]),
+        lines("'- Labels: None'", "'- Assignees: None'", "'- Milestone: None'"), _literal(S[3]), body, _literal(S[4]), none("n_previous"), _literal(S[5]), "'**Human comments**'", none("n_human"),
+        "'**Bot comments (lower-salience evidence)**'", none("n_bot"), _literal(S[6]), none("n_latest_human"), _literal(S[7]), none("n_latest_maintainer"), _literal(S[8]), "'None.'", "'<!-- ITEM_END issue o/r#' || number || ' -->'",
+    ]
+    own = ", ".join(f"{{'part': {k}, 'text': {text}}}" for k, text in enumerate(paragraphs))
+    facts = "'- author: `' || author || '`; association: `' || CASE WHEN m THEN 'MEMBER' ELSE 'NONE' END || '`; bot: `' || " + yes("b") + " || '`; occurred_at: `' || " + iso("seen") + " || '`; in_period: `' || " + yes("n")
+    facts += " || '`; updated_at: `' || " + iso("seen + INTERVAL 30 DAY") + " || '`; updated_in_period: `' || " + yes("u") + f" || '`' || chr(10) || chr(10) || {body}"
+    by_time = "ORDER BY seen DESC NULLS LAST, ordinal"
+    shown = ", ".join(
+        f"CASE WHEN {condition} THEN {{'part': {part}, 'pos': {pos}}} END"
+        for part, condition, pos in ((15, "(n OR u) AND NOT b", "ordinal"), (17, "(n OR u) AND b", "ordinal"), (19, "NOT b AND latest = 1", "ordinal"), (21, "NOT b AND m AND own = 1", "ordinal"), (12, "NOT b AND NOT (n OR u) AND before <= 3", "-before"))
+    )
+    start, end = QUARTER.local_start.isoformat(), QUARTER.local_end.isoformat()
+    utc_start, utc_end = QUARTER.utc_start.isoformat(), QUARTER.utc_end.isoformat()
+    front = f'---\nschema_version: "1.0"\norganization: "o"\ngenerated_at: "{utc_end}"\ntimezone: "Asia/Shanghai"\nlocal_start: "{start}"\nlocal_end: "{end}"\nutc_start: "{utc_start}"\nutc_end: "{utc_end}"\nissue_count: '
+    middle = f"\npull_request_count: 0\ncollection_warning_count: 0\n---\n\n# o GitHub Activity Evidence\n\n{K.TOP_SECTIONS[0]}\n\n{K.DOCUMENT_MAP}\n\n{K.TOP_SECTIONS[1]}\n\n- Organization: `o`\n"
+    middle += f"- Local scan period: `{start}` through `{end}`\n- UTC scan period: `{utc_start}` through `{utc_end}`\n- UTC+8 Search API date window: `1997-01-01` through `1997-03-31`\n- Issues retained after exact local filtering: `"
+    last = "`\n- Items excluded after activity endpoint failures: `0`\n- Failed API requests: `0`\n- GitHub API rate limit remaining: `unknown`"
+    retained = "`\n- Pull requests retained after exact local filtering: `0`\n- Items excluded because `updated_at` was the only period match: `"
+    count, touched = "(SELECT count(*) FROM judged WHERE included)", "(SELECT count(*) FROM judged WHERE NOT included AND touched)"
+    fixed = [
+        (0, f"{_literal(front)} || {count} || {_literal(middle)} || {count} || {_literal(retained)} || {touched} || {_literal(last)}"),
+        (1, _literal(f"{K.TOP_SECTIONS[2]}\n\n{K.ISSUE_COLUMNS}")), (3, _literal(f"{K.TOP_SECTIONS[3]}\n\n{K.PULL_COLUMNS}\n")), (5, _literal(K.TOP_SECTIONS[4])), (7, _literal(f"{K.TOP_SECTIONS[5]}\n\nNo matching pull requests.")),
+        (9, _literal(f"{K.TOP_SECTIONS[6]}\n\nNone.")), (11, _literal(f"{K.TOP_SECTIONS[7]}\n\n{K.LIMITATIONS}\n")),
+    ]
+    place = "NULL AS k1, NULL AS k2, NULL::BIGINT AS number, NULL::INT AS part, NULL::TIMESTAMP AS at, NULL AS tie, NULL::BIGINT AS pos"
+    parts = [f"SELECT {k} AS section, {place}, {_literal('' if k == 0 else chr(10) * 2)} AS glue, {text} AS text" for k, text in fixed]
+    item = "'o/r' AS k1, 'o/r' AS k2, number"
+    parts.append(f"SELECT 2, {item}, NULL, NULL, NULL, NULL, chr(10), row FROM ({_INDEX})")
+    parts.append(f"SELECT 6, {item}, p.part, NULL, NULL, NULL, chr(10) || chr(10), p.text FROM (SELECT number, unnest([{own}]) AS p FROM whole) WHERE p.text IS NOT NULL")
+    parts.append(f"SELECT 6, {item}, g.part, seen, '', g.pos, chr(10) || chr(10), {facts} FROM (SELECT *, unnest([{shown}]) AS g FROM ranked) WHERE g IS NOT NULL")
+    return f"""{_JUDGED}, said AS (SELECT l_orderkey AS number, ({ORDINAL})::BIGINT AS ordinal, CASE WHEN l_returnflag = 'R' THEN 'r[bot]' ELSE 'p' END AS author, l_returnflag = 'R' AS b, l_linestatus = 'F' AS m, l_shipdate AS seen, l_shipdate {_Q} AS n,
+l_shipdate + INTERVAL 30 DAY {_Q} AS u FROM lineitem JOIN judged ON l_orderkey = judged.number WHERE included),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY number, b {by_time}) AS latest, row_number() OVER (PARTITION BY number, b, m {by_time}) AS own, row_number() OVER (PARTITION BY number, b, n OR u {by_time}) AS before FROM said),
+more AS (SELECT number, count(*) FILTER (WHERE b AND (n OR u)) AS n_bot, count(*) FILTER (WHERE NOT b AND NOT (n OR u)) AS n_previous, count(*) FILTER (WHERE NOT b) AS n_latest_human, count(*) FILTER (WHERE NOT b AND m) AS n_latest_maintainer FROM said GROUP BY number),
+whole AS (SELECT judged.*, o_custkey::VARCHAR AS author, o_orderdate AS created_at, coalesce(n_bot, 0) AS n_bot, coalesce(n_previous, 0) AS n_previous, coalesce(n_latest_human, 0) AS n_latest_human, coalesce(n_latest_maintainer, 0) AS n_latest_maintainer
+FROM judged JOIN orders ON o_orderkey = judged.number LEFT JOIN more ON more.number = judged.number WHERE included) """ + " UNION ALL ".join(parts)
+
+
+@query(_fragments_sql())
 def evidence_fragments(spark, d):
     made = ingest.ingest(_as_received(spark, d), QUARTER, keeper(spark))
-    return render.fragments(made, "o", QUARTER, QUARTER.utc_end)
+    rows = render.fragments(made, "o", QUARTER, QUARTER.utc_end)
+    return rows.withColumn("at", F.col("at").cast("timestamp_ntz"))

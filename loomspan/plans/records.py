@@ -10,12 +10,10 @@ from pyspark.sql import functions as F
 
 from loomspan.functions import text as T
 from loomspan.operators import ingest, ranking, render
-from loomspan.plans.catalogue import QUARTER, updated_at
+from loomspan.plans.catalogue import ORDINAL, QUARTER, updated_at
 from loomspan.plans.registry import query, table
 
-ORDINAL = "l_partkey * 100000 + l_suppkey * 10 + l_linenumber"
 _Q = "BETWEEN TIMESTAMP '1996-12-31 16:00:00' AND TIMESTAMP '1997-03-31 15:59:59.999999'"
-_AT = "strftime({0}, '%Y-%m-%dT%H:%M:%S+00:00')"
 
 #: Items and activities as ingestion types them.
 TYPED = f"""items AS (SELECT o_orderkey AS number, CASE WHEN o_orderpriority LIKE '4%' THEN '(missing title)' ELSE 'pull ' || o_orderkey END AS title, o_orderstatus AS status, CASE WHEN o_orderstatus = 'O' THEN 'open' ELSE 'closed' END AS state,
