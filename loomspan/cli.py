@@ -3,24 +3,52 @@
 from __future__ import annotations
 
 import argparse
+import logging
 import os
 import sys
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import UTC, date, datetime
 from pathlib import Path
 
 from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from loomspan import config as C
 from loomspan.operators import reader, report_rules
-from loomspan.operators.ingest import ingest
+from loomspan.operators.ingest import Evidence, candidate_id, ingest
+from loomspan.operators.ranking import ranked
 from loomspan.operators.render import fragments
 from loomspan.period import TIMEZONE, build_period
 from loomspan.sources.evidence import keeper, read_texts, shared_folder, write_document
 from loomspan.sources.rest import service_for, snapshot
 
 
+logger = logging.getLogger("loomspan")
+
+#: Names that a message about skipped items gives at most.
+NAMED = 10
+
+
+@contextmanager
+def progress() -> Iterator[None]:
+    """Messages of the package on stderr while the block runs."""
+    level, propagate, handler = logger.level, logger.propagate, logging.StreamHandler()
+    handler.setFormatter(logging.Formatter("%(asctime)s %(levelname)s %(name)s: %(message)s", "%Y-%m-%d %H:%M:%S"))
+    logger.addHandler(handler)
+    logger.setLevel(logging.INFO)
+    logger.propagate = False
+    try:
+        yield
+    finally:
+        logger.removeHandler(handler)
+        handler.close()
+        logger.setLevel(level)
+        logger.propagate = propagate
+
+
 class CommandError(Exception):
     """Shown on stderr with exit code 2."""
 
@@ -82,6 +110,18 @@ def _documents(path: Path):
     return read_texts(session(), path.resolve().as_uri())
 
 
+def _tell(made: Evidence) -> None:
+    """What was retained, skipped and lost, with a few names of each."""
+    rows = made.items.select(F.coalesce("reason", F.lit("retained")).alias("outcome"), candidate_id(F.col("repository"), F.col("number")).alias("name"))
+    names: dict[str, list[str]] = {}
+    for r in ranked(rows, ["outcome"], [F.asc("name")]).where(F.col("rank") <= NAMED).orderBy("outcome", "rank").collect():
+        names.setdefault(r.outcome, []).append(r.name)
+    for r in rows.groupBy("outcome").agg(F.count(F.lit(1)).alias("n")).orderBy("outcome").collect():
+        logger.info("%s: %d (%s%s)", r.outcome, r.n, ", ".join(names[r.outcome]), ", ..." if r.n > NAMED else "")
+    for r in made.warnings.orderBy("scope", "message").limit(NAMED).collect():
+        logger.warning("%s: %s%s", r.scope, r.message, f" ({r.url})" if r.url else "")
+
+
 def collect(args: argparse.Namespace) -> int:
     config = C.load(args.config)
     period = build_period(config.days, args.start_date, args.end_date)
@@ -93,9 +133,16 @@ def collect(args: argparse.Namespace) -> int:
         spark = session()
         service = service_for(period, args.base_url, config.org, config.token_env, rate=float(args.requests_per_second), workers=args.workers, transport=args.transport)
         folder = args.snapshot or shared_folder(spark)
-        made = ingest(snapshot(spark, service, period, folder), period, keeper(spark, f"{folder}/typed-{uuid.uuid4().hex}"))
-        counts = made.summary.first().asDict()
-        write_document(fragments(made, config.org, period, datetime.now(UTC)), target)
+        with progress():
+            logger.info("Starting GitHub collection of %s, %s through %s", config.org, period.start_date, period.end_date)
+            made = ingest(snapshot(spark, service, period, folder), period, keeper(spark, f"{folder}/typed-{uuid.uuid4().hex}"))
+            counts = made.summary.first().asDict()
+            _tell(made)
+            logger.info("Rendering Markdown evidence")
+            rows = fragments(made, config.org, period, datetime.now(UTC))
+            logger.info("Writing evidence file: %s", target)
+            write_document(rows, target)
+            logger.info("Evidence collection completed")
     rate = counts["rate_limit_remaining"]
     print(f"Organization: {config.org}\nScan start: {period.local_start.isoformat()}\nScan end: {period.local_end.isoformat()}\nTimezone: {TIMEZONE}")
     print(f"Issues: {counts['issues']}\nPull requests: {counts['pull_requests']}\nAPI request failures: {counts['failed_requests']}\nEvidence file: {target}")
@@ -135,7 +182,9 @@ def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     try:
         if args.command == "validate-config":
-            C.load(args.config)
+            config = C.load(args.config)
+            period = build_period(config.days)
+            C.output_path(args.config, config.file, org=config.org, start_date=period.start_date, end_date=period.end_date)
             print("Configuration is valid.")
             return 0
         return {"collect": collect, "check-report": check_report}.get(args.command, view)(args)

@@ -86,6 +86,11 @@ def logins(v: Column, path: str) -> Column:
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
+def candidate_id(repository: Column, number: Column) -> Column:
+    """How messages name a candidate, also one that lacks its place."""
+    return F.concat(F.coalesce(F.nullif(repository, F.lit("")), F.lit("unknown-repository")), F.lit("#"), F.coalesce(number.cast("string"), F.lit("unknown")))
+
+
 def typed_candidates(raw: DataFrame) -> DataFrame:
     """One row for each (kind, repository, number): the last copy that arrived, at the first one's position. Candidates without a repository or an integer number go."""
     v = F.col("_v")

@@ -151,7 +151,9 @@ def cell_escape(spark, d):
 @query("SELECT doc_id, bytes FROM (SELECT doc_id, sum(strlen(text)) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING)::BIGINT AS bytes FROM documents) WHERE bytes <= 20000")
 def byte_page(spark, d):
     rows = table(spark, d, "documents").select("doc_id", F.octet_length("text").cast("long").alias("size"))
-    return lines.byte_page(rows, [F.col("doc_id")], F.col("size"), 20_000, F.expr("doc_id div 4096")).select("doc_id", "bytes")
+    low, high = rows.agg(F.min("doc_id"), F.max("doc_id")).first()
+    width = ((high or 0) - (low or 0)) // 10_000 + 1  # so that at most 10,000 totals meet in one task, however many rows there are
+    return lines.byte_page(rows, [F.col("doc_id")], F.col("size"), 20_000, F.expr(f"(doc_id - {low or 0}) div {width}")).select("doc_id", "bytes")
 
 
 @query("SELECT conv_id, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS thread FROM conversations GROUP BY conv_id")

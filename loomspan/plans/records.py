@@ -140,3 +140,10 @@ CASE WHEN NOT bot AND latest = 1 THEN 'latest_human' END, CASE WHEN NOT bot AND
 def shown_pull_activities(spark, d):
     shown = render.shown_activities(ingest.ingest(as_received(spark, d), QUARTER).activities)
     return shown.select("number", "group", F.col("at").cast("timestamp_ntz").alias("at"), "pos", "tie")
+
+
+@query("SELECT c_custkey, CASE WHEN c_nationkey < 5 THEN 'unknown-repository' ELSE c_mktsegment END || '#' || CASE WHEN c_acctbal < 0 THEN 'unknown' ELSE c_custkey::VARCHAR END AS name FROM customer")
+def candidate_names(spark, d):
+    rows = table(spark, d, "customer")
+    name = ingest.candidate_id(F.when(F.col("c_nationkey") >= 5, F.col("c_mktsegment")), F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")))
+    return rows.select("c_custkey", name.alias("name"))

@@ -10,12 +10,17 @@ import importlib
 import json
 import os
 import re
+import secrets
+import socket
+import socketserver
+import threading
 import time
 import urllib.error
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
-from dataclasses import asdict, dataclass
+from contextlib import contextmanager
+from dataclasses import asdict, dataclass, replace
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -54,7 +59,7 @@ class RequestError(Exception):
 
 @dataclass(frozen=True)
 class Service:
-    """Where and how to ask. The token stays in the environment of each process; rate is the starts a second of all tasks together."""
+    """Where and how to ask. The token stays in the environment of each process; rate is the starts a second of all tasks together, pace the address of their common schedule."""
 
     base: str
     org: str
@@ -64,6 +69,7 @@ class Service:
     last_day: str
     rate: float = 10.0
     workers: int = 8
+    pace: str = ""
     transport: str = "loomspan.sources.rest:over_http"
 
 
@@ -79,20 +85,79 @@ def over_http(url: str, headers: dict[str, str], timeout: float) -> Answer:
         return Answer(e.code, {k.lower(): v for k, v in e.headers.items()}, e.read().decode("utf-8", "replace"))
 
 
+class Schedule:
+    """When requests may start: `rate` a second, later where a limit holds all back."""
+
+    def __init__(self, rate: float, clock: Callable[[], float] = time.monotonic):
+        self.gap, self.clock, self.free_at, self.lock = 1.0 / rate, clock, float("-inf"), threading.Lock()
+
+    def take(self) -> float:
+        """Takes the next start and gives the seconds until then."""
+        with self.lock:
+            now = self.clock()
+            at = max(self.free_at, now)
+            self.free_at = at + self.gap
+            return at - now
+
+    def defer(self, pause: float) -> None:
+        with self.lock:
+            self.free_at = max(self.free_at, self.clock() + pause)
+
+
+class SharedSchedule:
+    """The schedule that the driver serves to all tasks, at host:port:secret. It takes part in a request's start alone, with a short exchange of one line."""
+
+    def __init__(self, address: str):
+        self.host, port, self.secret = address.rsplit(":", 2)
+        self.port = int(port)
+
+    def _ask(self, what: str) -> float:
+        with socket.create_connection((self.host, self.port), timeout=TIMEOUT) as line:
+            line.sendall(f"{self.secret} {what}\n".encode())
+            return float(line.makefile().readline())
+
+    def take(self) -> float:
+        return self._ask("take")
+
+    def defer(self, pause: float) -> None:
+        self._ask(f"defer {pause}")
+
+
+@contextmanager
+def served(schedule: Schedule, host: str) -> Iterator[str]:
+    """Serves a schedule while the block runs; gives its address."""
+    secret = secrets.token_hex(16)
+
+    class Handler(socketserver.StreamRequestHandler):
+        def handle(self) -> None:
+            given, what, *pause = self.rfile.readline(200).decode().split() or ["", ""]
+            if not secrets.compare_digest(given, secret):
+                return
+            answer = schedule.take() if what == "take" else schedule.defer(float(pause[0])) or 0.0
+            self.wfile.write(f"{answer}\n".encode())
+
+    with socketserver.ThreadingTCPServer(("", 0), Handler) as server:
+        server.daemon_threads = True
+        threading.Thread(target=server.serve_forever, daemon=True).start()
+        try:
+            yield f"{host}:{server.server_address[1]}:{secret}"
+        finally:
+            server.shutdown()
+
+
 class Client:
     """Paced requests with retries; `log` has one (failed, remaining) for each logical request."""
 
-    def __init__(self, base: str, token: str, transport: Callable[..., Answer], rate: float, sleep: Callable[[float], None] = time.sleep, clock: Callable[[], float] = time.monotonic):
-        self.base, self.transport, self.gap, self.sleep, self.clock = base.rstrip("/"), transport, 1.0 / rate, sleep, clock
+    def __init__(self, base: str, token: str, transport: Callable[..., Answer], rate: float, sleep: Callable[[float], None] = time.sleep, clock: Callable[[], float] = time.monotonic, pace: SharedSchedule | None = None):
+        self.base, self.transport, self.sleep = base.rstrip("/"), transport, sleep
+        self.schedule = pace or Schedule(rate, clock)
         self.headers = {"Accept": "application/vnd.github+json"} | ({"Authorization": f"Bearer {token}"} if token else {})
-        self.free_at = float("-inf")
         self.log: list[tuple[bool, str | None]] = []
 
     def _wait(self) -> None:
-        early = self.free_at - self.clock()
+        early = self.schedule.take()
         if early > 0:
             self.sleep(early)
-        self.free_at = max(self.free_at, self.clock()) + self.gap
 
     def get(self, path: str, **params) -> Answer:
         """Network errors, 429, 5xx and a 403 of the rate limit are tried again; a limit holds back the requests that follow too."""
@@ -122,7 +187,7 @@ class Client:
                 break
             pause = float(after) if after and after.isdigit() else pause
             if limited:
-                self.free_at = max(self.free_at, self.clock() + pause)
+                self.schedule.defer(pause)
             else:
                 self.sleep(pause)
         self.log.append((True, str(min(left)) if left else None))
@@ -185,7 +250,7 @@ def _said(answer: Answer) -> str:
 
 def _client(service: Service, share: int) -> Client:
     module, name = service.transport.split(":")
-    return Client(service.base, os.environ.get(service.token_env, ""), getattr(importlib.import_module(module), name), service.rate / share)
+    return Client(service.base, os.environ.get(service.token_env, ""), getattr(importlib.import_module(module), name), service.rate / share, pace=SharedSchedule(service.pace) if service.pace else None)
 
 
 def _row(table: str, **values) -> tuple:
@@ -273,7 +338,7 @@ def _look_up(client: Client, service: Service, kind: str, repository: str, numbe
 
 
 def lookups(candidates: DataFrame, period: Period, service: Service) -> DataFrame:
-    """Records of the candidates that the period doesn't rule out. Each of `workers` partitions has its share of the rate."""
+    """Records of the candidates that the period doesn't rule out. All tasks keep to the common schedule; without one each of `workers` partitions has its share of the rate."""
     covering = (F.col("item_kind") == "issue") & (F.size(absent(F.col("raw"), (*DETAIL_FIELDS, "comments"))) == 0)
     asked = typed_candidates(candidates).where(~period.predates(F.col("seen_at"))).select("item_kind", "repository", "number", F.when(covering, F.col("raw")).alias("covering"))
 
@@ -291,6 +356,12 @@ def lookups(candidates: DataFrame, period: Period, service: Service) -> DataFram
 
 def snapshot(spark: SparkSession, service: Service, period: Period, folder: str) -> Raw:
     """Ask the service once, write the raw zone to the folder, and return it as read from there."""
+    host = spark.conf.get("spark.driver.host", "") or socket.gethostname()
+    with served(Schedule(service.rate), host) as pace:
+        return _snapshot(spark, replace(service, pace=pace), period, folder)
+
+
+def _snapshot(spark: SparkSession, service: Service, period: Period, folder: str) -> Raw:
     spark.dataSource.register(ItemSearch)
     spark.read.format("item_search").options(**{k: str(v) for k, v in asdict(service).items()}).load().write.mode("overwrite").parquet(f"{folder}/search")
     found = spark.read.parquet(f"{folder}/search")

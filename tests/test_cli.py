@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 import pytest
 
 from loomspan import config as C
@@ -24,6 +26,12 @@ def test_wrong_configurations(path, old, new, capsys):
     assert main(["validate-config", "--config", str(path)]) == 2 and "error:" in capsys.readouterr().err
 
 
+def test_template_is_checked(path, capsys):
+    assert main(["validate-config", "--config", str(path)]) == 0
+    path.write_text(GOOD.replace("{org}", "{other}"))
+    assert main(["validate-config", "--config", str(path)]) == 2 and "template" in capsys.readouterr().err
+
+
 def test_output_path(path):
     assert C.output_path(path, "a/{org}.md", org="o", start_date="s", end_date="e") == path.parent / "a" / "o.md"
     for template in ("{other}", "{org!r}", "{org:>9}", "{", "{0}"):
@@ -47,6 +55,7 @@ def test_collect_then_read(spark, path, capsys, monkeypatch):
     assert main(["collect", "--config", str(path), *dates, "--base-url", "https://api.test", "--workers", "2", "--transport", "tests.test_rest:pretend"]) == 0
     shown = capsys.readouterr()
     assert "Issues: 3\nPull requests: 1\nAPI request failures: 2\n" in shown.out and "secret-value" not in shown.out + shown.err
+    assert all(x in shown.err for x in ("Starting GitHub collection", "retained: 4 (o/r#1, ", "WARNING loomspan: ", "Rendering Markdown evidence", "Writing evidence file")) and not logging.getLogger("loomspan").handlers
     document = str(path.parent / "out" / "o-2026-07-10.md")
     assert main(["overview", document]) == 0
     assert "## Collection Summary" in capsys.readouterr().out

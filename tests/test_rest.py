@@ -10,7 +10,7 @@ import pytest
 
 from loomspan.operators.ingest import ingest
 from loomspan.period import build_period
-from loomspan.sources.rest import Answer, Client, RequestError, service_for, snapshot
+from loomspan.sources.rest import Answer, Client, RequestError, Schedule, SharedSchedule, served, service_for, snapshot
 
 PERIOD = build_period(7, now=datetime(2026, 7, 16, 12, tzinfo=UTC))
 IN = "2026-07-12T01:02:03Z"
@@ -93,6 +93,19 @@ def test_retries_and_pacing():
         c.load("/a", dict)
 
 
+def test_a_limit_holds_back_all_that_share_a_schedule():
+    clock = Clock()
+    with served(Schedule(10.0, lambda: clock.now), "127.0.0.1") as address:
+        one, two = (Client("https://x", "", lambda *a, left=left: left.pop(0), 10.0, clock.sleep, pace=SharedSchedule(address)) for left in ([Answer(429, {"retry-after": "9"}, ""), ok({})], [ok({}), ok({})]))
+        two.get("/a")
+        one.get("/a")  # waits for its turn, is held back, asks again
+        two.get("/b")
+        assert clock.slept == [pytest.approx(0.1), pytest.approx(9.0), pytest.approx(0.1)]
+        host, port, _ = address.rsplit(":", 2)
+        with pytest.raises(ValueError):
+            SharedSchedule(f"{host}:{port}:guess").take()
+
+
 def test_search_pages():
     full = [{"number": i} for i in range(100)]
     c, _ = client([ok({"total_count": 5000, "items": full})] * 10)
