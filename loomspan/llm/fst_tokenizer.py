@@ -142,7 +142,7 @@ class FstTokenizer:
         self.keys: list[bytes] = []
         self.last, self.met = np.zeros(1 << 12, np.int32), np.zeros(1 << 12, np.int32)
         self._table(np.zeros(0, np.int64), 16)
-        self.root = self._state(b"", [(0, size, 0)])
+        self.root = self._number(b"\0\0" + array("i", (0, size, 0)).tobytes())
 
     # The merger, compiled on demand.
 
@@ -180,28 +180,26 @@ class FstTokenizer:
         Merges go by rank, and where each merge's parts have lesser ranks, in ascending ranks. So two tokens stay apart unless parts of theirs that meet at the boundary
         have a merge that comes before those that end these parts; of equal ranks the left one comes first.
         """
+        if len(self.pairs) > 300_000:
+            self.pairs.clear()
         own = self._sides(token)
         if before == len(self.token) or own is None:
-            return own is not None
-        key = before << 20 | token
-        if (known := self.pairs.get(key)) is None:
-            if len(self.pairs) > 300_000:
-                self.pairs.clear()
-            if self.ascending:
-                known, i, j = True, 0, 0
-                left, right = self._sides(before)[0], own[1]
-                while True:
-                    (a, t), (b, u) = left[i], right[j]
-                    rank = self.ranks.get((a, b), NEVER)
-                    if rank < t and rank <= u and rank != NEVER:
-                        known = False
-                        break
-                    if t == u == NEVER:
-                        break
-                    i, j = (i + 1, j) if t <= u else (i, j + 1)
-            else:
-                known = self._merge(self.token[before] + self.token[token]) == [before, token]
-            self.pairs[key] = known
+            known = own is not None
+        elif self.ascending:
+            known, i, j = True, 0, 0
+            left, right = self._sides(before)[0], own[1]
+            while True:
+                (a, t), (b, u) = left[i], right[j]
+                rank = self.ranks.get((a, b), NEVER)
+                if rank < t and rank <= u and rank != NEVER:
+                    known = False
+                    break
+                if t == u == NEVER:
+                    break
+                i, j = (i + 1, j) if t <= u else (i, j + 1)
+        else:
+            known = self._merge(self.token[before] + self.token[token]) == [before, token]
+        self.pairs[before << 20 | token] = known
         return known
 
     def _evict(self, state: np.ndarray) -> np.ndarray:
@@ -239,11 +237,9 @@ class FstTokenizer:
             left = left[self.slots[at[left]] != steps[left]]
             at[left] = at[left] + 1 & (1 << bits) - 1
 
-    def _state(self, suffix: bytes, chain: list[tuple[int, int, int]]) -> int:
-        """chain: for each place that many bytes back where a token may start, the last token there and its count against the present one."""
-        return self._number(len(suffix).to_bytes(2, "little") + suffix + array("i", [x for place in chain for x in place]).tobytes())
-
     def _number(self, key: bytes) -> int:
+        """A state's number. key: the length of its suffix and the suffix, then its chain: for each place that many bytes back where a token may start, the last token there and its count
+        against the present one."""
         if (s := self.known.get(key)) is None:
             s = self.known[key] = len(self.keys)
             self.keys.append(key)
@@ -260,17 +256,27 @@ class FstTokenizer:
         suffix, flat = key[2 : 2 + n], array("i", key[2 + n :])
         chain = list(zip(flat[::3], flat[1::3], flat[2::3], strict=True))  # places in ascending distance
         read = suffix + bytes([byte])
+        end, ids, pairs, starts = len(read) - 1, self.ids, self.pairs, self.starts
         for back, before, count in reversed(chain):
-            token = self.ids.get(read[len(read) - back - 1 :])
-            if token is not None and self._fits(before, token):
+            token = ids.get(read[end - back :])
+            if token is None:
+                continue
+            fits = pairs.get(before << 20 | token)
+            if self._fits(before, token) if fits is None else fits:
                 break
         else:
             raise ValueError("the vocabulary lacks single bytes")
-        change = count + 1
-        rest = next(read[i:] for i in range(len(read) + 1) if read[i:] in self.starts)
-        new = [(0, token, 0)]
-        new += [(b + 1, t, c - change) for b, t, c in chain if b + 1 <= len(rest) and rest[len(rest) - b - 1 :] in self.starts]
-        return self._state(rest, new) << 8 | change + 128
+        change, i = count + 1, 0
+        while read[i:] not in starts:
+            i += 1
+        rest = read[i:]
+        flat = array("i", (0, token, 0))
+        for back, before, count in chain:
+            if back + 1 > len(rest):
+                break
+            if read[end - back :] in starts:
+                flat.extend((back + 1, before, count - change))
+        return self._number(len(rest).to_bytes(2, "little") + rest + flat.tobytes()) << 8 | change + 128
 
     def _slot(self, key: int) -> int:
         h = (key * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) >> (64 - self.bits)
