@@ -115,7 +115,7 @@ class FstTokenizer:
     max_states bounds the compiled merger (about 0.3 kB a state): beyond it those that texts meet least are forgotten, to be compiled anew when they are next met.
     """
 
-    def __init__(self, path: str, max_states: int = 200_000):
+    def __init__(self, path: str, max_states: int = 300_000):
         with open(path, encoding="utf-8") as f:
             data = json.load(f)
         chars = _byte_chars()
