@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import scratch, table
+from .decontaminate import contamination
+from .filter_audit import filter_audit
 from .fingerprints import fingerprints
 from .gam import quality_scores
+from .hard_negatives import hard_negatives
 from .hilbert_shards import curve, hilbert_shards
 from .isolation_forest import quality_rules
 from .jaccard_join import jaccard_components
@@ -66,8 +69,21 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_warc(spark, out).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op2_token_counts, op3_line_dedup, op4_hilbert_shards, op5_quality_gam, op6_packing, op7_isolation_rules, op8_fingerprints, op9_jaccard_join, op10_warc)
+    f.__name__: f
+    for f in (op1_mixing, op2_token_counts, op3_line_dedup, op4_hilbert_shards, op5_quality_gam, op6_packing, op7_isolation_rules, op8_fingerprints, op9_jaccard_join, op10_warc, op11_filter_audit, op12_hard_negatives, op13_decontamination)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -128,5 +144,41 @@ d AS (SELECT page_id, strlen(x)::BIGINT AS n, sha1(x) AS h FROM p),
 -- Five hexadecimal digits are four characters of base 32.
 b AS (SELECT page_id, n, array_to_string(list_transform(generate_series(0, 31), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(h, (i // 4) * 5 + 1, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31) + 1)::INT, 1)), '') AS digest, min(page_id) OVER (PARTITION BY h, n) AS first FROM d)
 SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM b
+""",
+    "op11_filter_audit": r"""
+WITH w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS x FROM documents),
+m AS (SELECT doc_id, part, (len(x) < 100)::INT + 2 * (100 * len(list_distinct(x)) < 80 * len(x))::INT + 4 * (100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t))::INT
+  + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS mask FROM w),
+l AS (SELECT doc_id, coalesce(max((quality = 1)::INT), 0) AS good, coalesce(max((toxic = 1)::INT), 0) AS toxic FROM labels GROUP BY doc_id),
+g AS (SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic FROM m LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+f AS (SELECT i, substr('ABCDE', i + 1, 1) AS name, (1 << i)::INT AS bit FROM (SELECT unnest([0, 1, 2, 3, 4]) AS i)),
+o AS (SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits FROM f a, f b, f c, f d, f e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s AS (SELECT filter_order, step::INT AS step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+r AS (SELECT part, filter_order, step, bit,
+  coalesce(sum(n) FILTER (mask & (bit | before) = 0), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & before = 0), 0)::BIGINT AS removed,
+  coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & before <> 0), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+  coalesce(sum(good) FILTER (mask & bit <> 0 AND mask & before = 0), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (mask & bit <> 0 AND mask & before = 0), 0)::BIGINT AS toxic_lost
+  FROM g, s GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM r
+""",
+    "op12_hard_negatives": r"""
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT a.r AS anchor, a.vec_id AS anchor_id, a.label, b.vec_id AS other_id, b.r AS other, b.label AS other_label, list_dot_product(a.q, b.q)::BIGINT AS score FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 50 = 0),
+t AS (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other_id NULLS LAST, other) AS place FROM p WHERE label = other_label),
+n AS (SELECT t.anchor_id, t.other_id AS positive_id, t.score AS positive_score, p.other_id AS negative_id, p.score AS negative_score, row_number() OVER (PARTITION BY t.anchor, t.place ORDER BY p.score DESC, p.other_id NULLS LAST, p.other) AS rank
+  FROM t JOIN p ON p.anchor = t.anchor AND p.label <> p.other_label AND 50 * t.score <= 100 * p.score AND 100 * p.score <= 95 * t.score WHERE t.place <= 5)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+""",
+    "op13_decontamination": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS x FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS x FROM benchmark),
+k AS (SELECT DISTINCT item_id, least(len(x), 10) AS k, unnest(list_transform(generate_series(1, greatest(len(x) - 9, 1)), lambda i: array_to_string(x[i:i + 9], ' '))) AS words FROM b WHERE len(x) > 0),
+p AS (SELECT r, k, i, array_to_string(x[i:i + k - 1], ' ') AS words FROM (SELECT r, x, k, unnest(generate_series(1, len(x) - k + 1)) AS i FROM d, (SELECT DISTINCT k FROM k) WHERE len(x) >= k)),
+h AS (SELECT DISTINCT r, i, p.k, item_id FROM p JOIN k ON p.words = k.words),
+a AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(generate_series(i, i + k - 1)) AS place FROM h) GROUP BY r),
+s AS (SELECT r, list_sort(list(DISTINCT item_id::VARCHAR)) AS items FROM h WHERE item_id IS NOT NULL GROUP BY r)
+SELECT doc_id, len(x)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items, sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN a USING (r) LEFT JOIN s USING (r)
 """,
 }
