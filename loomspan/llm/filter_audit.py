@@ -13,7 +13,7 @@ other columns are not read. Texts are compared whole, so equal fingerprints of d
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import permutations
 
 import numpy as np
@@ -53,12 +53,12 @@ def fingerprint(data: str) -> int:
 class Chains:
     """Texts by fingerprint with their least id: what a task knows of copies. Rows are (fingerprint, id, part, mask, number of equal rows, text or None)."""
 
-    def __init__(self, most: int):
-        self.most, self.held = most, 0
+    def __init__(self, most: int, hashed: Callable[[str], int] = fingerprint):
+        self.most, self.hashed, self.held = most, hashed, 0
         self.chains: dict[int, dict[str, list]] = {}
 
     def add(self, id_, part: str, text: str) -> Iterator[tuple]:
-        h = fingerprint(text)
+        h = self.hashed(text)
         chain = self.chains.setdefault(h, {})
         known = chain.get(text)
         if known is None:
@@ -92,14 +92,14 @@ class Chains:
         self.chains = left
 
 
-def masks(docs: DataFrame, part: str = "lang", held_bytes: int = HELD_BYTES) -> DataFrame:
+def masks(docs: DataFrame, part: str = "lang", held_bytes: int = HELD_BYTES, hashed: Callable[[str], int] = fingerprint) -> DataFrame:
     """doc_id, part, mask, n: how many rows of an id fail just these filters."""
     spark = docs.sparkSession
     id_type = docs.schema["doc_id"].dataType
     fields = [T.StructField("h", T.LongType()), T.StructField("doc_id", id_type), T.StructField("part", T.StringType()), T.StructField("mask", T.IntegerType()), T.StructField("n", T.LongType()), T.StructField("text", T.StringType())]
 
     def assess(batches):
-        chains = Chains(held_bytes)
+        chains = Chains(held_bytes, hashed)
         kinds: list = []
 
         def packed(rows: list[tuple]) -> pa.RecordBatch:

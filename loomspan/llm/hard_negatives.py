@@ -174,7 +174,7 @@ def hard_negatives(rows: DataFrame, n_positives: int = 5, n_negatives: int = 3,
     """
     spark = rows.sparkSession
     known = cut(quantised(rows))
-    total, dims, most = known.agg(F.count(F.lit(1)), F.max(F.size("q")), F.max(F.array_max(F.transform("q", lambda v: F.greatest(v, -(v + 1)))))).first()
+    total, dims, most = known.agg(F.count(F.lit(1)), F.max(F.size("q")), F.max(F.array_max(F.transform("q", lambda v: F.greatest(v, F.bitwise_not(v)))))).first()
     dims, most = max(dims or 0, 1), (most or 0) + 1
     if dims * most * most >= 1 << 62:
         raise ValueError("components are too large: a score might not fit 64 bits")

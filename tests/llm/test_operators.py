@@ -80,7 +80,7 @@ def rows(docs):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "benchmark", "embeddings", "labels"):
         con.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     rel = con.execute(ORACLE_SQL[name])
     columns = [c[0] for c in rel.description]
