@@ -1,7 +1,8 @@
-"""Text functions of evidence documents, all within code generation."""
+"""Text functions of evidence documents: expressions, but for the cuts of UTF-8 chunks, which depend on each other and so are Arrow-batched Python."""
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,22 +58,48 @@ def after_first(text: Column, marker: str) -> Column:
     return F.when(at > 0, F.substr(text, at + F.lit(len(marker))))
 
 
+def utf8_cuts(data: bytes, most: int) -> list[int]:
+    """Ends of the greedy longest pieces of at most `most` bytes that split no code point, each found from the one before; nothing has one empty piece. most must be 4 at least."""
+    ends, at = [], 0
+    while at < len(data):
+        end = min(at + most, len(data))
+        while end < len(data) and data[end] & 0xC0 == 0x80:
+            end -= 1
+        ends.append(end)
+        at = end
+    return ends or [0]
+
+
 def utf8_chunks(text: Column, most: int) -> Column:
-    """Array of the greedy longest pieces of at most `most` UTF-8 bytes that split no code point; an empty text is one empty chunk. most must be 4 at least.
-
-    The state holds the pieces' ends alone, and a text of n bytes takes about n / most steps.
-    """
-    data = F.encode(text, "UTF-8")
-    size = F.octet_length(text)
-    tail = lambda end, d: (F.ascii(F.hex(F.substr(data, end - F.lit(d) + 1, F.lit(1)))) >= 56) & F.hex(F.substr(data, end - F.lit(d) + 1, F.lit(1))).between("80", "BF")
-
-    def step(ends: Column, _: Column) -> Column:
-        begin = F.coalesce(F.get(ends, F.size(ends) - 1), F.lit(0))
-        end = F.least(begin + most, size)
-        # The cut goes back while the byte after it continues a code point.
-        back = F.when(end >= size, 0).when(~tail(end, 0), 0).when(~tail(end, 1), 1).when(~tail(end, 2), 2).otherwise(3)
-        return F.when(begin >= size, ends).otherwise(F.concat(ends, F.array(end - back)))
-
-    ends = F.aggregate(F.sequence(F.lit(0), F.floor(size / F.lit(most - 3)).cast("int") + 1), F.array().cast("array<int>"), step)
-    pieces = F.transform(ends, lambda e, i: F.decode(F.substr(data, F.when(i == 0, 0).otherwise(F.get(ends, i - 1)) + 1, e - F.when(i == 0, 0).otherwise(F.get(ends, i - 1))), "UTF-8"))
-    return F.when(size == 0, F.array(F.lit(""))).otherwise(pieces)
+    """Array of a text's pieces of at most `most` UTF-8 bytes; null for a null text. One walk over the cuts, linear in the text."""
+
+    @F.pandas_udf("array<string>")
+    def pieces(texts: pd.Series) -> pd.Series:
+        def of(text: str | None) -> list[str] | None:
+            if text is None:
+                return None
+            data = text.encode()
+            ends = utf8_cuts(data, most)
+            return [data[a:b].decode() for a, b in zip([0, *ends], ends, strict=False)]
+
+        return texts.map(of)
+
+    return pieces(text)
+
+
+def utf8_chunk(text: Column, most: int, number: int) -> Column:
+    """One piece of a text alone (from 1; null beyond the last) and how many there are."""
+
+    @F.pandas_udf("text string, chunks int")
+    def piece(texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text in texts:
+            if text is None:
+                rows.append((None, None))
+                continue
+            data = text.encode()
+            ends = [0, *utf8_cuts(data, most)]
+            rows.append((data[ends[number - 1] : ends[number]].decode() if number < len(ends) else None, len(ends) - 1))
+        return pd.DataFrame(rows, columns=["text", "chunks"])
+
+    return piece(text)

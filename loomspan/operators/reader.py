@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomspan import formats as K
-from loomspan.functions.text import utf8_chunks
+from loomspan.functions.text import utf8_chunk
 from loomspan.operators.lines import fence_scan
 
 # Bounds of the views.
@@ -56,15 +56,17 @@ def first_after(heading: str, floor: Column) -> Column:
 
 
 def with_sections(lines: DataFrame) -> DataFrame:
-    """Adds section: -1 for what is before the first heading, else its place among the top sections.
+    """Adds front (the line that ends the front matter) and section: -1 for what is before the first heading, else its place among the top sections.
 
-    Each heading is the first visible one after that before it; that of pull requests comes after the last issue's end, that of warnings after the last end of all.
+    A document begins with front matter, between a first line --- and the next such line; headings come after it. Each heading is the first visible one after that before it; that of pull requests comes after the last issue's end, that of warnings after the last end of all.
     """
-    heads = F.array_sort(F.collect_list(F.when(F.col("line").isin(*K.TOP_SECTIONS), F.struct("line_no", "line"))))
-    ends = [F.coalesce(F.max(F.when(F.col("line").startswith(mark), F.col("line_no"))), F.lit(-1)).alias(f"end_{kind}") for kind, mark in END_MARK.items()]
-    marks = lines.where("visible").groupBy("doc_id").agg(heads.alias("heads"), *ends)
+    heads = F.array_sort(F.collect_list(F.when(F.col("visible") & F.col("line").isin(*K.TOP_SECTIONS), F.struct("line_no", "line"))))
+    ends = [F.coalesce(F.max(F.when(F.col("visible") & F.col("line").startswith(mark), F.col("line_no"))), F.lit(-1)).alias(f"end_{kind}") for kind, mark in END_MARK.items()]
+    rule = F.col("line") == "---"
+    front = F.when(F.bool_or(rule & (F.col("line_no") == 0)), F.min(F.when(rule & (F.col("line_no") > 0), F.col("line_no"))))
+    marks = lines.groupBy("doc_id").agg(heads.alias("heads"), *ends, front.alias("front")).withColumn("front", _must(F.col("front"), "front matter is missing or not terminated"))
     for i, heading in enumerate(K.TOP_SECTIONS):
-        floor = F.col(f"at{i - 1}") if i else F.lit(-1)
+        floor = F.col(f"at{i - 1}") if i else F.col("front")
         if i == 5:
             floor = F.greatest(floor, F.col("end_issue"))
         if i == 6:
@@ -72,7 +74,7 @@ def with_sections(lines: DataFrame) -> DataFrame:
         found = first_after(heading, floor)
         marks = marks.withColumn(f"at{i}", _must(found, f"section {heading!r} is missing"))
     places = [f"at{i}" for i in range(len(K.TOP_SECTIONS))]
-    joined = lines.join(marks.select("doc_id", *places), "doc_id")
+    joined = lines.join(marks.select("doc_id", "front", *places), "doc_id")
     return joined.withColumn("section", sum((F.col("line_no") >= F.col(p)).cast("int") for p in places) - 1).drop(*places)
 
 
@@ -84,11 +86,7 @@ def joined(lines: DataFrame, *keys: str) -> DataFrame:
 def overview(docs: DataFrame) -> DataFrame:
     """doc_id, text, bytes: front matter and the four control sections, 20,000 bytes at most."""
     lines = with_sections(evidence_lines(docs))
-    end = F.min(F.when((F.col("line") == "---") & (F.col("line_no") > 0), F.col("line_no"))).over(W.partitionBy("doc_id"))
-    first = F.max(F.when(F.col("line_no") == 0, F.col("line"))).over(W.partitionBy("doc_id"))
-    control = F.col("section").isin(0, 1, 6, 7)
-    rows = lines.withColumns({"_end": F.when(first == "---", end), "_control": control})
-    rows = rows.withColumn("_end", _must(F.col("_end"), "front matter is missing or not terminated")).where("_control or line_no <= _end")
+    rows = lines.where(F.col("section").isin(0, 1, 6, 7) | (F.col("line_no") <= F.col("front")))
     parts = joined(rows, "doc_id", "section").withColumn("text", F.regexp_replace("text", r"(?U)\s+$", ""))
     text = F.concat(F.expr("listagg(text, '\n\n') within group (order by section)"), F.lit("\n"))
     whole = parts.groupBy("doc_id").agg(text.alias("text")).withColumn("bytes", F.octet_length("text"))
@@ -153,10 +151,10 @@ def item(docs: DataFrame, kind: str, item_id: str, view: str = "full", chunk: in
             rows = rows.where((F.col("part") == -1) | F.col("part").isin(wanted) | F.col("closing"))
         else:
             rows = rows.where((F.col("part") == sections.index(views[view])) & ~F.col("closing"))
-    text = joined(rows, "doc_id").withColumn("pieces", utf8_chunks(F.col("text"), max_bytes))
-    n = F.size("pieces")
+    text = joined(rows, "doc_id").withColumn("piece", utf8_chunk(F.col("text"), max_bytes, chunk))
+    n = F.col("piece.chunks")
     beyond = F.raise_error(F.concat(F.lit(f"chunk {chunk} is beyond the available chunks: "), n.cast("string")))
-    piece = F.when(n < chunk, beyond.cast("string")).otherwise(F.get("pieces", F.lit(chunk - 1)))
+    piece = F.when(n < chunk, beyond.cast("string")).otherwise(F.col("piece.text"))
     return text.select("doc_id", piece.alias("text"), F.lit(chunk).alias("chunk"), n.alias("chunks"), F.octet_length("text").alias("view_bytes"))
 
 

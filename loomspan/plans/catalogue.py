@@ -240,6 +240,16 @@ def utf8_chunks(spark, d):
     return table(spark, d, "documents").select("doc_id", F.posexplode(chunks).alias("chunk_no", "chunk"))
 
 
+@query("""WITH RECURSIVE t AS (SELECT doc_id, translate(text, 'aeiounts', '中文🚀éß🎉д한') AS text FROM documents),
+c AS (SELECT doc_id, text, -1 AS chunk_no, 0::BIGINT AS begin, 0::BIGINT AS n FROM t UNION ALL
+SELECT doc_id, text, chunk_no + 1, begin + n, (SELECT max(k) FROM range(1, 257) r(k) WHERE strlen(substring(text, (begin + n + 1), k)) <= 256) FROM c WHERE begin + n < length(text) OR chunk_no < 0)
+SELECT doc_id, chunk_no, strlen(substring(text, begin + 1, n))::INT AS bytes, md5(substring(text, begin + 1, n)) AS chunk_md5 FROM c WHERE chunk_no >= 0""")
+def utf8_chunks_wide(spark, d):
+    wide = F.translate("text", "aeiounts", "中文🚀éß🎉д한")
+    chunks = table(spark, d, "documents").select("doc_id", F.posexplode(T.utf8_chunks(wide, 256)).alias("chunk_no", "chunk"))
+    return chunks.select("doc_id", "chunk_no", F.octet_length("chunk").alias("bytes"), F.md5("chunk").alias("chunk_md5"))
+
+
 # No document holds a backtick, so every fence is a line of its own here and they open and close in turn.
 @query("""WITH l AS (SELECT doc_id, unnest(range(len(x)))::INT AS line_no, unnest(x) = '```' AS fence FROM (SELECT doc_id, string_split(replace(text, 'The ', '```' || chr(10)), chr(10)) AS x FROM documents))
 SELECT doc_id, line_no, NOT fence AND count(*) FILTER (WHERE fence) OVER (PARTITION BY doc_id ORDER BY line_no) % 2 = 0 AS visible FROM l""")

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from loomspan import formats as K
 from loomspan.operators import reader, report_rules
 from loomspan.plans.registry import query, table
+from loomspan.sources.split_lines import split_lines
+from loomspan.storage import scratch
 
 NAME = "s_name"
 
@@ -201,3 +203,22 @@ def report_findings(spark, d):
     text = "case p_size % {} {} end".format(len(CASES), " ".join(f"when {k} then {_report(lines)}" for k, (lines, _) in enumerate(CASES)))
     docs = table(spark, d, "part").select(F.col("p_partkey").alias("doc_id"), F.expr(text).alias("text"))
     return report_rules.findings(docs, STYLE)
+
+
+# One document of all texts, written in parts. Every fourth text opens a fence that the next but one closes, if it is there.
+FENCED = "CASE WHEN doc_id % 2 = 0 AND doc_id - doc_id % 4 + 2 <= {} THEN '```' || chr(10) ELSE '' END || text"
+
+
+@query(
+    f"""WITH d AS (SELECT doc_id, {FENCED.format("(SELECT max(doc_id) FROM documents)")} AS t FROM documents),
+l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, unnest(generate_series(1, len(string_split(t, chr(10))))) AS pos FROM d),
+n AS (SELECT line, row_number() OVER (ORDER BY doc_id, pos) - 1 AS line_no, sum((line = '```')::INT) OVER (ORDER BY doc_id, pos ROWS UNBOUNDED PRECEDING) AS fences FROM l)
+SELECT line_no, md5(line) AS line_md5, line <> '```' AND fences % 2 = 0 AS visible FROM n UNION ALL SELECT count(*), md5(''), true FROM n"""
+)
+def split_document(spark, d):
+    docs = table(spark, d, "documents")
+    last = docs.agg(F.max("doc_id")).first()[0]
+    folder = scratch(spark, "document")
+    text = docs.select("doc_id", F.expr(FENCED.format(-1 if last is None else last)).alias("t"))
+    text.repartitionByRange("doc_id").sortWithinPartitions("doc_id").select("t").write.text(folder)
+    return split_lines(spark, folder, parts=True).select("line_no", F.md5("line").alias("line_md5"), "visible")

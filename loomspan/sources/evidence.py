@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -12,21 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspan.operators.render import in_order
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; a local session without that setting takes a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="loomspan-")
-    return f"{base.rstrip('/')}/evidence-{uuid.uuid4().hex}"
+from loomspan.storage import scratch
 
 
 def keeper(spark: SparkSession, folder: str | None = None) -> Callable[[str, DataFrame], DataFrame]:
-    """For ingest: each step is written once, to a new folder, and read back. A lost executor repeats tasks of one step, not of all before it."""
-    folder = folder or shared_folder(spark)
+    """For ingest: each step is written once, to the folder or one that goes with the driver's process, and read back. A lost executor repeats tasks of one step, not of all before it."""
+    folder = folder or scratch(spark, "evidence")
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         df.write.parquet(f"{folder}/{name}")
