@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices
+from .common import cut, slices
 
 FILTERS = "ABCDE"
 COPY = 1 << FILTERS.index("E")
@@ -93,7 +93,7 @@ class Chains:
 
 
 def masks(docs: DataFrame, part: str = "lang", held_bytes: int = HELD_BYTES, hashed: Callable[[str], int] = fingerprint) -> DataFrame:
-    """doc_id, part, mask, n: how many rows of an id fail just these filters."""
+    """doc_id, part, mask, n: how many rows of an id fail just these filters. The narrow rows are written once, so that no later step reads the texts anew."""
     spark = docs.sparkSession
     id_type = docs.schema["doc_id"].dataType
     fields = [T.StructField("h", T.LongType()), T.StructField("doc_id", id_type), T.StructField("part", T.StringType()), T.StructField("mask", T.IntegerType()), T.StructField("n", T.LongType()), T.StructField("text", T.StringType())]
@@ -127,20 +127,24 @@ def masks(docs: DataFrame, part: str = "lang", held_bytes: int = HELD_BYTES, has
         if rows:
             yield packed(rows)
 
-    def resolve(rows):
+    def resolve(batches):
         h, chain = None, {}
-        for r in rows:  # in the order of fingerprints, then ids
-            if r.text is None:
-                yield r.doc_id, r.part, r.mask, r.n
-                continue
-            if r.h != h:
-                h, chain = r.h, {}
-            least = chain.setdefault(r.text, r.doc_id)
-            yield r.doc_id, r.part, r.mask | (COPY if least < r.doc_id else 0), r.n
+        for batch in batches:  # in the order of fingerprints, then ids
+            marks, masks = batch.column(0).to_numpy(), batch.column(3).to_numpy().copy()
+            for first, texts in slices(batch):
+                ids, given = batch.column(1).slice(first, len(texts)).to_pylist(), batch.column(5).slice(first, len(texts)).is_valid().to_pylist()
+                for k, (i, text, there) in enumerate(zip(ids, texts, given, strict=True), first):
+                    if not there:
+                        continue
+                    if marks[k] != h:
+                        h, chain = marks[k], {}
+                    if chain.setdefault(text, i) < i:
+                        masks[k] |= COPY
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(masks), batch.column(4)], [f.name for f in fields[1:5]])
 
     rows = docs.select("doc_id", F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"), "text").mapInArrow(assess, T.StructType(fields))
-    routed = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "h").sortWithinPartitions("h", "doc_id").rdd
-    return spark.createDataFrame(routed.mapPartitions(resolve), T.StructType(fields[1:5]), verifySchema=False)
+    routed = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "h").sortWithinPartitions("h", "doc_id")
+    return cut(routed.mapInArrow(resolve, T.StructType(fields[1:5])))
 
 
 def mask_counts(docs: DataFrame, labels: DataFrame, part: str = "lang"):
