@@ -32,6 +32,9 @@ MASKS = 1 << len(FILTERS)
 #: Bytes of texts that a task keeps to combine copies before the shuffle.
 HELD_BYTES = 16 << 20
 
+#: Files of the vectors.
+FILES = 16
+
 _UPPER = bytes(range(65, 91))
 _SIGNS = b"#$%&*|"
 
@@ -93,7 +96,7 @@ class Chains:
 
 
 def masks(docs: DataFrame, part: str = "lang", held_bytes: int = HELD_BYTES, hashed: Callable[[str], int] = fingerprint) -> DataFrame:
-    """doc_id, part, mask, n: how many rows of an id fail just these filters. The narrow rows are written once, so that no later step reads the texts anew."""
+    """doc_id, part, mask, n: how many rows of an id fail just these filters."""
     spark = docs.sparkSession
     id_type = docs.schema["doc_id"].dataType
     fields = [T.StructField("h", T.LongType()), T.StructField("doc_id", id_type), T.StructField("part", T.StringType()), T.StructField("mask", T.IntegerType()), T.StructField("n", T.LongType()), T.StructField("text", T.StringType())]
@@ -144,7 +147,7 @@ def masks(docs: DataFrame, part: str = "lang", held_bytes: int = HELD_BYTES, has
 
     rows = docs.select("doc_id", F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"), "text").mapInArrow(assess, T.StructType(fields))
     routed = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "h").sortWithinPartitions("h", "doc_id")
-    return cut(routed.mapInArrow(resolve, T.StructType(fields[1:5])))
+    return routed.mapInArrow(resolve, T.StructType(fields[1:5]))
 
 
 def mask_counts(docs: DataFrame, labels: DataFrame, part: str = "lang"):
@@ -155,14 +158,24 @@ def mask_counts(docs: DataFrame, labels: DataFrame, part: str = "lang"):
     known = labels.where("doc_id is not null").groupBy("doc_id").agg(says("quality"), says("toxic"))
     flagged = rows.join(known, "doc_id", "left").select("part", "mask", "n", F.coalesce("quality", F.lit(0)).alias("good"), F.coalesce("toxic", F.lit(0)).alias("toxic"))
 
-    def add(vector: np.ndarray, value: tuple) -> np.ndarray:
-        mask, n, good, toxic = value
-        vector[:, mask] += (n, n * good, n * toxic)
-        return vector
-
-    pairs = flagged.rdd.map(lambda r: (r.part, (r.mask, r.n, r.good, r.toxic)))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return pairs.combineByKey(lambda v: add(np.zeros((3, MASKS), np.int64), v), add, lambda a, b: a + b, parts)
+    def count(batches):
+        vectors: dict[str, np.ndarray] = {}
+        for batch in batches:
+            mask, n, good, toxic = (batch.column(c).to_numpy().astype(np.int64) for c in range(1, 5))
+            parts = batch.column(0).dictionary_encode()
+            own = parts.indices.to_numpy()
+            for k, name in enumerate(parts.dictionary.to_pylist()):
+                at = own == k
+                vector = vectors.setdefault(name, np.zeros((3, MASKS), np.int64))
+                for row, times in enumerate((1, good[at], toxic[at])):
+                    np.add.at(vector[row], mask[at], n[at] * times)
+        for name, vector in vectors.items():
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([vector.reshape(-1).tolist()], pa.list_(pa.int64()))], ["part", "counts"])
+
+    # A vector for each task and part, gathered in few files, so that what follows doesn't read the texts anew.
+    vectors = cut(flagged.mapInArrow(count, "part string, counts array<long>").repartition(FILES))
+    pairs = vectors.rdd.map(lambda r: (r.part, np.array(r.counts, np.int64).reshape(3, MASKS)))
+    return pairs.combineByKey(lambda v: v, lambda a, b: a + b, lambda a, b: a + b, FILES)
 
 
 def steps(counts: np.ndarray) -> list[tuple]:
