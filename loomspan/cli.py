@@ -22,8 +22,9 @@ from loomspan.operators.ingest import Evidence, candidate_id, ingest
 from loomspan.operators.ranking import ranked
 from loomspan.operators.render import fragments
 from loomspan.period import TIMEZONE, build_period
-from loomspan.sources.evidence import keeper, read_texts, shared_folder, write_document
+from loomspan.sources.evidence import read_texts, write_document
 from loomspan.sources.rest import service_for, snapshot
+from loomspan.storage import keeper, scratch
 
 
 logger = logging.getLogger("loomspan")
@@ -132,7 +133,7 @@ def collect(args: argparse.Namespace) -> int:
             raise CommandError(f"Missing GitHub token environment variable: {config.token_env}")
         spark = session()
         service = service_for(period, args.base_url, config.org, config.token_env, rate=float(args.requests_per_second), workers=args.workers, transport=args.transport)
-        folder = args.snapshot or shared_folder(spark)
+        folder = args.snapshot or scratch(spark, "collect")
         with progress():
             logger.info("Starting GitHub collection of %s, %s through %s", config.org, period.start_date, period.end_date)
             made = ingest(snapshot(spark, service, period, folder), period, keeper(spark, f"{folder}/typed-{uuid.uuid4().hex}"))

@@ -25,6 +25,7 @@ from loomspan.functions.flags import is_active, is_bot, is_maintainer, login_of
 from loomspan.functions.text import after_first
 from loomspan.operators.ranking import keep_last
 from loomspan.period import Period
+from loomspan.storage import keeper
 
 KEYS = ["item_kind", "repository", "number"]
 
@@ -216,10 +217,12 @@ def judged(items: DataFrame, totals: DataFrame, failures: DataFrame) -> DataFram
     return rows.withColumn("included", included).withColumn("data_gaps", F.concat("data_gaps", late)).withColumn("_any_failed", F.size(late) > 0).drop("_failed")
 
 
-def ingest(raw: Raw, period: Period, keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df) -> Evidence:
-    """keep may store a step and return it as read back, so that the steps after it don't parse the raw records anew; by default all is one lazy plan."""
-    rows = keep("looked_up", looked_up(typed_candidates(raw.candidates), raw.details, period))
-    items = keep("typed_items", typed_items(rows, period))
+def ingest(raw: Raw, period: Period, keep: Callable[[str, DataFrame], DataFrame] | None = None) -> Evidence:
+    """keep may store a step and return it as read back. By default the two steps that all others read are stored in the shared folder, so that no raw record of an item is parsed twice."""
+    store = keep or keeper(raw.candidates.sparkSession)
+    keep = keep or (lambda name, df: df)
+    rows = store("looked_up", looked_up(typed_candidates(raw.candidates), raw.details, period))
+    items = store("typed_items", typed_items(rows, period))
     activities = keep("activities", typed_activities(raw.children, items, period))
     unknown = period.contains(F.col("updated_at")) & ~F.col("included")
     reason = F.when(F.col("included"), None).when(F.col("_any_failed"), "failed_child").when(unknown, "unexplained_update").otherwise("out_of_period")

@@ -193,53 +193,63 @@ def pull_layout() -> list:
     ]
 
 
+#: Groups that show an activity for its place among others, and how many of them.
+MOST_SHOWN = {"latest_human": 1, "latest_maintainer": 1, "previous": 3, "current_review": 1}
+
+
 def shown_activities(activities: DataFrame) -> DataFrame:
     """Activities with the groups that show them, one row for each showing, with their order in it.
 
-    Rows of a group come by time, null first; equal times keep the order of arrival, but those of previous context turn it round.
+    Rows of a group come by time, null first; equal times keep the order of arrival, but those of previous context turn it round. One scan and one ranking: each activity asks for its groups at once,
+    newest first in each; Spark keeps three of a group in each task before the shuffle, so an item of very many activities is no hot key. Active ones are shown all, each in a group of its own.
     """
-    human = activities.where("not bot")
+    human, active = ~F.col("bot"), F.col("active")
     by_arrival = F.col("source_rank") * F.lit(1 << 40) + F.col("ordinal")
-    show = lambda df, group, pos, tie="": df.select(*KEYS, group.alias("group"), F.col("occurred_at").alias("at"), (F.lower("author") if tie else F.lit("")).alias("tie"), pos.cast("long").alias("pos"), activity_text().alias("text"))
-    parts = [
-        show(activities.where("active"), F.concat(F.when(F.col("bot"), "bot_").otherwise("human_"), "kind"), by_arrival),
-        show(ranking.latest(human, KEYS, "occurred_at", TIES), F.lit("latest_human"), by_arrival),
-        show(ranking.latest(human.where("maintainer"), KEYS, "occurred_at", TIES), F.lit("latest_maintainer"), by_arrival),
-        show(ranking.previous_context(human.where("not active"), KEYS, "occurred_at", TIES), F.lit("previous"), -F.col("rank")),
-        show(ranking.current_review(activities.where("kind = 'review'"), [*KEYS, "author"], "state", "occurred_at", TIES, list(K.DECISIVE)), F.lit("current_review"), by_arrival, "author"),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    none = F.lit(None).cast("long")
+    ask = lambda rule, group, own=none, who="", first=False: F.when(rule, F.struct(group.alias("group"), own.alias("own"), F.col(who).alias("who") if who else F.lit(None).cast("string").alias("who"), F.lit(first).alias("first") if first is False else first.alias("first")))
+    decisive = F.coalesce(F.upper("state").isin(list(K.DECISIVE)), F.lit(False))
+    asked = F.array(
+        ask(active, F.concat(F.when(F.col("bot"), "bot_").otherwise("human_"), "kind"), by_arrival),
+        ask(human, F.lit("latest_human")),
+        ask(human & F.col("maintainer"), F.lit("latest_maintainer")),
+        ask(human & ~active, F.lit("previous")),
+        ask(F.col("kind") == "review", F.lit("current_review"), none, "author", decisive),
+    )
+    rows = activities.select("*", F.explode(F.array_compact(asked)).alias("ask")).select(*activities.columns, "ask.*")
+    order = [F.desc("first"), F.desc_nulls_last("occurred_at"), *map(F.asc, TIES)]
+    most = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for pair in MOST_SHOWN.items() for x in pair)), F.col("group")), F.lit(1))
+    best = ranking.ranked(rows, [*KEYS, "group", "own", "who"], order).where(F.col("rank") <= max(MOST_SHOWN.values())).where(F.col("rank") <= most)
+    pos = F.when(F.col("group") == "previous", -F.col("rank")).otherwise(by_arrival)
+    return best.select(*KEYS, "group", F.col("occurred_at").alias("at"), F.coalesce(F.lower("who"), F.lit("")).alias("tie"), pos.cast("long").alias("pos"), activity_text().alias("text"))
 
 
-def _fragment(df: DataFrame, section: int, text: Column, glue: str = "\n\n", **place: Column) -> DataFrame:
+def _fragment(df: DataFrame, section: int | Column, text: Column, glue: str = "\n\n", **place: Column) -> DataFrame:
     """Rows of the document; a place that isn't given is the same for all."""
     types = {"k1": "string", "k2": "string", "number": "long", "part": "int", "at": "timestamp", "tie": "string", "pos": "long"}
     places = [place.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in types.items()]
-    return df.select(F.lit(section).alias("section"), *places, F.lit(glue).alias("glue"), text.alias("text"))
+    return df.select((F.lit(section) if isinstance(section, int) else section).alias("section"), *places, F.lit(glue).alias("glue"), text.alias("text"))
 
 
 def _item_place() -> dict[str, Column]:
     return {"k1": F.lower("repository"), "k2": F.col("repository"), "number": F.col("number")}
 
 
-def item_fragments(items: DataFrame, shown: DataFrame, layout: list, section: int) -> DataFrame:
-    """Blocks of one kind of item: own paragraphs, and activities at the places of their groups; an empty group is a paragraph that says so."""
-    own, places = [], []
+def own_fragments(items: DataFrame, layout: list, section: int) -> DataFrame:
+    """Blocks of one kind of item without their activities; an empty group of these is a paragraph that says so."""
+    own = []
     for part, entry in enumerate(layout):
-        if isinstance(entry, tuple):
-            places += [F.lit(entry[0]), F.lit(part)]
-            text = F.when(F.col(f"n_{entry[0]}") == 0, "None.")
-        else:
-            text = F.lit(entry) if isinstance(entry, str) else entry
+        text = F.when(F.col(f"n_{entry[0]}") == 0, "None.") if isinstance(entry, tuple) else F.lit(entry) if isinstance(entry, str) else entry
         own.append(F.struct(F.lit(part).alias("part"), text.alias("text")))
     rows = items.select("repository", "number", F.inline(F.filter(F.array(*own), lambda x: x["text"].isNotNull())))
-    fixed = _fragment(rows, section, F.col("text"), part=F.col("part"), **_item_place())
-    part = F.try_element_at(F.create_map(*places), F.col("group"))
-    acts = shown.join(items.select(*KEYS), KEYS, "left_semi").withColumn("part", part).where("part is not null")
-    return fixed.unionByName(_fragment(acts, section, F.col("text"), part=F.col("part"), at=F.col("at"), tie=F.col("tie"), pos=F.col("pos"), **_item_place()))
+    return _fragment(rows, section, F.col("text"), part=F.col("part"), **_item_place())
+
+
+def shown_fragments(items: DataFrame, shown: DataFrame, layouts: dict[str, tuple[int, list]]) -> DataFrame:
+    """Activities of all kinds of items at the places of their groups, from one scan. layouts: the section and layout of each kind."""
+    places = [x for kind, (section, layout) in layouts.items() for part, entry in enumerate(layout) if isinstance(entry, tuple) for x in (F.lit(f"{kind} {entry[0]}"), F.struct(F.lit(section).alias("section"), F.lit(part).alias("part")))]
+    place = F.try_element_at(F.create_map(*places), F.concat_ws(" ", "item_kind", "group"))
+    acts = shown.join(items.select(*KEYS), KEYS, "left_semi").withColumn("place", place).where("place is not null")
+    return _fragment(acts, F.col("place.section"), F.col("text"), part=F.col("place.part"), at=F.col("at"), tie=F.col("tie"), pos=F.col("pos"), **_item_place())
 
 
 def index_row(kind: str) -> Column:
@@ -280,13 +290,16 @@ def fragments(evidence: Evidence, org: str, period: Period, generated_at: dateti
     one = evidence.summary
     parts = [_fragment(one, 0, _head(org, period, generated_at), glue="")]
     kinds = (("issue", "issues", K.ISSUE_COLUMNS, issue_layout(), "No matching issues."), ("pull_request", "pull_requests", K.PULL_COLUMNS, pull_layout(), "No matching pull requests."))
+    layouts = {}
     for i, (kind, total, columns, layout, nothing) in enumerate(kinds):
         items = kept.where(F.col("item_kind") == kind)
         none = F.col(total) == 0
         parts.append(_fragment(one, 1 + 2 * i, F.concat(F.lit(f"{K.TOP_SECTIONS[2 + i]}\n\n{columns}"), F.when(none, "\n").otherwise(""))))
         parts.append(_fragment(items, 2 + 2 * i, index_row(kind), glue="\n", **_item_place()))
         parts.append(_fragment(one, 5 + 2 * i, F.concat(F.lit(K.TOP_SECTIONS[4 + i]), F.when(none, f"\n\n{nothing}").otherwise(""))))
-        parts.append(item_fragments(items, shown, layout, 6 + 2 * i))
+        parts.append(own_fragments(items, layout, 6 + 2 * i))
+        layouts[kind] = (6 + 2 * i, layout)
+    parts.append(shown_fragments(kept, shown, layouts))
     noted = F.concat(F.lit("- **"), "scope", F.lit("**: "), "message", F.coalesce(F.concat(F.lit(" ([request]("), F.nullif("url", F.lit("")), F.lit("))")), F.lit("")))
     parts.append(_fragment(one, 9, F.concat(F.lit(K.TOP_SECTIONS[6] + "\n"), F.when(F.col("warnings") == 0, "\nNone.").otherwise(""))))
     parts.append(_fragment(evidence.warnings, 10, noted, glue="\n", k1=F.col("scope"), k2=F.col("message"), tie=F.coalesce("url", F.lit(""))))

@@ -16,7 +16,7 @@ from loomspan.functions import text as T
 from loomspan.operators import activity, ingest, lines, ranking, render
 from loomspan.period import build_period, within
 from loomspan.plans.registry import query, table
-from loomspan.sources.evidence import keeper
+from loomspan.storage import keeper
 
 START, END = "1997-01-01 00:00:00", "1997-03-31 23:59:59.999999"
 TIES = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]

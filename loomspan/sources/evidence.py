@@ -3,25 +3,12 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspan.operators.render import in_order
-from loomspan.storage import scratch
-
-
-def keeper(spark: SparkSession, folder: str | None = None) -> Callable[[str, DataFrame], DataFrame]:
-    """For ingest: each step is written once, to the folder or one that goes with the driver's process, and read back. A lost executor repeats tasks of one step, not of all before it."""
-    folder = folder or scratch(spark, "evidence")
-
-    def keep(name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(f"{folder}/{name}")
-        return spark.read.parquet(f"{folder}/{name}")
-
-    return keep
 
 
 def write_document(rows: DataFrame, path: str | Path) -> int:

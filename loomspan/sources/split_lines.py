@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspan.operators.lines import FENCE, NAME
-from loomspan.sources.evidence import keeper
+from loomspan.storage import keeper
 
 RARE = r"\x0B\x0C\x1C-\x1E\x85\u2028\u2029"
 #: What the lines of a fence look like to the search for them, in either dialect.

@@ -8,9 +8,10 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import pyarrow.fs as pafs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -43,3 +44,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     atexit.register(discard, folder)
     return folder
+
+
+def keeper(spark: SparkSession, folder: str | None = None) -> Callable[[str, DataFrame], DataFrame]:
+    """Each step is written once, to the folder or one that goes with the driver's process, and read back. A lost executor repeats tasks of one step, not of all before it."""
+    folder = folder or scratch(spark, "evidence")
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
+    return keep
