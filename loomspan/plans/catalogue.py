@@ -241,9 +241,9 @@ def utf8_chunks(spark, d):
 
 
 @query("""WITH RECURSIVE t AS (SELECT doc_id, translate(text, 'aeiounts', '中文🚀éß🎉д한') AS text FROM documents),
-c AS (SELECT doc_id, text, -1 AS chunk_no, 0::BIGINT AS begin, 0::BIGINT AS n FROM t UNION ALL
-SELECT doc_id, text, chunk_no + 1, begin + n, (SELECT max(k) FROM range(1, 257) r(k) WHERE strlen(substring(text, (begin + n + 1), k)) <= 256) FROM c WHERE begin + n < length(text) OR chunk_no < 0)
-SELECT doc_id, chunk_no, strlen(substring(text, begin + 1, n))::INT AS bytes, md5(substring(text, begin + 1, n)) AS chunk_md5 FROM c WHERE chunk_no >= 0""")
+c AS (SELECT doc_id, text AS rest, -1 AS chunk_no, '' AS chunk FROM t UNION ALL SELECT doc_id, substring(rest, n + 1), chunk_no + 1, left(rest, n) FROM
+(SELECT *, coalesce(list_max(list_filter(generate_series(1, 256), lambda k: strlen(left(w, k::INT)) <= 256)), 0)::INT AS n FROM (SELECT *, left(rest, 256) AS w FROM c WHERE rest <> '' OR chunk_no < 0)))
+SELECT doc_id, chunk_no, strlen(chunk)::INT AS bytes, md5(chunk) AS chunk_md5 FROM c WHERE chunk_no >= 0""")
 def utf8_chunks_wide(spark, d):
     wide = F.translate("text", "aeiounts", "中文🚀éß🎉д한")
     chunks = table(spark, d, "documents").select("doc_id", F.posexplode(T.utf8_chunks(wide, 256)).alias("chunk_no", "chunk"))

@@ -18,11 +18,14 @@ import time
 import urllib.error
 import urllib.parse
 import urllib.request
+import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass, replace
 
 import pandas as pd
+import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -30,6 +33,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from loomspan.formats import DETAIL_FIELDS
 from loomspan.operators.ingest import Raw, absent, typed_candidates
 from loomspan.period import Period
+from loomspan.storage import file_system
 
 # What the service allows.
 PAGE_SIZE = 100
@@ -37,6 +41,9 @@ SEARCH_CAP = 1000
 ATTEMPTS = 4
 TIMEOUT = 30.0
 
+#: A header of kept answers: the least remaining number that the request's attempts saw.
+LEAST = "loomspan-least-remaining"
+
 SCHEMA = (
     "table string, item_kind string, repository string, number long, kind string, ordinal long, raw string, error string, url string, "
     "total_count long, incomplete boolean, partial_error string, failed boolean, remaining string"
@@ -59,7 +66,7 @@ class RequestError(Exception):
 
 @dataclass(frozen=True)
 class Service:
-    """Where and how to ask. The token stays in the environment of each process; rate is the starts a second of all tasks together, pace the address of their common schedule."""
+    """Where and how to ask. The token stays in the environment of each process; rate is the starts a second of all tasks together, pace the address of their common schedule, ledger a shared folder of what was answered."""
 
     base: str
     org: str
@@ -70,6 +77,7 @@ class Service:
     rate: float = 10.0
     workers: int = 8
     pace: str = ""
+    ledger: str = ""
     transport: str = "loomspan.sources.rest:over_http"
 
 
@@ -136,7 +144,7 @@ def served(schedule: Schedule, host: str) -> Iterator[str]:
             answer = schedule.take() if what == "take" else schedule.defer(float(pause[0])) or 0.0
             self.wfile.write(f"{answer}\n".encode())
 
-    with socketserver.ThreadingTCPServer(("", 0), Handler) as server:
+    with socketserver.ThreadingTCPServer((host, 0), Handler) as server:
         server.daemon_threads = True
         threading.Thread(target=server.serve_forever, daemon=True).start()
         try:
@@ -145,10 +153,54 @@ def served(schedule: Schedule, host: str) -> Iterator[str]:
             server.shutdown()
 
 
+class Ledger:
+    """What a task's share of the service has answered, in a folder that all executors share: a repeated task reads it before it asks.
+
+    Answers go to numbered files of lines (address, answer), each written under another name first and renamed when it is complete: after `most` answers or `seconds`, so a lost task loses these at most.
+    In memory there are only the places of answers. Two runs of one task at once may keep an answer twice, which is no harm.
+    """
+
+    def __init__(self, folder: str, most: int = 50, seconds: float = 5.0, clock: Callable[[], float] = time.monotonic):
+        self.fs, self.root = file_system(folder)
+        self.most, self.seconds, self.clock, self.begun = most, seconds, clock, clock()
+        self.fs.create_dir(self.root, recursive=True)
+        self.held: list[str] = []
+        self.places: dict[str, tuple[str, int, int]] = {}
+        for info in self.fs.get_file_info(pafs.FileSelector(self.root)):
+            if info.path.endswith(".jsonl"):
+                with self.fs.open_input_stream(info.path) as f:
+                    at = 0
+                    for line in f.read().splitlines(keepends=True):
+                        self.places[json.loads(line)["url"]] = info.path, at, len(line)
+                        at += len(line)
+
+    def find(self, url: str) -> Answer | None:
+        if (place := self.places.get(url)) is None:
+            return None
+        path, at, size = place
+        with self.fs.open_input_file(path) as f:
+            kept = json.loads(f.read_at(size, at))
+        return Answer(kept["status"], kept["headers"], kept["body"])
+
+    def keep(self, url: str, answer: Answer) -> None:
+        self.held.append(json.dumps({"url": url, "status": answer.status, "headers": answer.headers, "body": answer.body}))
+        if len(self.held) >= self.most or self.clock() - self.begun >= self.seconds:
+            self.commit()
+
+    def commit(self) -> None:
+        if self.held:
+            name = f"{self.root}/{uuid.uuid4().hex}"
+            with self.fs.open_output_stream(f"{name}.partial", compression=None) as f:
+                f.write("".join(x + "\n" for x in self.held).encode())
+            self.fs.move(f"{name}.partial", f"{name}.jsonl")
+        self.held, self.begun = [], self.clock()
+
+
 class Client:
-    """Paced requests with retries; `log` has one (failed, remaining) for each logical request."""
+    """Paced requests with retries; `log` has one (failed, remaining) for each logical request. What a ledger has is not asked again, and counts as it did when it was."""
 
-    def __init__(self, base: str, token: str, transport: Callable[..., Answer], rate: float, sleep: Callable[[float], None] = time.sleep, clock: Callable[[], float] = time.monotonic, pace: SharedSchedule | None = None):
+    def __init__(self, base: str, token: str, transport: Callable[..., Answer], rate: float, sleep: Callable[[float], None] = time.sleep, clock: Callable[[], float] = time.monotonic, pace: SharedSchedule | None = None, ledger: Ledger | None = None):
+        self.ledger = ledger
         self.base, self.transport, self.sleep = base.rstrip("/"), transport, sleep
         self.schedule = pace or Schedule(rate, clock)
         self.headers = {"Accept": "application/vnd.github+json"} | ({"Authorization": f"Bearer {token}"} if token else {})
@@ -164,6 +216,9 @@ class Client:
         url = self.base + path + ("?" + urllib.parse.urlencode(params) if params else "")
         left: list[int] = []
         problem = ""
+        if self.ledger and (kept := self.ledger.find(url)) is not None:
+            self.log.append((False, kept.headers.get(LEAST)))
+            return kept
         for attempt in range(ATTEMPTS):
             self._wait()
             pause, last = float(2**attempt), attempt == ATTEMPTS - 1
@@ -181,6 +236,8 @@ class Client:
             limited = answer.status == 429 or (answer.status == 403 and (remaining == "0" or after is not None))
             if answer.status < 400:
                 self.log.append((False, str(min(left)) if left else None))
+                if self.ledger:
+                    self.ledger.keep(url, replace(answer, headers=answer.headers | ({LEAST: str(min(left))} if left else {})))
                 return answer
             problem = f"GitHub API returned {answer.status}: " + ("GitHub API rate limit exhausted: " if answer.status == 403 and 0 in left else "") + _said(answer)
             if last or not (limited or answer.status >= 500):
@@ -248,9 +305,10 @@ def _said(answer: Answer) -> str:
     return message or f"status {answer.status}"
 
 
-def _client(service: Service, share: int) -> Client:
+def _client(service: Service, share: int, part: str = "") -> Client:
     module, name = service.transport.split(":")
-    return Client(service.base, os.environ.get(service.token_env, ""), getattr(importlib.import_module(module), name), service.rate / share, pace=SharedSchedule(service.pace) if service.pace else None)
+    ledger = Ledger(f"{service.ledger}/{part}") if service.ledger else None
+    return Client(service.base, os.environ.get(service.token_env, ""), getattr(importlib.import_module(module), name), service.rate / share, pace=SharedSchedule(service.pace) if service.pace else None, ledger=ledger)
 
 
 def _row(table: str, **values) -> tuple:
@@ -275,7 +333,7 @@ class _SearchReader(DataSourceReader):
 
     def read(self, partition: _Kind) -> Iterator[tuple]:
         s, kind = self.service, partition.kind
-        client = _client(s, 2)
+        client = _client(s, 2, kind)
         short = "pr" if kind == "pull_request" else "issue"
         try:
             items, total, incomplete, ended = client.search(f"org:{s.org} is:{short} updated:{s.first_day}..{s.last_day}")
@@ -285,6 +343,8 @@ class _SearchReader(DataSourceReader):
             yield _row("searches", kind=kind, total_count=total, incomplete=incomplete, partial_error=str(ended) if ended else None, url=ended.url if ended else None)
             for ordinal, item in enumerate(items):
                 yield _row("candidates", kind=kind, ordinal=ordinal, raw=json.dumps(item))
+        if client.ledger:
+            client.ledger.commit()
         yield from _requests(client)
 
 
@@ -343,22 +403,25 @@ def lookups(candidates: DataFrame, period: Period, service: Service) -> DataFram
     asked = typed_candidates(candidates).where(~period.predates(F.col("seen_at"))).select("item_kind", "repository", "number", F.when(covering, F.col("raw")).alias("covering"))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client = _client(service, service.workers)
+        # A repeated task has the number of the one before and, by its keys, the same share of the items.
+        client = _client(service, service.workers, f"lookups-{TaskContext.get().partitionId()}")
         for batch in batches:
             for kind, repository, number, raw in batch.itertuples(index=False):
                 rows = list(_look_up(client, service, kind, repository, int(number), raw if isinstance(raw, str) else None))
                 rows += list(_requests(client))
                 client.log.clear()
                 yield pd.DataFrame(rows, columns=COLUMNS).astype(object)
+        if client.ledger:
+            client.ledger.commit()
 
     return asked.repartition(service.workers, "item_kind", "repository", "number").mapInPandas(read, SCHEMA)
 
 
 def snapshot(spark: SparkSession, service: Service, period: Period, folder: str) -> Raw:
-    """Ask the service once, write the raw zone to the folder, and return it as read from there."""
+    """Ask the service once, write the raw zone to the folder, and return it as read from there. A ledger of the service's own is taken up again, as after a run that broke off."""
     host = spark.conf.get("spark.driver.host", "") or socket.gethostname()
     with served(Schedule(service.rate), host) as pace:
-        return _snapshot(spark, replace(service, pace=pace), period, folder)
+        return _snapshot(spark, replace(service, pace=pace, ledger=service.ledger or f"{folder}/ledger-{uuid.uuid4().hex}"), period, folder)
 
 
 def _snapshot(spark: SparkSession, service: Service, period: Period, folder: str) -> Raw:

@@ -7,7 +7,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from loomspan.plans import catalogue, records, texts  # noqa: F401
+from loomspan.plans import catalogue, records, service, texts  # noqa: F401
 from loomspan.plans.registry import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"

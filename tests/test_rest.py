@@ -10,7 +10,7 @@ import pytest
 
 from loomspan.operators.ingest import ingest
 from loomspan.period import build_period
-from loomspan.sources.rest import Answer, Client, RequestError, Schedule, SharedSchedule, served, service_for, snapshot
+from loomspan.sources.rest import Answer, Client, Ledger, RequestError, Schedule, SharedSchedule, _client, _look_up, served, service_for, snapshot
 
 PERIOD = build_period(7, now=datetime(2026, 7, 16, 12, tzinfo=UTC))
 IN = "2026-07-12T01:02:03Z"
@@ -117,3 +117,53 @@ def test_search_pages():
     c, _ = client([ok({"total_count": 300, "items": full}), Answer(200, {}, "[")])
     with pytest.raises(RequestError):
         c.search("q")
+
+
+class Lost(BaseException):
+    """What ends a task at once."""
+
+
+def test_a_repeated_task_asks_only_for_what_was_not_answered(tmp_path):
+    asked: list[str] = []
+
+    def run(lost_at=None, **more):
+        service = service_for(PERIOD, "https://api.test", "o", "NO_SUCH_TOKEN", rate=1e6, ledger=str(tmp_path), transport="tests.test_rest:pretend", **more)
+        client = _client(service, 1, "lookups-3")
+        client.ledger.most = 4
+        answer = client.transport
+
+        def counted(url, headers, timeout):
+            if len(asked) == lost_at:
+                raise Lost
+            asked.append(url)
+            return answer(url, headers, timeout)
+
+        client.transport = counted
+        rows = [row for n in range(1, 7) for row in _look_up(client, service, "issue", "o/r", n, None)]
+        return rows, list(client.log)
+
+    whole, log = run()
+    n = len(asked)
+    again, log_2 = run()
+    # The last answers that no full file held are asked for again, as the failed list is.
+    assert again == whole and log_2 == log and len(asked) - n <= 4
+    other = tmp_path / "other"
+    other.mkdir()
+    asked.clear()
+    tmp_path = other
+    with pytest.raises(Lost):
+        run(lost_at=9)
+    assert len(asked) == 9
+    got, log_3 = run()
+    assert got == whole and log_3 == log and len(asked) == n + 9 - 8
+
+
+def test_a_ledger_keeps_whole_files_alone(tmp_path):
+    ledger = Ledger(str(tmp_path), most=2)
+    for k in range(5):
+        ledger.keep(f"u{k}", Answer(200, {"a": "b"}, f"body {k} 中文"))
+    (tmp_path / "torn.partial").write_text('{"url": "u9')
+    again = Ledger(str(tmp_path))
+    assert [again.find(f"u{k}") for k in (0, 3, 4, 9)] == [Answer(200, {"a": "b"}, "body 0 中文"), Answer(200, {"a": "b"}, "body 3 中文"), None, None]
+    ledger.commit()
+    assert Ledger(str(tmp_path)).find("u4") == Answer(200, {"a": "b"}, "body 4 中文")
