@@ -8,8 +8,8 @@ sources passes for its pattern; which of them its words count for is the flow's
 
 The order is by MD5 of seed and id, so that reruns agree and any SQL engine can repeat it. Sums over buckets of the order come before sums within the bucket
 where a cut falls, so a source may hold a third of all rows. The cut falls at the document boundary nearest below, and one more document, the largest that
-still fits, fills the gap. Where no document is in several sources, any number of sources is planned in DataFrames. Where sources overlap, totals by pattern reach
-the driver's flow; patterns are sets of sources, and more than `max_patterns` of them then raise an error.
+still fits, fills the gap. Sources that no chain of patterns links don't share words, so each connected component of sources has a flow of its own, worked out in a task;
+a source that no document shares is a component of one pattern. There may be any number of components; one of more than `max_patterns` patterns is an error.
 
 Defined results: sizes count words; a null or empty text has size 0 and is taken 0 words; a null source is a source of its own, the last; equal texts or
 equal rows are taken each by its own (rows that share an id are taken alike or, at a cut, in any order); an empty table gives an empty one; extra columns are not read.
@@ -20,12 +20,15 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Sequence
 from fractions import Fraction
+from types import SimpleNamespace
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import cut, word_count
+from .components import components
 
 #: Rows that a bucket of the order is to hold at most.
 BUCKET_ROWS = 100_000
@@ -120,50 +123,84 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: Fraction = F
     pattern = F.array_sort(F.array_distinct(F.transform(F.col(members), lambda x: F.coalesce(F.concat(F.lit("="), x), F.lit("~"))))) if members else F.array(F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("~")))
     rows = docs.select("doc_id", word_count(F.col("text")).alias("size"), pattern.alias("_pattern"), *carry).withColumn("_order", seeded("doc_id", seed))
     rows = cut(rows)
-    totals = rows.groupBy("_pattern").agg(F.sum("size").alias("n"))
-    if not members or totals.where(~F.size("_pattern").eqNullSafe(F.lit(1))).isEmpty():
-        return _select(rows, _plan_apart(totals, weights, share, max_repeats), carry)
-    totals = totals.limit(max_patterns + 1).collect()
-    if len(totals) > max_patterns:
-        raise ValueError(f"more than {max_patterns} membership patterns that overlap")
-    # "=" and "~" keep code-point order and put null last.
-    totals.sort(key=lambda r: r["_pattern"])
-    names = sorted({s for r in totals for s in r["_pattern"]})
-    at = {s: i for i, s in enumerate(names)}
-    sizes = [sum(r["n"] for r in totals if s in r["_pattern"]) for s in names]
-    targets = water_fill(sizes, [weights[i % len(weights)] for i in range(len(names))], share, max_repeats)
-    flow = route([r["n"] for r in totals], [[at[s] for s in r["_pattern"]] for r in totals], [int(t) for t in targets], max_repeats)
-    plan = [(r["_pattern"], r["n"], [sum(x.values()) for x in own], sizes[at[r["_pattern"][0]]] if r["_pattern"] else 0, targets[at[r["_pattern"][0]]] if r["_pattern"] else 0.0) for r, own in zip(totals, flow, strict=True)]
-    return _select(rows, docs.sparkSession.createDataFrame(plan, "_pattern array<string>, _total long, _levels array<long>, source_size long, target double"), carry)
-
-
-def _plan_apart(totals: DataFrame, weights: Sequence[int], share: Fraction, most: int) -> DataFrame:
-    """The plan of sources that do not overlap, however many: water_fill and the flow, which then is what each source's quota takes of its words level by level.
-
-    Each round of water_fill is one pair of sums, so that the driver holds no list of sources. Places in code-point order come from counts of sorted runs.
+    totals = cut(rows.groupBy("_pattern").agg(F.sum("size").alias("n")))
+    sources = totals.select("n", F.explode("_pattern").alias("s")).groupBy("s").agg(F.sum("n").alias("n"))
+    targets = cut(_targets(sources, weights, share, max_repeats))
+    return _select(rows, _plan(totals, targets, max_repeats, max_patterns), carry)
+
+
+def _targets(sources: DataFrame, weights: Sequence[int], share: Fraction, most: int) -> DataFrame:
+    """s, n, target of each source: water_fill, however many there are.
+
+    Each round is one pair of sums, so that the driver holds no list of sources. Places in code-point order come from counts of sorted runs.
     """
-    parts = int(totals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    runs = cut(totals.repartitionByRange(parts, "_pattern").withColumn("_run", F.spark_partition_id()))
+    parts = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = cut(sources.repartitionByRange(parts, "s").withColumn("_run", F.spark_partition_id()))
     counts = runs.groupBy("_run").agg(F.count(F.lit(1)).alias("_n"))
     firsts = counts.select("_run", (F.sum("_n").over(W.orderBy("_run")) - F.col("_n")).alias("_first"))  # at most as many rows as parts
-    place = F.col("_first") + F.row_number().over(W.partitionBy("_run").orderBy("_pattern")) - 1
+    place = F.col("_first") + F.row_number().over(W.partitionBy("_run").orderBy("s")) - 1
     turn = F.element_at(F.array(*[F.lit(w).cast("long") for w in weights]), (F.pmod(place, F.lit(len(weights))) + 1).cast("int"))
-    sources = cut(runs.join(F.broadcast(firsts), "_run").select("_pattern", "n", turn.alias("w")))
-    total, weight = sources.where("n > 0").agg(F.sum("n"), F.sum("w")).first()
+    known = cut(runs.join(F.broadcast(firsts), "_run").select("s", "n", turn.alias("w")))
+    total, weight = known.where("n > 0").agg(F.sum("n"), F.sum("w")).first()
     exact = lambda k: f"cast('{k}' as decimal(38,0))"
     full_n, full_w = 0, 0
     while True:
         rest, open_w = share.numerator * (total or 0) - most * share.denominator * full_n, (weight or 0) - full_w
         # The rest by weight would be more than most * n. Those that are full stay so, as what the others get only rises.
         full = F.lit(True) if not open_w else F.expr(f"{exact(rest)} * w > {exact(most * share.denominator * open_w)} * n")
-        n, w = sources.where("n > 0 and w > 0").where(full).agg(F.sum("n"), F.sum("w")).first()
+        n, w = known.where("n > 0 and w > 0").where(full).agg(F.sum("n"), F.sum("w")).first()
         if (n or 0, w or 0) == (full_n, full_w):
             break
         full_n, full_w = n or 0, w or 0
     by_weight = F.lit(0.0) if not open_w else F.expr(f"cast({exact(rest)} * w as double) / cast({exact(share.denominator * open_w)} as double)")
     target = F.when((F.col("n") == 0) | (F.col("w") == 0), F.lit(0.0)).when(full, (F.col("n") * most).cast("double")).otherwise(by_weight)
-    levels = F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda i: F.least("n", F.greatest(F.floor("target").cast("long") - i * F.col("n"), F.lit(0).cast("long"))))
-    return sources.withColumn("target", target).select("_pattern", F.col("n").alias("_total"), levels.alias("_levels"), F.col("n").alias("source_size"), "target")
+    return known.select("s", "n", target.alias("target"))
+
+
+def _plan(totals: DataFrame, targets: DataFrame, levels: int, max_patterns: int) -> DataFrame:
+    """For each pattern its words, how many of them pass at each level by its component's flow, and its first source's size and target; zeros for a pattern without sources."""
+    parts = int(totals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = totals.select("_pattern", F.explode("_pattern").alias("s")).join(targets, "s")
+    known = each.groupBy("_pattern").agg(F.array_sort(F.collect_list(F.struct("s", "n", "target"))).alias("of"))
+    # Neighbours in a pattern are linked, so all its sources are.
+    shared = totals.where(F.size("_pattern") > 1)
+    pairs = F.arrays_zip(F.slice("_pattern", 1, F.size("_pattern") - 1).alias("a"), F.slice("_pattern", 2, F.size("_pattern") - 1).alias("b"))
+    first = F.xxhash64(F.get("_pattern", F.lit(0)))
+    rows = totals.join(known, "_pattern").withColumn("v", first)
+    if not shared.isEmpty():
+        linked = components(shared.select(F.explode(pairs).alias("p")).select(F.xxhash64("p.a").alias("u"), F.xxhash64("p.b").alias("v")))
+        rows = rows.join(linked, "v", "left")
+    else:
+        rows = rows.withColumn("component", F.lit(None).cast("long"))
+    rows = rows.select(F.coalesce("component", "v").alias("component"), "_pattern", "n", "of").repartition(parts, "component").sortWithinPartitions("component", "_pattern")
+
+    def flow(patterns: list) -> pd.DataFrame:
+        names = sorted({(x["s"], x["target"]) for p in patterns for x in p.of})
+        at = {s: i for i, (s, _) in enumerate(names)}
+        routed = route([p.n for p in patterns], [[at[x["s"]] for x in p.of] for p in patterns], [int(t) for _, t in names], levels)
+        return pd.DataFrame([(p._pattern, p.n, [sum(x.values()) for x in own], p.of[0]["n"], p.of[0]["target"]) for p, own in zip(patterns, routed, strict=True)], columns=columns)
+
+    def flows(batches):
+        held: list = []
+        for batch in batches:
+            done = []
+            for p in batch.rename(columns={"_pattern": "pattern"}).itertuples(index=False):
+                p = SimpleNamespace(component=p.component, _pattern=list(p.pattern), n=int(p.n), of=list(p.of))
+                if held and held[0].component != p.component:
+                    done.append(flow(held))
+                    held = []
+                held.append(p)
+                if len(held) > max_patterns:
+                    raise ValueError(f"more than {max_patterns} membership patterns that overlap")
+            if done:
+                yield pd.concat(done)
+        if held:
+            yield flow(held)
+
+    columns = ["_pattern", "_total", "_levels", "source_size", "target"]
+    plan = rows.mapInPandas(flows, "_pattern array<string>, _total long, _levels array<long>, source_size long, target double")
+    none = totals.where(F.size("_pattern") == 0).select("_pattern", F.col("n").alias("_total"), F.array_repeat(F.lit(0).cast("long"), levels).alias("_levels"), F.lit(0).cast("long").alias("source_size"), F.lit(0.0).alias("target"))
+    return cut(plan.unionByName(none))
 
 
 def _select(rows: DataFrame, plan: DataFrame, carry: Sequence[str]) -> DataFrame:

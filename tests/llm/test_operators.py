@@ -135,6 +135,39 @@ def test_mix_of_very_many_sources(spark):
         assert read(mixing.mix(few, share=share, max_repeats=most)) == read(mixing.mix(own, share=share, max_repeats=most, members="of"))
 
 
+def test_mix_of_very_many_overlapping_sources(spark):
+    """50,000 patterns in small components, each of which has the flow that the whole would give it; one component beyond the bound."""
+    rnd = random.Random(8)
+    made = []
+    for k in range(25_000):
+        a, b = f"a{k:05d}", f"b{k:05d}"
+        made += [(4 * k, "w " * rnd.choice([0, 1, 3, 9]), [a]), (4 * k + 1, "w " * rnd.choice([2, 5]), [b, a])] + ([(4 * k + 2, "w " * 4, [b])] if k % 3 == 0 else [])
+    docs = spark.createDataFrame([*made, (-1, "w w", []), (-2, "w", [None])], "doc_id long, text string, of array<string>")
+    got = {r.doc_id: (r["size"], r.source_size, r.target, r.taken) for r in mixing.mix(docs, members="of").collect()}
+    names = sorted({s for _, _, own in made for s in own} | {"~"}, key=lambda s: (s == "~", s))
+    at = {s: i for i, s in enumerate(names)}
+    sizes = [0] * len(names)
+    for _, text, own in [*made, (-2, "w", ["~"])]:
+        for s in own:
+            sizes[at[s]] += len(text.split())
+    targets = mixing.water_fill(sizes, [(5, 2, 1)[i % 3] for i in range(len(names))], Fraction(3, 2), 2)
+    assert got[-1] == (2, 0, 0.0, 0) and len(got) == len(made) + 2
+    assert all(got[i][:3] == (len(t.split()), sizes[at[min(own)]], targets[at[min(own)]]) for i, t, own in made)
+    for k in range(0, 25_000, 250):
+        rows = [r for r in made if r[0] // 4 == k]
+        patterns = sorted({tuple(sorted(own)) for _, _, own in rows})
+        local = sorted({s for own in patterns for s in own})
+        capacity = [sum(len(t.split()) for _, t, own in rows if tuple(sorted(own)) == p) for p in patterns]
+        flow = mixing.route(capacity, [[local.index(s) for s in p] for p in patterns], [int(targets[at[s]]) for s in local], 2)
+        for p, n, own in zip(patterns, capacity, flow, strict=True):  # one document a pattern: all of it at a level, or none
+            i = next(r[0] for r in rows if tuple(sorted(r[2])) == p)
+            assert got[i][3] == n * sum(sum(x.values()) >= n > 0 for x in own)
+    chain = spark.range(40).select(F.col("id").alias("doc_id"), F.lit("w").alias("text"), F.array(F.col("id").cast("string"), (F.col("id") + 1).cast("string")).alias("of"))
+    assert mixing.mix(chain, members="of", max_patterns=40).count() == 40
+    with pytest.raises(Exception, match="more than 39"):
+        mixing.mix(chain, members="of", max_patterns=39).collect()
+
+
 def test_tokens_equal_the_library(spark, awkward, empty, rows):
     from tokenizers import Tokenizer
 
@@ -341,6 +374,16 @@ def test_runs_split_hot_ids(spark):
         assert [r.run for r in df.select(Runs(df).of(F.col("id"), F.col("h")).alias("run")).collect()] == [0] * df.count()
 
 
+def test_runs_are_bounded_in_number(spark):
+    """A million runs' worth of rows, by their sizes."""
+    df = spark.range(1_000_000).select((F.col("id") * 3).alias("id"), F.xxhash64("id").alias("h"), F.lit(64 << 20).cast("long").alias("n"))
+    runs = Runs(df)
+    weight = [r.n for r in df.groupBy(runs.of(F.col("id"), F.col("h")).alias("run")).agg(F.sum("n").alias("n")).collect()]
+    assert 10_000 < runs.count < 20_000 and len(weight) == runs.count and max(weight) < 3 * (sum(weight) / runs.count)
+    hot = Runs(df.withColumn("id", F.lit(7)))
+    assert hot.count < 20_000
+
+
 def test_fingerprints_of_null_and_shared_ids(spark):
     rnd = random.Random(6)
     made = [(rnd.choice([None, 7, k]), f"{k} " + " ".join(rnd.choice("abcd") for _ in range(rnd.randint(0, 30)))) for k in range(300)] + [(None, "same text")] * 40 + [(None, None)] * 3
