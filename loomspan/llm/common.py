@@ -65,23 +65,26 @@ def in_total_order(df: DataFrame, order: list[str | Column], name: str = "_rank"
     return placed.join(F.broadcast(firsts), "_range").withColumn(name, F.col("_first") + F.expr("_at & 8589934591")).drop("_range", "_at", "_first")
 
 
-#: Bytes that a run of ids is to hold at most.
+#: Bytes that a run of ids is to hold at most, unless there would then be more runs than MOST_RUNS: tasks stream their run, so it may grow with the input.
 RUN_BYTES = 64 << 20
 
+#: Runs at most, or few more; what the driver and the tasks know of runs, some 8 cells of sums for each, is bounded by it.
+MOST_RUNS = 15_000
+
 
 class Runs:
-    """Runs of rows in the order of an integer id (nulls last), then of a hash h: at least as many as shuffle partitions, of about equal and bounded weight.
+    """Runs of rows in the order of an integer id (nulls last), then of a hash h: at least as many as shuffle partitions, of about equal weight.
 
     sizes has id, h and n (a row's weight) and is read a few times. Exact sums over cells of equal width give the cuts, refined where a cell holds much, and over ranges of h where a
-    single id (or null) does; so reruns agree, and the driver gets some rows for each run.
+    single id (or null) does; so reruns agree, and the driver gets some rows for each run, whose number is bounded whatever the input.
     """
 
-    def __init__(self, sizes: DataFrame, most: int = RUN_BYTES):
+    def __init__(self, sizes: DataFrame, most: int = RUN_BYTES, runs: int = MOST_RUNS):
         parts = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         low, high, total, none = sizes.agg(F.min("id"), F.max("id"), F.sum("n"), F.sum(F.when(F.col("id").isNull(), F.col("n")))).first()
         low, high, total, none = low or 0, high or 0, total or 0, none or 0
         self.null_id = high + 1 if high < (1 << 63) - 1 else high
-        most = max(1, min(most, -(-total // parts)))
+        most = max(1, min(most, -(-total // parts)), -(-total // runs))
         fine, width = max(1, most // 4), max(1, -(-(high - low + 1) // (8 * max(parts, -(-total // most), 128))))
         cells: dict[tuple[int, int], int] = {}
         hot: list[int] = []

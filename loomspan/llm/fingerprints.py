@@ -4,7 +4,7 @@ Each shingle is hashed once; the top bits choose its bin, and a bin keeps its le
 leads to (the first that is not empty), so that equal sets give equal bins. The low-order bits of the bins are packed to the fingerprint; as unequal bins
 agree on b bits by chance once in 2^b, the likeness of two fingerprints is (agreement - 2^-b) / (1 - 2^-b), at least 0.
 
-Texts are dealt once, in runs of ascending ids and of bounded size in bytes, so that each meets the next one; a run's last text meets a copy of the next run's first, and the last run's that of the first.
+Texts are dealt once, in runs of ascending ids (some 64 MB each, more where there would be over 15,000), so that each meets the next one; a run's last text meets a copy of the next run's first, and the last run's that of the first.
 
 Defined results: ids are integers; a null text is empty; an empty text has an empty fingerprint, with likeness 1 to its equal and 0 to others; ties in the id go by a hash of
 the text, null ids come last; a single document is its own next; repeated rows give a row each; an empty table gives an empty one; other columns are not read.
@@ -92,7 +92,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     runs = Runs(sizes)
     run = runs.of(F.col("id"), F.col("h"))
     none = F.col("id").isNull()
-    # A row for each run: its first text, which is a guest of the run before.
+    # A row for each run: its first text, which is a guest of the run before. Runs are bounded in number, so these rows may be broadcast.
     firsts = sizes.select("id", "h", run.alias("run")).groupBy("run").agg(F.min(F.struct(none.alias("none"), "id", "h")).alias("first"))
     firsts = firsts.select(F.col("run").alias("of"), F.col("first.id").alias("first_id"), F.col("first.h").alias("first_h"))
     first = (F.col("run") == F.col("of")) & F.col("id").eqNullSafe(F.col("first_id")) & (F.col("h") == F.col("first_h"))

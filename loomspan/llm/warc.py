@@ -1,6 +1,6 @@
 """Deterministic sharded WARC writer and its reader.
 
-Records are range-sorted by id (equal ids by digest): exact sums of sizes give ranges of bounded bytes, each task writes its range in order and rolls to a new file once the compressed
+Records are range-sorted by id (equal ids by digest): exact sums of sizes give ranges of equal bytes and of bounded number, each task writes its range in order and rolls to a new file once the compressed
 size passes a limit. Each record is a gzip member of its own with a fixed time stamp; record ids, lengths and digests are made anew from the payload, so that the same
 rows give the same bytes. Files are written under temporary names. The tasks return manifest rows; the driver renames the files that they list and last puts
 the manifest in place, by a rename too. Files of lost or repeated tasks are listed nowhere, and readers go by the manifest.
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Runs, cut, file_system as _at
+from .common import MOST_RUNS, Runs, cut, file_system as _at
 
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -69,7 +69,7 @@ def page_record(page_id, url: str | None, payload: bytes, refers_to, date: str)
     return kind, _record(headers, head + (payload if refers_to is None else b""))
 
 
-def write_warc(pages: DataFrame, out: str, roll_bytes: int = 64 << 20, date: str = "2024-01-01T00:00:00Z", least: int = 0, prefix: str = "pages") -> dict:
+def write_warc(pages: DataFrame, out: str, roll_bytes: int = 1 << 30, date: str = "2024-01-01T00:00:00Z", least: int = 0, prefix: str = "pages") -> dict:
     """Archives of page_id, url, html under `out`, a folder that all executors and the driver share. Returns the manifest. least: payloads under that size are not deduplicated."""
     spark = pages.sparkSession
     fs, root = _at(out)
@@ -196,5 +196,6 @@ def read_warc(spark: SparkSession, out: str) -> DataFrame:
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], columns)
 
-    files = spark.createDataFrame(list(enumerate(names)), "file int, name string").repartitionById(len(names), F.col("file"))
+    tasks = min(len(names), MOST_RUNS)
+    files = spark.createDataFrame([(k % tasks, name) for k, name in enumerate(names)], "task int, name string").repartitionById(tasks, F.col("task"))
     return files.mapInArrow(read, schema)
