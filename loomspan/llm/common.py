@@ -2,23 +2,18 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import re
-import shutil
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from loomspan.storage import discard, file_system, scratch, shared_folder  # noqa: F401  (the operators take them from here)
+
 #: A word is a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -139,38 +134,6 @@ def columns_but(df: DataFrame, *names: str) -> list[Column]:
     return [df[f"`{c}`"] for c in df.columns if c not in names]
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that executors and the driver share, from spark.checkpoint.dir; one of our own only where that is unset and all run in one process, as in tests."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = sc.getConf().get("spark.checkpoint.dir")
-        if folder is None:
-            if not re.fullmatch(r"local(\[.*\])?", sc.master):
-                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-            folder = tempfile.mkdtemp(prefix="loomspan-ckpt-")
-            atexit.register(shutil.rmtree, folder, True)
-        sc.setCheckpointDir(folder)
-    return sc.getCheckpointDir()
-
-
-def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else os.path.abspath(uri))
-
-
-def discard(folder: str) -> None:
-    """Removes a folder of ours, if it is there."""
-    fs, root = file_system(folder)
-    if fs.get_file_info(root).type != pafs.FileType.NotFound:
-        fs.delete_dir(root)
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared one; it goes when the driver's process ends."""
-    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    atexit.register(discard, folder)
-    return folder
-
-
 def label_sample(labels: DataFrame, sample: int) -> DataFrame:
     """doc_id, quality of at most `sample` labelled documents, those with the least hash of the id."""
     known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
