@@ -11,12 +11,12 @@ checked to be distinct. Links between classes are found so that none is lost:
    tokens form loose groups by the leader that they share most tokens with and by size.
 4. *Matrix.* Large tokens then name groups, not documents. For a class and each group the number of its prefix tokens that the group's members hold bounds the overlap
    with any member; where that bound, with the group's range of sizes, is below what a link takes, the group stays closed. Members of a connected group need no comparison.
-5. *Opening.* Qualifying groups are cut to blocks of bounded size. A block's union of tokens bounds the query's overlap once more; only then is the
+5. *Opening.* Qualifying groups are cut to blocks of bounded number of members and of tokens. A block's union of tokens bounds the query's overlap once more; only then is the
    query compared with its members, with one link for each of the block's known components. Queries stream past blocks, so no task holds an unbounded group.
 
 Components of classes come from the links and the leaders' links by distributed label passing; each is named by the least id of its rows at the end.
 
-Defined results: a null text or one without words has an empty set, 0 shingles, no link, and is its own component; repeated rows (and rows that share an id) give a
+Defined results: ids are of any type that has an order; a null text or one without words has an empty set, 0 shingles, no link, and is its own component; repeated rows (and rows that share an id) give a
 row each; rows that share an id are in the components of their own texts, as an id is no link; rows with null ids link like others but have no id to give, so a
 component of null ids alone is named null; ties need no rule, as sets are unordered; an empty table gives an empty one; other columns are not read; texts are read whole.
 """
@@ -31,6 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import cut, slices
 from .components import components
@@ -42,6 +43,8 @@ BLOCK_CELLS = 4096
 SMALL = 8
 #: Prefix tokens that a part is sized for, members of a block, queries of a chunk.
 PART_TOKENS, BLOCK, CHUNK = 1 << 21, 256, 512
+#: Tokens of a block's members (16 MB; a single larger set is a block too).
+BLOCK_TOKENS = 1 << 21
 
 
 def least_overlap(n: int, share: int) -> int:
@@ -90,7 +93,9 @@ def _classes(docs: DataFrame, key_bits: int) -> tuple[DataFrame, np.ndarray]:
         counts = np.zeros(1 << CELL_BITS, np.int64)
         seen: set[int] = set()
         names = ["kind", "doc_id", "r", "n", "a", "b", "data"]
+        id_type = None
         for batch in batches:
+            id_type = batch.schema.field(0).type
             for first, texts in slices(batch):
                 sizes, a, b, new = [], [], [], []
                 for text in texts:
@@ -105,17 +110,17 @@ def _classes(docs: DataFrame, key_bits: int) -> tuple[DataFrame, np.ndarray]:
                 if new:
                     counts += np.bincount((np.concatenate(new) >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(counts))
                 k = len(texts)
-                ids = batch.column(0).slice(first, k).cast(pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(k, np.int32)), ids, batch.column(2).slice(first, k), pa.array(sizes, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(k, pa.binary())], names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(k, np.int32)), batch.column(0).slice(first, k), batch.column(2).slice(first, k), pa.array(sizes, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(k, pa.binary())], names)
         if counts.any():
             blocks = counts.reshape(-1, BLOCK_CELLS)
             k = len(blocks)
             zero = pa.array(np.zeros(k, np.int64))
             data = pa.array([zlib.compress(x.tobytes(), 1) for x in blocks], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int32)), pa.array(np.arange(k)), zero, zero, zero, zero, data], names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int32)), pa.nulls(k, id_type), zero, pa.array(np.arange(k)), zero, zero, data], names)
 
-    both = cut(docs.mapInArrow(scan, "kind int, doc_id long, r long, n long, a long, b long, data binary"))
-    total = _summed(both.where("kind = 1").select(F.col("doc_id").cast("int").alias("block"), "data"), np.add)
+    fields = [T.StructField("kind", T.IntegerType()), T.StructField("doc_id", docs.schema["doc_id"].dataType), *(T.StructField(c, T.LongType()) for c in ("r", "n", "a", "b")), T.StructField("data", T.BinaryType())]
+    both = cut(docs.mapInArrow(scan, T.StructType(fields)))
+    total = _summed(both.where("kind = 1").select(F.col("n").cast("int").alias("block"), "data"), np.add)
     return both.where("kind = 0").select("doc_id", "r", "n", "a", "b"), _whole(total, 1 << CELL_BITS, BLOCK_CELLS, np.int64)
 
 
@@ -324,17 +329,16 @@ def _sets(docs: DataFrame, wanted: DataFrame, names: Names) -> DataFrame:
             at = np.flatnonzero(hit)
             own = ids[at].tolist()
             at = at[[not (x in seen or seen.add(x)) for x in own]] if own else at
-            for i in range(0, len(at), 200):
-                part = at[i : i + 200]
-                sets = [shingle_set(t) for t in batch.column(1).take(pa.array(part)).to_pylist()]
+            for _, texts in slices(pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(at, pa.int64()))], ["text"])):
+                sets = [shingle_set(t) for t in texts]
                 yield pa.RecordBatch.from_arrays([pa.array([names.of(t) for t in sets], pa.int64()), pa.array([t.tobytes() for t in sets], pa.binary())], ["id", "tokens"])
 
     return docs.select("r", "text").mapInArrow(scan, "id long, tokens binary")
 
 
 def _linked(docs: DataFrame, classes: DataFrame, names: Names, pairs: DataFrame, members: DataFrame, share: int) -> DataFrame:
-    """(u, v): links of q with members of g, for each pair (q, g), one for each component of a block that is known so far. members: g, id, loose (whether links do not connect them yet)."""
-    sizes = members.groupBy("g").agg(F.count(F.lit(1)).alias("size")).withColumn("blocks", F.expr(f"cast((size + {BLOCK - 1}) div {BLOCK} as int)"))
+    """(u, v): links of q with members of g, for each pair (q, g), one for each component of a block that is known so far. members: g, id, n (its size), loose (whether links do not connect them yet)."""
+    sizes = members.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("tokens")).withColumn("blocks", F.expr(f"cast(greatest((size + {BLOCK - 1}) div {BLOCK}, tokens div {BLOCK_TOKENS} + 1) as int)"))
     loads = pairs.groupBy("g").agg(F.count(F.lit(1)).alias("queries")).withColumn("chunks", F.expr(f"cast((queries + {CHUNK - 1}) div {CHUNK} as int)"))
     # Written first, as all aggregates here that are joined on their key: a skewed partition of a join of plain tables gets split, so a group may hold, or be asked by, very many.
     shape = cut(sizes.join(loads, "g").select("g", "blocks", "chunks"))
@@ -438,9 +442,9 @@ def _links(docs: DataFrame, narrow: DataFrame, counts: np.ndarray, share: int, k
         return tokens.where(F.col("kind") == k).groupBy("x", "y").agg(F.min("n").alias("n"), F.min("m").alias("m"), F.sum("c").alias("c"))
 
     # Leaders: the count is of some shared tokens only, so half of what a link takes is asked for; whatever is missed here the matrix finds.
-    led = cut(summed(1).where("x <> y").select(F.col("x").alias("q"), F.col("y").alias("o"), "c", (2 * F.col("c") >= _needed("n", "m", "m", share)).alias("near")))
-    near = led.where("near").select("q", F.col("o").alias("g"))
-    leads = cut(_linked(docs, classes, names, near, near.select("g", F.col("g").alias("id"), F.lit(False).alias("loose")).distinct(), share))
+    led = cut(summed(1).where("x <> y").select(F.col("x").alias("q"), F.col("y").alias("o"), "m", "c", (2 * F.col("c") >= _needed("n", "m", "m", share)).alias("near")))
+    near = led.where("near").select("q", F.col("o").alias("g"), F.col("m").alias("n"))
+    leads = cut(_linked(docs, classes, names, near.select("q", "g"), near.groupBy("g").agg(F.min("n").alias("n")).select("g", F.col("g").alias("id"), "n", F.lit(False).alias("loose")), share))
     small = cut(summed(0).where("x <> y").select(F.col("x").alias("q"), F.col("y").alias("o"), "c"))
     large = cut(tokens.where("kind = 2").select(F.col("x").alias("token"), F.col("y").alias("id"), "n").distinct())
 
@@ -475,5 +479,5 @@ def _links(docs: DataFrame, narrow: DataFrame, counts: np.ndarray, share: int, k
     matrix = matrix.select(F.col("q_id").alias("q"), "q_n", "o_g", "o_low", "o_high", F.lit(1).cast("long").alias("c"))
     asked = pairs.select(*columns).unionByName(matrix.select(*columns)).groupBy("q", "o_g").agg(F.min("q_n").alias("q_n"), F.min("o_low").alias("o_low"), F.max("o_high").alias("o_high"), F.sum("c").alias("c"))
     asked = cut(asked.where(F.col("c") >= _needed("q_n", "o_low", "o_high", share)).select("q", F.col("o_g").alias("g")))
-    opened = _linked(docs, classes, names, asked, member.select("g", "id", "loose").join(asked.select("g").distinct(), "g", "left_semi"), share)
+    opened = _linked(docs, classes, names, asked, member.select("g", "id", "n", "loose").join(asked.select("g").distinct(), "g", "left_semi"), share)
     return leads.unionByName(opened), classes

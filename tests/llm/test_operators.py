@@ -20,7 +20,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import brute
 
 import corpus_pipeline
-from loomspan.llm import fst_tokenizer, mixing, packing, text_stats, warc
+from loomspan.llm import fst_tokenizer, jaccard_join, mixing, packing, text_stats, warc
 from loomspan.llm.common import Runs, in_total_order
 from loomspan.llm.components import components
 from loomspan.llm.fingerprints import fingerprints, likeness
@@ -422,6 +422,24 @@ def test_jaccard(spark, awkward, empty, docs, rows):
     assert read(both) == read(both, key_bits=6) == brute.jaccard_components(made)  # six bits: nearly all classes share theirs
 
 
+def test_jaccard_of_string_ids_and_very_long_texts(spark, monkeypatch):
+    rnd = random.Random(9)
+    base = [f"w{rnd.randrange(10**9)}" for _ in range(60_000)]
+    made = [("long", " ".join(base)), ("long2", " ".join(base[2000:] + base[:10])), ("longer", " ".join(base * 2 + ["x"])), (None, " ".join(base[:50_000])), ("b", "one two three"), ("a", "One two three"), ("", None), ("c", "")]
+    for k in range(40):
+        own = list(base[:300])
+        own[rnd.randrange(300)] = f"x{k}"
+        made.append((f"s{k}", " ".join(own)))
+    docs = spark.createDataFrame(made, "doc_id string, text string")
+    want = brute.jaccard_components(made)
+    read = lambda: Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(docs).collect())
+    assert read() == want
+    monkeypatch.setattr(jaccard_join, "BLOCK_TOKENS", 500)  # blocks of a few members
+    assert read() == want
+    kept = corpus_pipeline.one_of_each_group(spark, docs.withColumn("n_chars", F.lit(1)), SF).collect()
+    assert {r.doc_id for r in kept} == {i for i, _, c in want if i == c and i is not None}
+
+
 def test_jaccard_null_and_shared_ids(spark):
     run = lambda name, a, b: " ".join(f"{name}{i}" for i in range(a, b))
     # A chain through a null id, a null id beside 5, null ids alone, blank null ids, and 7 with a long and a short text of different families.
