@@ -1,26 +1,100 @@
-"""Evidence documents and other texts: a single-file sink and a whole-file source."""
+"""Evidence documents and other texts: a committed single-file sink and a whole-file source."""
 
 from __future__ import annotations
 
 import os
+import shutil
+import uuid
+from collections.abc import Iterator
+from dataclasses import dataclass
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from loomspan.operators.render import in_order
+from loomspan.storage import discard, file_system, scratch
+
+
+@dataclass
+class Part(WriterCommitMessage):
+    number: int
+    name: str
+    size: int
+
+
+class DocumentWriter(DataSourceArrowWriter):
+    """Each task writes its rows' texts to a part of its own, under a name that no other attempt has. The commit joins the parts that tasks have reported, by their partitions' order, to
+    a new file beside the target, whose place it takes last; an abort removes what was written. Parts that lost or repeated tasks left go with their folder."""
+
+    def __init__(self, path: str, parts: str):
+        self.path, self.parts = path, parts
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Part:
+        fs, root = file_system(self.parts)
+        fs.create_dir(root, recursive=True)
+        number, size = TaskContext.get().partitionId(), 0
+        name = f"part-{number:06d}-{uuid.uuid4().hex}"
+        with fs.open_output_stream(f"{root}/{name}", compression=None) as out:
+            for batch in iterator:
+                for text in pc.binary_join_element_wise(batch.column(0), batch.column(1), ""):
+                    size += out.write(text.as_buffer())
+        return Part(number, name, size)
+
+    def commit(self, messages: list[Part | None]) -> None:
+        fs, root = file_system(self.parts)
+        target = Path(self.path)
+        target.parent.mkdir(parents=True, exist_ok=True)
+        partial = target.with_name(f".{target.name}.{uuid.uuid4().hex}.partial")
+        try:
+            with partial.open("wb", buffering=0) as out:
+                for part in sorted((m for m in messages if m is not None), key=lambda m: m.number):
+                    _append(out, fs, f"{root}/{part.name}", part.size)
+            os.replace(partial, target)
+        finally:
+            partial.unlink(missing_ok=True)
+            discard(self.parts)
+
+    def abort(self, messages: list[Part | None]) -> None:
+        discard(self.parts)
+
+
+def _append(out, fs: pafs.FileSystem, path: str, size: int) -> None:
+    """The file system copies a local part itself; others come in blocks."""
+    if isinstance(fs, pafs.LocalFileSystem):
+        with open(path, "rb") as part:
+            left = size
+            while left:
+                left -= (done := os.copy_file_range(part.fileno(), out.fileno(), left))
+                if not done:
+                    raise OSError(f"{path} is shorter than its task has reported")
+        return
+    with fs.open_input_stream(path, compression=None) as part:
+        shutil.copyfileobj(part, out, 8 << 20)
+
+
+class TextDocument(DataSource):
+    """Format text_document, for writing: two text columns, whose values are joined row by row in the order of the partitions; options path and parts, a folder that all executors share."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "text_document"
+
+    def writer(self, schema, overwrite: bool) -> DocumentWriter:
+        return DocumentWriter(self.options["path"], self.options["parts"])
 
 
 def write_document(rows: DataFrame, path: str | Path) -> int:
-    """Stream ordered fragments to one UTF-8 file, a partition at a time, and return its bytes. The file appears whole or not at all."""
-    path = Path(path)
-    path.parent.mkdir(parents=True, exist_ok=True)
-    partial = path.with_name(f".{path.name}.partial")
-    with partial.open("w", encoding="utf-8", newline="") as out:
-        for row in in_order(rows).toLocalIterator(prefetchPartitions=True):
-            out.write(row.glue + row.text)
-    os.replace(partial, path)
-    return path.stat().st_size
+    """Ordered fragments as one UTF-8 file, and its bytes. Tasks write the parts of a range sort; no text passes through the driver's rows, and the file appears whole or not at all."""
+    spark = rows.sparkSession
+    spark.dataSource.register(TextDocument)
+    in_order(rows).write.format("text_document").options(path=os.path.abspath(path), parts=scratch(spark, "document")).mode("append").save()
+    return Path(path).stat().st_size
 
 
 def read_texts(spark: SparkSession, path: str | Path) -> DataFrame:

@@ -6,11 +6,12 @@ import json
 from datetime import UTC, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from loomspan.operators import ingest as I
 from loomspan.operators.render import fragments, in_order
 from loomspan.period import build_period
-from loomspan.sources.evidence import read_texts, write_document
+from loomspan.sources.evidence import TextDocument, read_texts, write_document
 
 PERIOD = build_period(7, now=datetime(2026, 7, 16, 12, tzinfo=UTC))
 IN, OLD = "2026-07-12T01:02:03Z", "2026-06-01T00:00:00Z"
@@ -140,3 +141,22 @@ def test_nothing_at_all(spark, tmp_path):
 def test_a_timestamp_needs_a_zone(spark):
     with pytest.raises(Exception, match="without a zone"):
         I.ingest(raw(spark, candidates=[("issue", 0, json.dumps(candidate("o/r", 1, updated_at="2026-07-12T00:00:00")))]), PERIOD).items.collect()
+
+
+def test_a_document_is_the_join_of_its_parts(spark, tmp_path):
+    rows = spark.range(20_000).select(F.lit(1).alias("section"), *(F.lit(None).cast("string").alias(c) for c in ("k1", "k2")), (F.col("id") * 7919 % 20_011).alias("number"), F.lit(None).cast("int").alias("part"), F.lit(None).cast("timestamp").alias("at"))
+    rows = rows.select("*", F.lit("").alias("tie"), F.col("number").alias("pos"), F.lit("\n").alias("glue"), F.concat(F.lit("行 é "), F.col("number").cast("string")).alias("text")).repartition(13)
+    want = "".join(r.glue + r.text for r in in_order(rows).collect()).encode()
+    (tmp_path / "d.md").write_text("an older one")
+    assert write_document(rows, tmp_path / "d.md") == len(want) and (tmp_path / "d.md").read_bytes() == want
+    assert write_document(rows.limit(0), tmp_path / "none.md") == 0
+    assert sorted(x.name for x in tmp_path.iterdir()) == ["d.md", "none.md"]
+
+
+def test_a_failed_task_leaves_nothing(spark, tmp_path):
+    rows = spark.range(1000).select(F.lit("\n").alias("glue"), F.when(F.col("id") == 777, F.raise_error(F.lit("no text")).cast("string")).otherwise("text").alias("text")).repartition(5)
+    spark.dataSource.register(TextDocument)
+    (tmp_path / "d.md").write_text("an older one")
+    with pytest.raises(Exception, match="no text"):
+        rows.write.format("text_document").options(path=str(tmp_path / "d.md"), parts=str(tmp_path / "parts")).mode("append").save()
+    assert [x.name for x in tmp_path.iterdir()] == ["d.md"] and (tmp_path / "d.md").read_text() == "an older one"
