@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +36,18 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Gives the memory that this process no longer uses back to the system: what Arrow's pool and the allocator keep else adds up over the workers of an executor."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES) -> Iterator[tuple[int, list[str]]]:
-    """(first row, texts) of runs of rows that hold about `size` bytes, one made at a time; null texts are empty."""
+    """(first row, texts) of runs of rows that hold about `size` bytes, one made at a time; null texts are empty. After each batch free memory is given back."""
     texts = batch.column(batch.schema.get_field_index(column))
     upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     first = 0
@@ -45,6 +56,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES)
         stop = int(min(len(texts), np.searchsorted(upto, before + size) + 1))
         yield first, [t or "" for t in texts.slice(first, stop - first).to_pylist()]
         first = stop
+    release()
 
 
 def in_total_order(df: DataFrame, order: list[str | Column], name: str = "_rank") -> DataFrame:
