@@ -3,6 +3,9 @@
 `found_items` asks a search for each kind of item. Filters on the kind leave out searches, filters on updated_at narrow the days that a search asks for, so fewer pages are read; Spark still
 tests the exact times. It needs spark.sql.python.filterPushdown.enabled. A scan that can't be read whole is an error; snapshots of sources.rest keep failures as rows instead.
 
+Read as a stream, `found_items` goes on from a cursor: each batch has what was updated after the last time of the one before, up to the latest that the service then has. A search gives a thousand
+results at most, so a time span with more is halved until none has; an item that is updated again comes again, and keep_last takes its last copy.
+
 `child_lists` reads a table of items (item_kind, repository, number, and the known counts comments and review_comments) from Parquet: its partitions are that table's row groups, which any number of tasks
 take, and each list is asked for page by page. A list whose count is known to be 0 isn't asked for, nor is a row group that has no other; a list of which any page fails is one row with its error.
 """
@@ -12,14 +15,14 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Iterator
 from dataclasses import asdict, dataclass
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
-from loomspan.sources.rest import PAGE_SIZE, RequestError, Service, _client, _from_options
+from loomspan.sources.rest import PAGE_SIZE, SEARCH_CAP, RequestError, Service, _client, _from_options
 from loomspan.storage import file_system
 
 FOUND = "item_kind string, ordinal long, page int, updated_at timestamp, raw string"
@@ -63,7 +66,7 @@ class FoundReader(DataSourceReader):
         if not partition.kind:
             return
         client = _client(self.service, len(KINDS))
-        items, _, _, ended = client.search(f"org:{self.service.org} is:{KINDS[partition.kind]} updated:{partition.first_day}..{partition.last_day}")
+        items, _, _, ended = client.search(_query(self.service, partition.kind, partition.first_day, partition.last_day))
         if ended is not None:
             raise ended
         for ordinal, item in enumerate(items):
@@ -71,6 +74,63 @@ class FoundReader(DataSourceReader):
             yield partition.kind, ordinal, ordinal // PAGE_SIZE + 1, datetime.fromisoformat(at) if at else None, json.dumps(item)
 
 
+@dataclass
+class Span(InputPartition):
+    """Times after the first, up to and with the last, as ISO texts to the second."""
+
+    kind: str
+    after: str
+    last: str
+
+
+class FoundStreamReader(DataSourceStreamReader):
+    def __init__(self, service: Service):
+        self.service = service
+
+    def initialOffset(self) -> dict:
+        return {"after": _iso(datetime.fromisoformat(self.service.first_day + "T00:00:00Z") - timedelta(seconds=1))}
+
+    def latestOffset(self) -> dict:
+        client, latest = _client(self.service, 1), self.initialOffset()["after"]
+        for kind in KINDS:
+            value, _ = client.load("/search/issues", dict, q=_query(self.service, kind, self.service.first_day, self.service.last_day), sort="updated", order="desc", per_page=1, page=1)
+            latest = max([latest, *(x["updated_at"] for x in value["items"])])
+        return {"after": latest}
+
+    def partitions(self, start: dict, end: dict) -> list[Span]:
+        return [Span(kind, start["after"], end["after"]) for kind in KINDS]
+
+    def read(self, span: Span) -> Iterator[tuple]:
+        client = _client(self.service, len(KINDS))
+        open_ = [(datetime.fromisoformat(span.after) + timedelta(seconds=1), datetime.fromisoformat(span.last))]
+        ordinal = 0
+        while open_:
+            first, last = open_.pop()
+            if first > last:
+                continue
+            query = _query(self.service, span.kind, _iso(first), _iso(last))
+            value, _ = client.load("/search/issues", dict, q=query, sort="updated", order="desc", per_page=1, page=1)
+            if int(value.get("total_count") or 0) > SEARCH_CAP and first < last:
+                middle = first + (last - first) // 2
+                middle = middle.replace(microsecond=0)
+                open_ += [(middle + timedelta(seconds=1), last), (first, middle)]
+                continue
+            items, total, _, ended = client.search(query)
+            if ended is not None or total > len(items):
+                raise ended or RequestError(f"{total} items of one second, of which a search gives {len(items)}", self.service.base)
+            for item in items:
+                yield span.kind, ordinal, ordinal // PAGE_SIZE + 1, datetime.fromisoformat(item["updated_at"]), json.dumps(item)
+                ordinal += 1
+
+
+def _iso(at: datetime) -> str:
+    return at.astimezone(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+
+
+def _query(service: Service, kind: str, first: str, last: str) -> str:
+    return f"org:{service.org} is:{KINDS[kind]} updated:{first}..{last}"
+
+
 class FoundItems(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -82,6 +142,9 @@ class FoundItems(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return FoundReader(_from_options(dict(self.options)))
 
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return FoundStreamReader(_from_options(dict(self.options)))
+
 
 @dataclass
 class RowGroup(InputPartition):
@@ -158,6 +221,12 @@ def found_items(spark: SparkSession, service: Service) -> DataFrame:
     return spark.read.format("found_items").options(**_options(service)).load()
 
 
+def streamed_items(spark: SparkSession, service: Service) -> DataFrame:
+    """The same as a stream, from the service's first day on."""
+    spark.dataSource.register(FoundItems)
+    return spark.readStream.format("found_items").options(**_options(service)).load()
+
+
 def child_lists(spark: SparkSession, service: Service, items: str) -> DataFrame:
     spark.dataSource.register(ChildLists)
     return spark.read.format("child_lists").options(**_options(service), items=items).load()

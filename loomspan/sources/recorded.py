@@ -23,24 +23,29 @@ TRANSPORT = "loomspan.sources.recorded:answer"
 
 
 def record(folder: str, found: DataFrame | None = None, lists: DataFrame | None = None) -> None:
+    """Adds to a recording; updated_at is an ISO time to the second, in UTC."""
     if found is not None:
-        found.withColumn("month", F.substring("updated_at", 1, 7)).repartition("kind", "month").write.partitionBy("kind", "month").parquet(f"{folder}/found")
+        found.withColumn("month", F.substring("updated_at", 1, 7)).repartition("kind", "month").write.mode("append").partitionBy("kind", "month").parquet(f"{folder}/found")
     if lists is not None:
         lists.withColumn("bucket", F.crc32("path") % BUCKETS).repartition("bucket").write.partitionBy("bucket").parquet(f"{folder}/lists")
 
 
-@lru_cache(4)
 def _table(folder: str) -> ds.Dataset:
     fs, root = file_system(folder)
     return ds.dataset(root, filesystem=fs, partitioning="hive")
 
 
-@lru_cache(2)
 def _found(folder: str, kind: str, first: str, last: str) -> list[str]:
-    """Items of the days, the latest first."""
+    """Items of the days or times, the latest first, as the recording now is."""
+    table = _table(f"{folder}/found")
+    return _found_in(table, tuple(table.files), kind, first, last)
+
+
+@lru_cache(2)
+def _found_in(table: ds.Dataset, files: tuple[str, ...], kind: str, first: str, last: str) -> list[str]:
     kept = (ds.field("kind") == kind) & (ds.field("month") >= first[:7]) & (ds.field("month") <= last[:7])
-    rows = _table(f"{folder}/found").to_table(["updated_at", "number", "raw"], filter=kept).to_pylist()
-    rows = [r for r in rows if first <= r["updated_at"][:10] <= last]
+    rows = table.to_table(["updated_at", "number", "raw"], filter=kept).to_pylist()
+    rows = [r for r in rows if first <= r["updated_at"] and r["updated_at"][: len(last)] <= last]
     return [r["raw"] for r in sorted(rows, key=lambda r: (r["updated_at"], r["number"]), reverse=True)]
 
 
