@@ -147,3 +147,59 @@ def candidate_names(spark, d):
     rows = table(spark, d, "customer")
     name = ingest.candidate_id(F.when(F.col("c_nationkey") >= 5, F.col("c_mktsegment")), F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")))
     return rows.select("c_custkey", name.alias("name"))
+
+
+# Every field of an item: even orders are issues, odd ones pull requests; priorities of 3 and more have milestones.
+_ALL_TOUCHED = "o_orderdate + INTERVAL 40 DAY >= TIMESTAMP '1996-12-31 16:00:00'"
+
+
+@query(f"""WITH i AS (SELECT *, o_orderkey % 2 = 0 AS issue, CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + INTERVAL 20 DAY END AS closed FROM orders WHERE {_ALL_TOUCHED})
+SELECT CASE WHEN issue THEN 'issue' ELSE 'pull_request' END AS item_kind, o_orderkey AS number, issue AND coalesce(closed {_Q}, false) AS closed_in_period, NOT issue AND o_orderstatus = 'F' AND coalesce(closed {_Q}, false) AS merged_in_period,
+NOT issue AND o_orderstatus <> 'F' AND coalesce(closed {_Q}, false) AS closed_unmerged_in_period, o_orderdate {_Q} AS created_in_period, coalesce(o_orderdate {_Q} OR closed {_Q}, false) AS included,
+CASE WHEN o_orderstatus = 'F' AND issue THEN 'completed' END AS state_reason, CASE WHEN o_orderpriority > '3' THEN 'm' || substr(o_orderpriority, 1, 1) END AS milestone, CASE WHEN NOT issue THEN 'main' END AS base_branch, CASE WHEN NOT issue THEN 'b' || o_custkey END AS head_branch,
+NOT issue AND o_orderkey % 3 = 0 AS draft, CASE WHEN NOT issue AND o_orderkey % 5 > 0 THEN o_orderkey % 5 = 1 END AS mergeable, CASE WHEN NOT issue THEN o_orderkey END AS additions, CASE WHEN NOT issue THEN o_custkey END AS deletions, CASE WHEN NOT issue THEN o_orderkey % 7 END AS changed_files,
+CASE WHEN o_orderkey % 4 < 2 THEN 'a' || o_custkey || ', unknown' ELSE 'None' END AS assignees, CASE WHEN NOT issue THEN 'r' || o_custkey ELSE 'None' END AS reviewers FROM i""")
+def ingested_fields(spark, d):
+    orders = table(spark, d, "orders")
+    issue, number = F.col("o_orderkey") % 2 == 0, F.col("o_orderkey")
+    only = lambda value: F.when(~issue, value)
+    ended = F.when(F.col("o_orderstatus") != "O", T.iso(updated_at("o_orderdate", 20)))
+    login = lambda letter: F.struct(F.concat(F.lit(letter), F.col("o_custkey").cast("string")).alias("login"))
+    fields = dict(
+        number=number,
+        repository_url=F.lit("https://api.host/repos/o/r"),
+        title=F.lit("t"),
+        html_url=F.lit("h"),
+        state=F.when(F.col("o_orderstatus") == "O", "open").otherwise("closed"),
+        state_reason=F.when(issue & (F.col("o_orderstatus") == "F"), "completed"),
+        user=login("u"),
+        created_at=T.iso(F.col("o_orderdate")),
+        updated_at=T.iso(updated_at("o_orderdate", 40)),
+        closed_at=ended,
+        merged=only(F.col("o_orderstatus") == "F"),
+        merged_at=only(F.when(F.col("o_orderstatus") == "F", ended)),
+        draft=only(number % 3 == 0),
+        mergeable=only(F.when(number % 5 > 0, number % 5 == 1)),
+        additions=only(number),
+        deletions=only(F.col("o_custkey")),
+        changed_files=only(number % 7),
+        base=only(F.struct(F.lit("main").alias("ref"))),
+        head=only(F.struct(F.concat(F.lit("b"), F.col("o_custkey").cast("string")).alias("ref"))),
+        assignees=F.when(number % 4 < 2, F.array(login("a"), F.struct(F.lit("").alias("login")))),
+        requested_reviewers=only(F.array(login("r"))),
+        milestone=F.when(F.col("o_orderpriority") >= "3", F.struct(F.concat(F.lit("m"), F.substring("o_orderpriority", 1, 1)).alias("title"))),
+        comments=F.lit(0),
+    )
+    raw = F.to_json(F.struct(*(value.alias(name) for name, value in fields.items())))
+    kind = F.when(issue, "issue").otherwise("pull_request")
+    none = lambda schema: spark.createDataFrame([], schema)
+    made = ingest.Raw(
+        candidates=orders.select(kind.alias("kind"), number.alias("ordinal"), raw.alias("raw")),
+        details=orders.where(~issue).select(kind.alias("kind"), F.lit("o/r").alias("repository"), number.alias("number"), raw.alias("raw"), F.lit(None).cast("string").alias("error"), F.lit(None).cast("string").alias("url")),
+        children=none("item_kind string, repository string, number long, kind string, ordinal long, raw string"),
+        failures=none("item_kind string, repository string, number long, kind string, error string, url string"),
+        searches=none("kind string, total_count long, incomplete boolean, error string, partial_error string, url string"),
+        requests=none("failed boolean, remaining string"),
+    )
+    names = ["item_kind", "number", "closed_in_period", "merged_in_period", "closed_unmerged_in_period", "created_in_period", "included", "state_reason", "milestone", "base_branch", "head_branch", "draft", "mergeable", "additions", "deletions", "changed_files"]
+    return ingest.ingest(made, QUARTER).items.select(*names, T.list_text(F.col("assignees")).alias("assignees"), T.list_text(F.col("requested_reviewers")).alias("reviewers"))
