@@ -22,7 +22,7 @@ from loomspan.operators.ingest import Evidence, candidate_id, ingest
 from loomspan.operators.ranking import ranked
 from loomspan.operators.render import fragments
 from loomspan.period import TIMEZONE, build_period
-from loomspan.sources.evidence import read_texts, write_document
+from loomspan.sources.evidence import indexed_item, read_texts, write_document
 from loomspan.sources.rest import service_for, snapshot
 from loomspan.storage import keeper, scratch
 
@@ -154,7 +154,8 @@ def collect(args: argparse.Namespace) -> int:
 
 
 def view(args: argparse.Namespace) -> int:
-    docs = _documents(args.document)
+    docs = indexed_item(session(), args.document, args.kind, args.item_id) if args.command == "item" and args.document.exists() else None
+    docs = _documents(args.document) if docs is None else docs
     if args.command == "overview":
         row = reader.overview(docs).first()
         note = f"overview bytes: {row.bytes}"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 from datetime import UTC, datetime
 
 import pytest
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 from loomspan.operators import ingest as I
 from loomspan.operators.render import fragments, in_order
 from loomspan.period import build_period
-from loomspan.sources.evidence import TextDocument, read_texts, write_document
+from loomspan.operators import reader
+from loomspan.sources.evidence import TextDocument, indexed_item, read_texts, write_document
 
 PERIOD = build_period(7, now=datetime(2026, 7, 16, 12, tzinfo=UTC))
 IN, OLD = "2026-07-12T01:02:03Z", "2026-06-01T00:00:00Z"
@@ -150,7 +152,7 @@ def test_a_document_is_the_join_of_its_parts(spark, tmp_path):
     (tmp_path / "d.md").write_text("an older one")
     assert write_document(rows, tmp_path / "d.md") == len(want) and (tmp_path / "d.md").read_bytes() == want
     assert write_document(rows.limit(0), tmp_path / "none.md") == 0
-    assert sorted(x.name for x in tmp_path.iterdir()) == ["d.md", "none.md"]
+    assert sorted(x.name for x in tmp_path.iterdir()) == [".d.md.items", ".none.md.items", "d.md", "none.md"]
 
 
 def test_a_failed_task_leaves_nothing(spark, tmp_path):
@@ -160,3 +162,25 @@ def test_a_failed_task_leaves_nothing(spark, tmp_path):
     with pytest.raises(Exception, match="no text"):
         rows.write.format("text_document").options(path=str(tmp_path / "d.md"), parts=str(tmp_path / "parts")).mode("append").save()
     assert [x.name for x in tmp_path.iterdir()] == ["d.md"] and (tmp_path / "d.md").read_text() == "an older one"
+
+
+def test_an_item_is_read_by_its_place(spark, evidence, tmp_path):
+    path = tmp_path / "e.md"
+    write_document(fragments(evidence, "o", PERIOD, datetime(2026, 7, 16, 12, tzinfo=UTC)), path)
+    for kind, item_id, views in (("issue", "o/r#1", ("full", "triage", "comments")), ("issue", "o/a#3", ("body",)), ("pull_request", "O/b#9", ("full", "reviews"))):
+        own = indexed_item(spark, path, kind, item_id)
+        assert len(own.first().text.encode()) < path.stat().st_size / 2
+        for view in views:
+            assert reader.item(own, kind, item_id, view).drop("doc_id").first() == reader.item(read_texts(spark, path), kind, item_id, view).drop("doc_id").first()
+    # It reads its own bytes alone: the same text comes from a document of which all others are gone.
+    text, stat = indexed_item(spark, path, "issue", "o/r#1").first().text, path.stat()
+    data = path.read_bytes()
+    at = data.index(text.encode())
+    path.write_bytes(b"?" * at + text.encode() + b"?" * (len(data) - at - len(text.encode())))
+    os.utime(path, ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    assert indexed_item(spark, path, "issue", "o/r#1").first().text == text
+    # An index of another document, or none, or an unknown item: the scan decides.
+    assert indexed_item(spark, path, "issue", "o/r#77") is None
+    path.write_bytes(data)
+    assert indexed_item(spark, path, "issue", "o/r#1") is None
+    assert indexed_item(spark, tmp_path / "other.md", "issue", "o/r#1") is None
