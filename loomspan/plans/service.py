@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loomspan.plans.registry import query, table
 from loomspan.sources.items import child_lists, found_items
-from loomspan.sources.recorded import TRANSPORT, record
+from loomspan.sources.recorded import BUCKETS, TRANSPORT, bucket_of, item_name, record
 from loomspan.sources.rest import Service
 from loomspan.storage import scratch
 
@@ -44,7 +44,9 @@ def recorded_suppliers(spark, d) -> tuple[str, str]:
     pull = F.col("s_nationkey") % 3 != 0
     suppliers = table(spark, d, "supplier")
     items = suppliers.select(F.when(pull, "pull_request").otherwise("issue").alias("item_kind"), F.lit("o/r").alias("repository"), F.col("s_suppkey").alias("number"), F.expr("if(s_nationkey % 5 = 0, 0L, null)").alias("comments"), F.lit(None).cast("long").alias("review_comments"))
-    items.write.parquet(f"{folder}/items")
+    # As many files as buckets, each in the order in which the recording has its lists: so many tasks ask, each for lists that lie together.
+    item = item_name(F.lit("o"), F.lit("r"), F.col("number").cast("string"))
+    items.withColumn("item", item).repartitionById(BUCKETS, bucket_of(F.col("item"))).sortWithinPartitions("item").drop("item").write.parquet(f"{folder}/items")
     path = F.concat(F.lit("/repos/o/r/"), F.expr("if(l_returnflag = 'A', 'issues/', 'pulls/')"), F.col("l_suppkey").cast("string"), F.expr("if(l_returnflag = 'N', '/reviews', '/comments')"))
     lines = table(spark, d, "lineitem").select(
         path.alias("path"),

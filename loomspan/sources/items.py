@@ -17,6 +17,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import asdict, dataclass
 from datetime import UTC, datetime, timedelta
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,9 @@ from loomspan.storage import file_system
 
 FOUND = "item_kind string, ordinal long, page int, updated_at timestamp, raw string"
 CHILDREN = "item_kind string, repository string, number long, kind string, ordinal long, raw string, error string, url string"
+#: CHILDREN as Arrow has it: rows go to Spark in batches of about so many, or of so many characters of records.
+CHILD_ROWS = pa.schema([(c.split()[0], pa.int64() if c.endswith(" long") else pa.string()) for c in CHILDREN.split(", ")])
+BATCH_ROWS, BATCH_CHARS = 5_000, 4 << 20
 KINDS = {"issue": "issue", "pull_request": "pr"}
 
 
@@ -170,7 +174,18 @@ class ChildReader(DataSourceReader):
         kind = stats.get("item_kind")
         return not (kind is not None and kind.has_min_max and kind.min == kind.max == "issue" and none(stats.get("comments")))
 
-    def read(self, partition: RowGroup) -> Iterator[tuple]:
+    def read(self, partition: RowGroup) -> Iterator[pa.RecordBatch]:
+        held, chars = [], 0
+        for row in self._rows(partition):
+            held.append(row)
+            chars += len(row[5] or "")
+            if len(held) >= BATCH_ROWS or chars >= BATCH_CHARS:
+                yield _batch(held)
+                held, chars = [], 0
+        if held:
+            yield _batch(held)
+
+    def _rows(self, partition: RowGroup) -> Iterator[tuple]:
         if not partition.file:
             return
         fs, _ = file_system(self.items)
@@ -198,6 +213,10 @@ class ChildReader(DataSourceReader):
                 yield from ((*place, kind, k, json.dumps(r), None, None) for k, r in enumerate(records))
 
 
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), CHILD_ROWS, strict=True)], schema=CHILD_ROWS)
+
+
 class ChildLists(DataSource):
     @classmethod
     def name(cls) -> str:

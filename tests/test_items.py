@@ -74,3 +74,17 @@ def test_row_groups_without_lists_are_no_partitions(tmp_path):
         for group in groups:
             out.write_table(pa.Table.from_pylist([{"item_kind": k, "repository": "o/r", "number": 1, "comments": n, "review_comments": 0} for k, n in group], schema))
     assert [p.number for p in ChildReader(service("x"), str(tmp_path)).partitions()] == [1, 2, 3]
+
+
+def test_a_recording_is_answered_from_small_row_groups(spark, tmp_path, monkeypatch):
+    """A process that answers never holds a bucket: lists lie by item in row groups of bounded size, and a list across two of them is whole."""
+    monkeypatch.setattr(recorded, "GROUP_ROWS", 500)
+    rows = spark.range(20_000).selectExpr("concat('/repos/o/r/issues/', id % 40, '/comments') as path", "id as ordinal", "'1996-01-01T00:00:00Z' as updated_at", "to_json(struct(id as k)) as raw", "cast(null as int) as fails_at")
+    recorded.record(str(tmp_path), lists=rows)
+    groups = [pq.read_metadata(f).row_group(k).num_rows for f in tmp_path.glob("lists/*/*.parquet") for k in range(pq.read_metadata(f).num_row_groups)]
+    assert sum(groups) == 20_000 and max(groups) <= 500
+    for number in range(40):
+        pages = [json.loads(recorded.answer(f"{tmp_path}/repos/o/r/issues/{number}/comments?per_page=100&page={p}", {}, 1.0).body) for p in range(1, 7)]
+        assert [x["k"] for page in pages for x in page] == list(range(number, 20_000, 40))
+    assert json.loads(recorded.answer(f"{tmp_path}/repos/o/r/issues/999/comments", {}, 1.0).body) == []
+    assert recorded._group.cache_info().maxsize <= 4
