@@ -146,7 +146,11 @@ def columns_but(df: DataFrame, *names: str) -> list[Column]:
     return [df[f"`{c}`"] for c in df.columns if c not in names]
 
 
+def known_labels(labels: DataFrame) -> DataFrame:
+    """doc_id, quality of all labelled documents."""
+    return labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+
+
 def label_sample(labels: DataFrame, sample: int) -> DataFrame:
     """doc_id, quality of at most `sample` labelled documents, those with the least hash of the id."""
-    known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    return known_labels(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)

@@ -26,7 +26,7 @@ from loomspan.llm.components import components
 from loomspan.llm.fingerprints import fingerprints, likeness
 from loomspan.llm.gam import PairwiseGam, quality_scores
 from loomspan.llm.hilbert_shards import curve, hilbert_index, hilbert_shards, manifest, write_shards
-from loomspan.llm.isolation_forest import IsolationForest, calibrate, quality_rules
+from loomspan.llm.isolation_forest import IsolationForest, calibrate, fit_rules, learnable, quality_rules
 from loomspan.llm.jaccard_join import jaccard_components
 from loomspan.llm.line_dedup import line_dedup
 from loomspan.llm.queries import ORACLE_SQL, QUERIES
@@ -334,6 +334,21 @@ def test_rules_follow_labels(spark):
     assert len(bad) and np.mean(bad) <= 0.2 and np.mean(good) > 0.97
 
 
+def test_rules_learn_from_all_labels(spark):
+    """More labelled rows than any sample had: each is in the order that trees draw from, in the spread and in the counts that set the threshold."""
+    ids = spark.range(24_000).selectExpr("id as doc_id", "cast(id % 7 > 0 as int) as quality")
+    words = F.expr("concat_ws(' ', transform(sequence(1, 12 + cast(pmod(hash(doc_id), 9) as int)), x -> concat(if(quality = 0 and doc_id % 5 > 0, '##', 'w'), pmod(hash(doc_id, x), 1000))))")
+    stats = text_stats.text_stats(ids.withColumn("text", words))
+    rows = learnable(stats, ids).orderBy("doc_id").toPandas()
+    x, good = rows[text_stats.FEATURES].to_numpy(), rows["good"].to_numpy()
+    forest, at = fit_rules(stats, ids)
+    assert len(rows) == 24_000 and at == calibrate(forest.score(x), good, 10.0)
+    rnd = np.random.default_rng([forest.seed, 1])
+    own = [x[good][rnd.choice(int(good.sum()), 256, replace=False)] for _ in range(forest.trees)]
+    plain = IsolationForest().grow(int(good.sum()), np.ptp(x[good], axis=0), lambda _, t: own[t])
+    assert (plain.score(x) == forest.score(x)).all()
+
+
 def test_fingerprints(spark, awkward, empty, docs):
     for df in (awkward, docs):
         source = sorted((r.doc_id, r.text or "") for r in df.collect())
