@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -58,7 +61,7 @@ def after_first(text: Column, marker: str) -> Column:
     return F.when(at > 0, F.substr(text, at + F.lit(len(marker))))
 
 
-def utf8_cuts(data: bytes, most: int) -> list[int]:
+def utf8_cuts(data: bytes | memoryview, most: int) -> list[int]:
     """Ends of the greedy longest pieces of at most `most` bytes that split no code point, each found from the one before; nothing has one empty piece. most must be 4 at least."""
     ends, at = [], 0
     while at < len(data):
@@ -70,19 +73,28 @@ def utf8_cuts(data: bytes, most: int) -> list[int]:
     return ends or [0]
 
 
+def utf8_pieces(texts: pa.Array, most: int) -> pa.Array:
+    """A list of pieces for each text, null for a null one. The pieces are places in the buffer that the texts came in: no text or piece is copied or made a Python string."""
+    null = pc.is_null(texts).to_numpy(zero_copy_only=False)
+    texts = pc.fill_null(texts.cast(pa.string()), "")
+    _, places, data = texts.buffers()
+    starts = np.frombuffer(places, np.int32)[texts.offset : texts.offset + len(texts) + 1].tolist() if len(texts) else [0]
+    view = memoryview(data or b"")
+    cuts, upto = [starts[0]], [0]
+    for first, last, none in zip(starts, starts[1:], null, strict=False):
+        if not none:
+            cuts += [first + end for end in utf8_cuts(view[first:last], most)]
+        upto.append(len(cuts) - 1)
+    pieces = pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(np.array(cuts, np.int32)), data if data is not None else pa.py_buffer(b""))
+    return pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pieces, mask=pa.array(null))
+
+
 def utf8_chunks(text: Column, most: int) -> Column:
     """Array of a text's pieces of at most `most` UTF-8 bytes; null for a null text. One walk over the cuts, linear in the text."""
 
-    @F.pandas_udf("array<string>")
-    def pieces(texts: pd.Series) -> pd.Series:
-        def of(text: str | None) -> list[str] | None:
-            if text is None:
-                return None
-            data = text.encode()
-            ends = utf8_cuts(data, most)
-            return [data[a:b].decode() for a, b in zip([0, *ends], ends, strict=False)]
-
-        return texts.map(of)
+    @F.arrow_udf("array<string>")
+    def pieces(texts: pa.Array) -> pa.Array:
+        return utf8_pieces(texts, most)
 
     return pieces(text)
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pathlib import Path
 
 import duckdb
+import pyarrow as pa
 import pytest
 
+from loomspan.functions.text import utf8_cuts, utf8_pieces
 from loomspan.plans import catalogue, records, service, texts  # noqa: F401
 from loomspan.plans.registry import ORACLE_SQL, QUERIES
 
@@ -35,3 +37,18 @@ def test_chunks_join_to_the_text(spark):
         assert len(r.chunk.encode()) <= 1000
         parts.setdefault(r.doc_id, {})[r.chunk_no] = r.chunk
     assert {i: "".join(p[k] for k in sorted(p)) for i, p in parts.items()} == texts
+
+
+def test_pieces_are_places_in_the_texts_own_buffer():
+    own = ["aé中🚀" * 50, None, "", "x" * 8, "中" * 3, None]
+    for texts in (pa.array(own), pa.array(["before", *own, "after"]).slice(1, len(own)), pa.array([], pa.string()), pa.array([None, None], pa.string()), pa.array(["", ""])):
+        want = []
+        for text in texts.to_pylist():
+            data = (text or "").encode()
+            ends = utf8_cuts(data, 8)
+            want.append(None if text is None else [data[a:b].decode() for a, b in zip([0, *ends], ends, strict=False)])
+        assert utf8_pieces(texts, 8).to_pylist() == want
+    texts = pa.array(["中" * 1000] * 2000)  # 6 MB of text in 48,000 pieces
+    before = pa.total_allocated_bytes()
+    made = utf8_pieces(texts, 128)
+    assert len(made.values) == 48_000 and pa.total_allocated_bytes() - before < 1 << 20
